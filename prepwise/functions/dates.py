@@ -1,6 +1,8 @@
 """Date parsing as a chain of JVM expressions (no per-row Python)."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from prepwise.functions.text import WS
@@ -31,12 +33,55 @@ DETECT_FORMATS = [
 ]
 
 
+def shape_regex(fmt: str) -> str:
+    """A cheap regex that every string the pattern can parse must match.
+
+    Failed parses are exceptions inside the JVM parser, so testing the shape
+    first keeps non-dates (most cells of most columns) off that slow path."""
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "'":
+            k = fmt.index("'", i + 1)
+            out.append(re.escape(fmt[i + 1:k]))
+            i = k + 1
+            continue
+        if ch == "y":
+            out.append("[0-9]{4}" if run >= 4 else "[0-9]{2}")
+        elif ch in "MdHhms" and run <= 2 and not (ch == "M" and run > 2):
+            out.append("[0-9]{2}" if run == 2 and ch in "ms" or (run == 2 and fixed_width(fmt)) else "[0-9]{1,2}")
+        elif ch == "M":
+            out.append("[A-Za-z]{3}" if run == 3 else "[A-Za-z]+")
+        elif ch == "S":
+            out.append("[0-9]{%d}" % run)
+        elif ch.isascii() and ch.isalpha():
+            out.append(".+")
+        else:
+            out.append(re.escape(ch) * run)
+        i = j
+    out.append("$")
+    return "".join(out)
+
+
+def fixed_width(fmt: str) -> bool:
+    """Patterns without separators (yyyyMMdd) need fixed-width fields."""
+    return not any(c in fmt for c in "-/.: ,年月日T'")
+
+
+def try_format(c: Column, fmt: str) -> Column:
+    return F.when(c.rlike(shape_regex(fmt)), F.try_to_timestamp(c, F.lit(fmt)))
+
+
 def _ymd(y: Column, m: Column, d: Column) -> Column:
     return F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("y-M-d"))
 
 
 def try_parse(c: Column, formats=GENERAL_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[try_format(c, f) for f in formats])
 
 
 def parse_date_text(c: Column, current_year: int, general: bool = True) -> Column:
@@ -48,8 +93,8 @@ def parse_date_text(c: Column, current_year: int, general: bool = True) -> Colum
     ym = F.when(s.rlike(CN_YM), _ymd(F.regexp_extract(s, CN_YM, 1), F.regexp_extract(s, CN_YM, 2), F.lit("1")))
     md = F.when(s.rlike(CN_MD), _ymd(F.lit(str(current_year)), F.regexp_extract(s, CN_MD, 1),
                                      F.regexp_extract(s, CN_MD, 2)))
-    compact8 = F.when(s.rlike("^\\d{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
-    compact14 = F.when(s.rlike("^\\d{14}$"), F.try_to_timestamp(s, F.lit("yyyyMMddHHmmss")))
+    compact8 = F.when(s.rlike("^[0-9]{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
+    compact14 = F.when(s.rlike("^[0-9]{14}$"), F.try_to_timestamp(s, F.lit("yyyyMMddHHmmss")))
     parts = [ymd, ym, md, compact8, compact14]
     if general:
         parts.append(try_parse(s))

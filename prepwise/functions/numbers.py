@@ -16,7 +16,7 @@ PERMILLE_RE = "^" + WS + "*([+-]?[0-9]*\\.?[0-9]+)" + WS + "*[‰‱]" + WS + "*
 
 
 def is_number(c: Column) -> Column:
-    return c.rlike(NUMBER_RE) & c.try_cast("double").isNotNull()
+    return to_number(c).isNotNull()
 
 
 def to_number(c: Column) -> Column:

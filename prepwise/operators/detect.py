@@ -25,30 +25,30 @@ def _has_word(name: str, words) -> bool:
 
 
 def type_stats(df: DataFrame, cols: list[str], formats=dt.DETECT_FORMATS) -> dict:
-    """One aggregate over all string columns: parse hit counts and the
-    boolean words present.  Distinct counts come from the value-count table."""
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        x = col(c)
-        lc = F.lower(F.trim(x))
-        aggs += [F.count(x).alias(f"nn{i}"),
-                 F.count_if(nb.is_number(x)).alias(f"num{i}"),
-                 F.count_if(x.rlike(INT_RE)).alias(f"int{i}"),
-                 F.skewness(nb.to_number(x)).alias(f"sk{i}"),
-                 F.count(nb.to_number(x)).alias(f"nnum{i}"),
-                 F.count_if(x.isNotNull() & ~lc.isin(BOOL_WORDS)).alias(f"nb{i}")]
-        aggs += [F.count_if(F.try_to_timestamp(x, F.lit(f)).isNotNull()).alias(f"d{i}_{j}")
-                 for j, f in enumerate(formats)]
-        aggs += [F.max((lc == w).cast("int")).alias(f"w{i}_{j}") for j, w in enumerate(BOOL_WORDS)]
-    r = df.agg(*aggs).first()
-    out = {"__n": r["__n"]}
-    for i, c in enumerate(cols):
+    """Parse hit counts and boolean words present, for all string columns in
+    one job.  The table is read in long form (column, value) and grouped by
+    column, so every test is compiled once however wide the table is, and the
+    partial aggregation ships one row per column per task."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("v")) for c in cols])).alias("kv"))
+    x = F.col("kv.v")
+    lc = F.lower(F.trim(x))
+    num = nb.to_number(x)          # shape-guarded: the cast never sees non-numbers
+    aggs = [F.count(F.lit(1)).alias("n"), F.count(x).alias("nn"), F.count(num).alias("num"),
+            F.count_if(x.rlike(INT_RE)).alias("int"), F.skewness(num).alias("sk"),
+            F.count_if(x.isNotNull() & ~lc.isin(BOOL_WORDS)).alias("nb")]
+    aggs += [F.count(dt.try_format(x, f)).alias(f"d{j}") for j, f in enumerate(formats)]
+    aggs += [F.max((lc == w).cast("int")).alias(f"w{j}") for j, w in enumerate(BOOL_WORDS)]
+    rows = {r["column"]: r for r in long.groupBy(F.col("kv.column").alias("column")).agg(*aggs).collect()}
+    out = {"__n": next(iter(rows.values()))["n"] if rows else df.count()}
+    for c in cols:
+        r = rows[c]
         out[c] = dict(
-            nonnull=r[f"nn{i}"], num=r[f"num{i}"], int=r[f"int{i}"],
-            skew=r[f"sk{i}"] if (r[f"nnum{i}"] or 0) > 2 else None,
-            non_bool=r[f"nb{i}"],
-            dates={f: r[f"d{i}_{j}"] for j, f in enumerate(formats)},
-            words={w for j, w in enumerate(BOOL_WORDS) if r[f"w{i}_{j}"] == 1},
+            nonnull=r["nn"], num=r["num"], int=r["int"],
+            skew=r["sk"] if (r["num"] or 0) > 2 else None,
+            non_bool=r["nb"],
+            dates={f: r[f"d{j}"] for j, f in enumerate(formats)},
+            words={w for j, w in enumerate(BOOL_WORDS) if r[f"w{j}"] == 1},
         )
     return out
 
@@ -126,7 +126,7 @@ class TypeDetector(Step):
             elif conv["to"] == "long":
                 exprs[c] = nb.to_number(x).cast("long")
             elif conv["to"] == "timestamp":
-                exprs[c] = F.try_to_timestamp(x, F.lit(conv["format"]))
+                exprs[c] = dt.try_format(x, conv["format"])
             elif conv["to"] == "boolean":
                 lc = F.lower(F.trim(x))
                 exprs[c] = F.when(lc.isin(vocab.TRUE_WORDS), True).when(lc.isin(vocab.FALSE_WORDS), False)

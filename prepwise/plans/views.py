@@ -8,7 +8,8 @@ from prepwise.context import ROW_ID, Context
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from prepwise.sources.readers import spread
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def with_id(df: DataFrame, key: str) -> DataFrame:

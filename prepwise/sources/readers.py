@@ -44,6 +44,18 @@ def read(spark: SparkSession, path: str, fmt: str | None = None, encoding: str |
                            for c in strings})                                            # S7
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row work every core when a scan yields fewer splits than
+    the cluster has task slots (small or single-row-group files).  Large
+    inputs already have more splits than slots and are returned untouched, so
+    this never adds a shuffle at scale."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def prepare(df: DataFrame, order_by: list[str] | None = None) -> tuple[DataFrame, Context]:
     """NaN → NULL on float columns, and a row id right after the scan.
 
@@ -53,8 +65,8 @@ def prepare(df: DataFrame, order_by: list[str] | None = None) -> tuple[DataFrame
     if floats:
         df = df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats})
     if ROW_ID not in df.columns:
-        df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
-    return df, Context.from_schema(df, order_by)
+        df = df.withColumn(ROW_ID, F.monotonically_increasing_id())   # file order, before spreading
+    return spread(df), Context.from_schema(df, order_by)
 
 
 def load(spark: SparkSession, path: str, fmt: str | None = None, encoding: str | None = None,
