@@ -20,6 +20,10 @@ WORD = "[\\p{L}\\p{N}_]"
 DIGITS = "\\p{Nd}+"
 URL_RE = "https?://" + NON_WS + "+|www\\." + NON_WS + "+"
 EMAIL_RE = NON_WS + "+@" + NON_WS + "+\\." + NON_WS + "+"
+# Same matches for the JVM engine: any match spans a whole whitespace-free
+# run, so attempts start only at run starts and the lazy parts scan forward
+# once — linear instead of backtracking from every position of long tokens.
+EMAIL_RE_JVM = "(?<!" + NON_WS + ")" + NON_WS + "+?@" + NON_WS + "+?\\." + NON_WS + "+"
 PUNCT_RE = "[^\\p{L}\\p{N}_" + WS[1:-1] + "]"
 SPECIAL_RE = "[^\\p{L}\\p{N}_" + WS[1:-1] + "\\x{4e00}-\\x{9fff}]"
 NON_ASCII = "[^\\x00-\\x7F]"

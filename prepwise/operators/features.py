@@ -78,7 +78,7 @@ def yeojohnson_expr(x, lam):
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def search_lambda(df, cols, kind, offsets, lo=-5.0, hi=5.0, points=41, rounds=4) -> dict:
+def search_lambda(df, cols, kind, offsets, lo=-4.0, hi=4.0, points=17, rounds=4, refine_points=11) -> dict:
     """Maximum-likelihood λ by grid refinement; each round is one aggregate
     for all columns and all candidate λ (variance via Spark's stable var_pop)."""
     if not cols:
@@ -89,8 +89,9 @@ def search_lambda(df, cols, kind, offsets, lo=-5.0, hi=5.0, points=41, rounds=4)
                     .alias(f"sl{i}") for i, c in enumerate(cols)]).first()
     bounds = {c: (lo, hi) for c in cols}
     best = {c: None for c in cols}
-    for _ in range(rounds):
-        grids = {c: list(np.linspace(bounds[c][0], bounds[c][1], points)) for c in cols}
+    for rnd in range(rounds):
+        k_pts = points if rnd == 0 else refine_points
+        grids = {c: list(np.linspace(bounds[c][0], bounds[c][1], k_pts)) for c in cols}
         aggs = []
         for i, c in enumerate(cols):
             for j, lam in enumerate(grids[c]):
@@ -106,8 +107,12 @@ def search_lambda(df, cols, kind, offsets, lo=-5.0, hi=5.0, points=41, rounds=4)
                 scores.append(llf)
             k = int(np.argmax(scores))
             best[c] = float(grids[c][k])
-            step = (bounds[c][1] - bounds[c][0]) / (points - 1)
-            bounds[c] = (best[c] - step, best[c] + step)
+            step = (bounds[c][1] - bounds[c][0]) / (k_pts - 1)
+            if k == 0 or k == k_pts - 1:          # optimum on the edge: widen instead of narrowing
+                width = bounds[c][1] - bounds[c][0]
+                bounds[c] = (best[c] - width / 2, best[c] + width / 2)
+            else:
+                bounds[c] = (best[c] - step, best[c] + step)
     return best
 
 

@@ -79,12 +79,16 @@ def fit_forest(df, cols, ctx, n_trees, sample_size, contamination, seed) -> dict
     psi = min(sample_size, n)
     order = [o for o in ctx.order_by if o in df.columns]
     keycol = F.struct(*[col(o) for o in order]) if order else F.struct(*[col(c) for c in cols])
-    rate = min(1.0, 3.0 * psi / n)
+    # One hash per row picks a pool of ~3·trees·psi rows; only pool rows are
+    # exploded per tree, so the per-row cost does not grow with the tree count.
+    pool_rate = min(1.0, 3.0 * n_trees * psi / n)
+    tree_rate = min(1.0, 2.0 * psi / max(1.0, pool_rate * n))
     x = F.array(*[col(c).cast("double") for c in cols])
-    picked = (complete.select(keycol.alias("k"), x.alias("x"))
+    h0 = F.abs(F.xxhash64(keycol, F.lit(seed)) % 1_000_000_007) / 1_000_000_007.0
+    picked = (complete.where(h0 < F.lit(pool_rate)).select(keycol.alias("k"), x.alias("x"))
               .select("k", "x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-              .withColumn("h", F.abs(F.xxhash64("k", "tree", F.lit(seed)) % 1_000_000_007) / 1_000_000_007.0)
-              .where(F.col("h") < F.lit(rate))
+              .withColumn("h", F.abs(F.xxhash64("k", "tree", F.lit(seed + 1)) % 1_000_000_007) / 1_000_000_007.0)
+              .where(F.col("h") < F.lit(tree_rate))
               .select("tree", "h", "x"))
     nf, ps, sd = len(cols), psi, seed
     nodes = picked.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, nf, ps, sd), NODE_SCHEMA).collect()
@@ -93,44 +97,61 @@ def fit_forest(df, cols, ctx, n_trees, sample_size, contamination, seed) -> dict
         trees.setdefault(r["tree"], []).append((r["feature"], r["split"], r["left"], r["right"], r["size"]))
     forest = {"trees": [trees[t] for t in sorted(trees)], "psi": psi, "threshold": None}
     scored = complete.select(score_column(forest, cols).alias("s"))
-    q = stats.quantiles(scored, ["s"], [contamination])
+    q = stats.quantiles(scored, ["s"], [contamination], distinct={"s": n})
     forest["threshold"] = q["s"][0] if q.get("s") else None
     return forest
 
 
-def _path_lengths(X: np.ndarray, tree: list) -> np.ndarray:
-    feat = np.array([t[0] for t in tree])
-    split = np.array([t[1] for t in tree])
-    left = np.array([t[2] for t in tree])
-    right = np.array([t[3] for t in tree])
-    size = np.array([t[4] for t in tree])
-    node = np.zeros(len(X), dtype=int)
-    depth = np.zeros(len(X))
-    active = feat[node] >= 0
+def _stack(trees: list) -> dict:
+    """Pad the trees into (trees × nodes) arrays for vectorised traversal."""
+    width = max(len(t) for t in trees)
+    T = len(trees)
+    feat = np.full((T, width), -1, dtype=np.int64)
+    split = np.zeros((T, width))
+    left = np.zeros((T, width), dtype=np.int64)
+    right = np.zeros((T, width), dtype=np.int64)
+    leafc = np.zeros((T, width))
+    for i, t in enumerate(trees):
+        for j, (f, sp, l, r, size) in enumerate(t):
+            feat[i, j], split[i, j], left[i, j], right[i, j] = f, sp, max(l, 0), max(r, 0)
+            leafc[i, j] = _c(int(size))
+    return {"feat": feat, "split": split, "left": left, "right": right, "leafc": leafc}
+
+
+def mean_path_length(X: np.ndarray, arr: dict) -> np.ndarray:
+    """Average path length of every row over all trees at once."""
+    n, T = len(X), arr["feat"].shape[0]
+    tidx = np.broadcast_to(np.arange(T), (n, T))
+    node = np.zeros((n, T), dtype=np.int64)
+    depth = np.zeros((n, T))
+    f = arr["feat"][tidx, node]
+    active = f >= 0
     while active.any():
-        idx = np.flatnonzero(active)
-        f = feat[node[idx]]
-        go_left = X[idx, f] < split[node[idx]]
-        node[idx] = np.where(go_left, left[node[idx]], right[node[idx]])
-        depth[idx] += 1
-        active = feat[node] >= 0
-    return depth + np.array([_c(int(s)) for s in size])[node]
+        xv = np.take_along_axis(X, np.where(active, f, 0), axis=1)
+        go_left = xv < arr["split"][tidx, node]
+        nxt = np.where(go_left, arr["left"][tidx, node], arr["right"][tidx, node])
+        node = np.where(active, nxt, node)
+        depth += active
+        f = arr["feat"][tidx, node]
+        active = f >= 0
+    return (depth + arr["leafc"][tidx, node]).mean(axis=1)
 
 
 def score_column(forest: dict, cols):
-    trees, psi = forest["trees"], forest["psi"]
+    arr, psi = _stack(forest["trees"]), forest["psi"]
     norm = _c(psi)
 
     @F.pandas_udf(T.DoubleType())
     def score(x: pd.Series) -> pd.Series:
-        X = np.vstack(x.to_numpy()) if len(x) else np.zeros((0, len(cols)))
-        mean_depth = np.mean([_path_lengths(X, t) for t in trees], axis=0) if len(X) else np.zeros(0)
+        if len(x) == 0:
+            return pd.Series([], dtype="float64")
+        X = np.vstack(x.to_numpy())
         # sklearn's score_samples sign: higher = more normal
-        return pd.Series(-(2.0 ** (-mean_depth / norm)) if len(X) else [], dtype="float64")
+        return pd.Series(-(2.0 ** (-mean_path_length(X, arr) / norm)))
 
-    arr = F.array(*[col(c).cast("double") for c in cols])
+    arr_col = F.array(*[col(c).cast("double") for c in cols])
     complete = _complete(cols)
-    return F.when(complete, score(F.when(complete, arr).otherwise(F.array_repeat(F.lit(0.0), len(cols)))))
+    return F.when(complete, score(F.when(complete, arr_col).otherwise(F.array_repeat(F.lit(0.0), len(cols)))))
 
 
 def forest_flag(forest: dict, cols):

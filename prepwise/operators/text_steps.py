@@ -80,10 +80,10 @@ class TextStandardizer(Step):
             c = F.upper(c)
         elif p.case == "title":
             c = tx.title_case(c)
-        if p.remove_urls:
-            c = tx.remove_pattern(c, tx.URL_RE)
+        if p.remove_urls:   # the substring tests keep the regex off cells that cannot match
+            c = F.when(c.contains("://") | c.contains("www."), tx.remove_pattern(c, tx.URL_RE)).otherwise(c)
         if p.remove_emails:
-            c = tx.remove_pattern(c, tx.EMAIL_RE)
+            c = F.when(c.contains("@"), tx.remove_pattern(c, tx.EMAIL_RE_JVM)).otherwise(c)
         if p.remove_numbers:
             c = tx.remove_pattern(c, tx.DIGITS)
         if p.remove_punctuation:

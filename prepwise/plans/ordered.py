@@ -65,13 +65,19 @@ def _w(order: list[str]) -> Window:
     return Window.partitionBy(BUCKET).orderBy(*[_c(o).asc_nulls_first() for o in order])
 
 
+def _w_rev(order: list[str]) -> Window:
+    """Reversed order: a running frame here equals a "to the end" frame in
+    the forward order, but is computed incrementally (a frame reaching to
+    UNBOUNDED FOLLOWING is re-aggregated for every row)."""
+    return Window.partitionBy(BUCKET).orderBy(*[_c(o).desc_nulls_last() for o in order])
+
+
 def fill(df: DataFrame, cols: list[str], order: list[str], direction: str = "forward",
          n_buckets: int | None = None) -> DataFrame:
     """Forward (or backward) fill of several columns along ``order``."""
     b = bucketize(df, order, n_buckets)
     fwd = direction == "forward"
-    frame = (_w(order).rowsBetween(Window.unboundedPreceding, 0) if fwd
-             else _w(order).rowsBetween(0, Window.unboundedFollowing))
+    frame = (_w(order) if fwd else _w_rev(order)).rowsBetween(Window.unboundedPreceding, 0)
     key = _key(order)
     summ_aggs = []
     for i, c in enumerate(cols):
@@ -79,13 +85,11 @@ def fill(df: DataFrame, cols: list[str], order: list[str], direction: str = "for
         pick = F.max_by if fwd else F.min_by
         summ_aggs.append(pick(F.when(has, _c(c)), F.when(has, key)).alias(f"e{i}"))
     summary = b.groupBy(BUCKET).agg(*summ_aggs)
-    carry_frame = (Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1) if fwd
-                   else Window.orderBy(BUCKET).rowsBetween(1, Window.unboundedFollowing))
+    carry_frame = (Window.orderBy(BUCKET) if fwd else Window.orderBy(F.desc(BUCKET))) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(BUCKET, *[
-        (F.last if fwd else F.first)(f"e{i}", ignorenulls=True).over(carry_frame).alias(f"c{i}")
-        for i in range(len(cols))])
-    local = b.withColumns({
-        c: (F.last if fwd else F.first)(_c(c), ignorenulls=True).over(frame) for c in cols})
+        F.last(f"e{i}", ignorenulls=True).over(carry_frame).alias(f"c{i}") for i in range(len(cols))])
+    local = b.withColumns({c: F.last(_c(c), ignorenulls=True).over(frame) for c in cols})
     out = local.join(F.broadcast(carry), BUCKET, "left")
     out = out.withColumns({c: F.coalesce(_c(c), F.col(f"c{i}")) for i, c in enumerate(cols)})
     return out.drop(BUCKET, *[f"c{i}" for i in range(len(cols))])
@@ -122,19 +126,18 @@ def interpolate(df: DataFrame, cols: list[str], order: list[str], n_buckets: int
                              F.when(has, key)).alias(f"first{i}"))
     summary = b.groupBy(BUCKET).agg(*aggs)
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(BUCKET).rowsBetween(1, Window.unboundedFollowing)
+    after = Window.orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(BUCKET, *sum([[
         F.last(f"last{i}", ignorenulls=True).over(before).alias(f"cp{i}"),
-        F.first(f"first{i}", ignorenulls=True).over(after).alias(f"cn{i}")] for i in range(len(cols))], []))
-    w = Window.partitionBy(BUCKET).orderBy(key)
-    prev_f = w.rowsBetween(Window.unboundedPreceding, 0)
-    next_f = w.rowsBetween(0, Window.unboundedFollowing)
+        F.last(f"first{i}", ignorenulls=True).over(after).alias(f"cn{i}")] for i in range(len(cols))], []))
+    prev_f = Window.partitionBy(BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    next_f = Window.partitionBy(BUCKET).orderBy(key.desc()).rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumns({
         f"lp{i}": F.last(F.when(_c(c).isNotNull(), F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
                          ignorenulls=True).over(prev_f) for i, c in enumerate(cols)})
     local = local.withColumns({
-        f"ln{i}": F.first(F.when(_c(c).isNotNull(), F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
-                          ignorenulls=True).over(next_f) for i, c in enumerate(cols)})
+        f"ln{i}": F.last(F.when(_c(c).isNotNull(), F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
+                         ignorenulls=True).over(next_f) for i, c in enumerate(cols)})
     out = local.join(F.broadcast(carry), BUCKET, "left")
     new = {}
     for i, c in enumerate(cols):
