@@ -12,7 +12,7 @@ from prepwise.functions import vocab
 from prepwise.functions.text import WS
 from prepwise.operators.base import Step
 from prepwise.plans import ordered
-from prepwise.plans.stats import col, distinct_and_top, first_k_stats
+from prepwise.plans.stats import col, distinct_and_top, distinct_for_ratio, first_k_stats
 
 INT_RE = "^" + WS + "*[+-]?[0-9]+(\\.0*)?" + WS + "*$"
 UUID_RE = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
@@ -62,6 +62,7 @@ class TypeDetector(Step):
         numeric_threshold: float = 0.9
         datetime_threshold: float = 0.8
         categorical_max_ratio: float = 0.1
+        exact: bool = True            # False: distinct ratios from the sketch alone
 
     def _fit(self, df, ctx):
         p = self.params
@@ -70,7 +71,8 @@ class TypeDetector(Step):
         numerics = [c for c, t in fields.items() if isinstance(t, T.NumericType)]
         st = type_stats(df, strings) if strings else {"__n": df.count()}
         n_all = st["__n"]
-        distinct, _ = distinct_and_top(df, list(fields), k=0) if fields else ({}, {})
+        distinct = distinct_for_ratio(df, strings, {c: st[c]["nonnull"] for c in strings},
+                                      p.categorical_max_ratio, exact=p.exact)
         skew = {}
         if numerics:
             r = df.agg(*[F.skewness(col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numerics)],
@@ -146,6 +148,7 @@ class IdColumnDetector(Step):
         check_sequential: bool = True
         check_uuid: bool = True
         match: str = "substring"
+        exact: bool = True
 
     def _fit(self, df, ctx):
         p = self.params
@@ -153,9 +156,11 @@ class IdColumnDetector(Step):
         cols = list(fields)
         if not cols:
             return {"ids": {}}
-        n_all = df.count()
-        distinct, _ = distinct_and_top(df, cols, k=0)
-        nonnull = dict(zip(cols, df.agg(*[F.count(col(c)) for c in cols]).first()))
+        r = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+        n_all = r["__n"]
+        nonnull = {c: r[f"n{i}"] for i, c in enumerate(cols)}
+        distinct = distinct_for_ratio(df, cols, {c: n_all for c in cols}, p.unique_ratio_threshold,
+                                      exact=p.exact)
         reasons: dict[str, list[str]] = {c: [] for c in cols}
         for c in cols:
             if p.check_name_pattern:                                       # I1

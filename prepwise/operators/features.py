@@ -192,6 +192,7 @@ def at_least_distinct(df, cols, k: int) -> dict:
 
 class Binning(Step):
     name = "binning"
+    heavy = True
     default_on = False
 
     @dataclass
@@ -292,6 +293,7 @@ def kmeans_edges(df, c, k, m, fill, max_iter) -> list:
 
 class CategoricalEncoder(Step):
     name = "categorical_encoder"
+    heavy = True
     default_on = False
 
     @dataclass

@@ -17,6 +17,7 @@ STRATEGIES = ("auto", "mean", "median", "mode", "drop_rows", "drop_cols", "ffill
 
 class MissingHandler(Step):
     name = "missing_handler"
+    heavy = True
 
     @dataclass
     class Params:

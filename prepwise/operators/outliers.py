@@ -32,6 +32,10 @@ class OutlierDetector(Step):
             if self.action not in ("flag", "cap", "remove"):
                 raise ValueError(f"unknown action {self.action!r}")
 
+    @property
+    def heavy(self):  # forest scoring runs in Python
+        return self.params.method == "isolation_forest"
+
     @property
     def row_local(self):  # the fitted fences make every action a projection/filter
         return True

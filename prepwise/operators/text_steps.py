@@ -19,6 +19,10 @@ class EncodingNormalizer(Step):
     name = "encoding_normalizer"
     row_local = True
 
+    @property
+    def heavy(self):  # the Unicode normal form runs in Python
+        return bool(self.params.unicode_normalize)
+
     @dataclass
     class Params:
         trim_whitespace: bool = True
@@ -55,6 +59,10 @@ class TextStandardizer(Step):
     name = "text_standardizer"
     row_local = True
 
+    @property
+    def heavy(self):
+        return self.params.remove_accents or self.params.case == "title"
+
     @dataclass
     class Params:
         case: str = "none"

@@ -66,6 +66,7 @@ class DuplicateHandler(Step):
     before the shuffle.  ``mark`` joins the duplicated keys back; AQE splits a
     skewed join partition."""
     name = "duplicate_handler"
+    heavy = True
 
     @dataclass
     class Params:

@@ -15,7 +15,9 @@ from prepwise.operators.numeric_text import DecimalUnifier, PercentageUnifier, U
 from prepwise.operators.outliers import OutlierDetector
 from prepwise.operators.text_steps import ColumnNameCleaner, EncodingNormalizer, TextStandardizer
 from prepwise.operators.values import ConstantRemover, DuplicateHandler, ValueReplacer
+from prepwise.operators.base import Step
 from prepwise.plans import changelog
+from prepwise.session import ensure_checkpoint_dir
 
 REGISTRY = [
     EncodingNormalizer, ColumnNameCleaner, TypeDetector, IdColumnDetector, TextStandardizer,
@@ -42,7 +44,7 @@ class CleaningPipeline:
     over class defaults; unknown config keys raise."""
 
     def __init__(self, enabled_steps: dict | None = None, step_configs: dict | None = None,
-                 checkpoint_after: tuple = (), log_cells: bool = False):
+                 checkpoint_after="auto", log_cells: bool = False):
         enabled_steps = enabled_steps or {}
         step_configs = step_configs or {}
         unknown = (set(enabled_steps) | set(step_configs)) - set(BY_NAME)
@@ -53,19 +55,30 @@ class CleaningPipeline:
             on = enabled_steps.get(cls.name, cls.default_on)
             if on:
                 self.steps.append(cls(**step_configs.get(cls.name, {})))
-        self.checkpoint_after = set(checkpoint_after)
+        self.checkpoint_after = checkpoint_after
         self.log_cells = log_cells
 
+    def _cut_after(self, i: int) -> bool:
+        """Checkpoint after step i?  "auto": after a step whose transform runs
+        Python (Arrow UDFs) or shuffles, when a later step still has to fit —
+        later fits then read the materialised rows instead of recomputing them."""
+        step = self.steps[i]
+        if self.checkpoint_after != "auto":
+            return step.name in set(self.checkpoint_after or ())
+        later_fits = any(type(s)._fit is not Step._fit for s in self.steps[i + 1:])
+        return later_fits and bool(getattr(step, "heavy", False))
+
     def fit(self, df: DataFrame, ctx: Context | None = None) -> "FittedPipeline":
         ctx = ctx or Context.from_schema(df)
         fitted, logs = [], []
-        for step in self.steps:
+        for i, step in enumerate(self.steps):
             f = step.fit(df, ctx)
             if self.log_cells and f.step.row_local and ROW_ID in df.columns:
                 logs.append(changelog.cell_diff(df, step.name, f.exprs(df, ctx)))
             df, ctx = f.transform(df, ctx)
-            if step.name in self.checkpoint_after:
-                df = df.checkpoint(eager=True)     # reliable checkpoint in spark.checkpoint.dir
+            if self._cut_after(i) and not df.isStreaming:
+                ensure_checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)     # reliable: written to spark.checkpoint.dir
             fitted.append(f)
         return FittedPipeline(fitted, df, ctx, logs)
 
