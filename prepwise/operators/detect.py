@@ -40,9 +40,11 @@ def type_stats(df: DataFrame, cols: list[str], formats=dt.DETECT_FORMATS) -> dic
     aggs += [F.count(dt.try_format(x, f)).alias(f"d{j}") for j, f in enumerate(formats)]
     aggs += [F.max((lc == w).cast("int")).alias(f"w{j}") for j, w in enumerate(BOOL_WORDS)]
     rows = {r["column"]: r for r in long.groupBy(F.col("kv.column").alias("column")).agg(*aggs).collect()}
-    out = {"__n": next(iter(rows.values()))["n"] if rows else df.count()}
+    out = {"__n": next(iter(rows.values()))["n"] if rows else 0}
+    empty = {"nn": 0, "num": 0, "int": 0, "sk": None, "nb": 0,
+             **{f"d{j}": 0 for j in range(len(formats))}, **{f"w{j}": 0 for j in range(len(BOOL_WORDS))}}
     for c in cols:
-        r = rows[c]
+        r = rows.get(c, empty)
         out[c] = dict(
             nonnull=r["nn"], num=r["num"], int=r["int"],
             skew=r["sk"] if (r["num"] or 0) > 2 else None,

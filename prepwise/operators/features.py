@@ -279,14 +279,21 @@ def kmeans_edges(df, c, k, m, fill, max_iter) -> list:
         mids = [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
         code = _edges_code(v, mids, right_closed=True)
         rows = df.groupBy(code.alias("k")).agg(F.sum(v).alias("s"), F.count(F.lit(1)).alias("n")).collect()
-        new = list(centers)
-        for r in rows:
-            if r["k"] is not None and r["n"]:
-                new[r["k"]] = r["s"] / r["n"]
+        sums = {r["k"]: (r["s"], r["n"]) for r in rows if r["k"] is not None and r["n"]}
+        empty = [i for i in range(k) if i not in sums]
+        new = [sums[i][0] / sums[i][1] if i in sums else centers[i] for i in range(k)]
+        if empty:
+            # like scikit-learn: an empty cluster moves to the point farthest
+            # from its own centre (a bounded top-k, not a collect)
+            cen = F.element_at(F.array(*[F.lit(float(c)) for c in centers]), code + 1)
+            far = (df.select(v.alias("v"), F.abs(v - cen).alias("d")).where(F.col("v").isNotNull())
+                   .orderBy(F.desc("d")).limit(len(empty)).collect())
+            for i, r in zip(empty, far):
+                new[i] = r["v"]
         new.sort()
         shift = max(abs(a - b) for a, b in zip(new, centers))
         centers = new
-        if shift <= 1e-4 * max(hi - lo, 1e-12):
+        if shift <= 1e-4 * max(hi - lo, 1e-12) and not empty:
             break
     return [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
 

@@ -50,6 +50,8 @@ class CleaningPipeline:
         unknown = (set(enabled_steps) | set(step_configs)) - set(BY_NAME)
         if unknown:
             raise ValueError(f"unknown steps: {sorted(unknown)}")
+        for name, cfg in step_configs.items():      # L2: validate every config, on or off
+            BY_NAME[name](**cfg)
         self.steps = []
         for cls in REGISTRY:
             on = enabled_steps.get(cls.name, cls.default_on)
