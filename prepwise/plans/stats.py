@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-EXACT_LIMIT = 2_000_000
+EXACT_LIMIT = 1_000_000
 APPROX_ACCURACY = 1_000_000
 
 

@@ -40,6 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="prepwise-ckpt-")
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
+    path = tempfile.mkdtemp(prefix="prepwise-ckpt-")      # local mode only (tests, bench)
     sc.setCheckpointDir(path)
     return path
