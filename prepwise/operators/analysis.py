@@ -27,11 +27,11 @@ def pearson_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
         for i, (a, b) in enumerate(pairs)])).alias("t")).select("t.*")
 
 
-def average_ranks(df: DataFrame, c: str, name: str) -> DataFrame:
+def average_ranks(df: DataFrame, c: str, name: str, total: int | None = None) -> DataFrame:
     """Average rank of each value (ties share the mean rank), computed from the
     value-count table with range-bucketed running sums, then joined back."""
     vc = df.where(col(c).isNotNull()).groupBy(col(c).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    b = ordered.bucketize(vc, ["__v"])
+    b = ordered.bucketize(vc, ["__v"], total=total)      # row count bounds the value-count rows
     w = Window.partitionBy(ordered.BUCKET).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("__cum", F.sum("__n").over(w))
     tot = b.groupBy(ordered.BUCKET).agg(F.sum("__n").alias("__t"))
@@ -46,9 +46,10 @@ def spearman_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Spearman = Pearson of average ranks over the rows complete in all
     chosen columns (equal to pairwise ranking when there are no nulls)."""
     complete = df.dropna(subset=cols).select(*[col(c) for c in cols])
+    n = complete.count()
     ranked = complete
     for i, c in enumerate(cols):
-        ranked = average_ranks(ranked, c, f"__rk{i}")
+        ranked = average_ranks(ranked, c, f"__rk{i}", total=n)
     renamed = ranked.select(*[F.col(f"__rk{i}").alias(c) for i, c in enumerate(cols)])
     return pearson_pairs(renamed, cols)
 
@@ -135,7 +136,7 @@ def profile(df: DataFrame, ctx=None, top_k: int = 5) -> DataFrame:
     total, nulls = stats.null_counts(df, cols)
     mom = stats.numeric_moments(df, numeric)
     med = stats.quantiles(df, [c for c in numeric if mom[c]["n"]], [0.5],
-                          {c: mom[c]["approx_distinct"] for c in numeric})
+                          {c: mom[c]["approx_distinct"] for c in numeric}, counts={c: mom[c]["n"] for c in numeric})
     mm = {}
     if orderable:
         r = df.agg(*[F.min(col(c)).cast("string").alias(f"mn{i}") for i, c in enumerate(orderable)],

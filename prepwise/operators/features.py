@@ -36,7 +36,8 @@ class FeatureScaler(Step):
         out = {}
         qs = {}
         if self.params.method == "robust":
-            qs = stats.quantiles(df, cols, [0.25, 0.5, 0.75], {c: mom[c]["approx_distinct"] for c in cols})
+            qs = stats.quantiles(df, cols, [0.25, 0.5, 0.75], {c: mom[c]["approx_distinct"] for c in cols},
+                                 counts={c: mom[c]["n"] for c in cols})
         for c in cols:
             m = mom[c]
             if (m["n"] or 0) < 2:

@@ -97,7 +97,7 @@ def fit_forest(df, cols, ctx, n_trees, sample_size, contamination, seed) -> dict
         trees.setdefault(r["tree"], []).append((r["feature"], r["split"], r["left"], r["right"], r["size"]))
     forest = {"trees": [trees[t] for t in sorted(trees)], "psi": psi, "threshold": None}
     scored = complete.select(score_column(forest, cols).alias("s"))
-    q = stats.quantiles(scored, ["s"], [contamination], distinct={"s": n})
+    q = stats.quantiles(scored, ["s"], [contamination], distinct={"s": n}, counts={"s": n})
     forest["threshold"] = q["s"][0] if q.get("s") else None
     return forest
 

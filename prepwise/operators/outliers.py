@@ -49,7 +49,8 @@ class OutlierDetector(Step):
         fences = {}
         need_q = p.method == "iqr" or p.action == "cap" and p.method == "isolation_forest"
         if need_q:
-            qs = stats.quantiles(df, cols, [0.25, 0.75], distinct={c: mom[c]["approx_distinct"] for c in cols})
+            qs = stats.quantiles(df, cols, [0.25, 0.75], distinct={c: mom[c]["approx_distinct"] for c in cols},
+                                 counts={c: mom[c]["n"] for c in cols})
         for c in cols:
             m = mom[c]
             f = {"n": m["n"]}

@@ -7,6 +7,8 @@ data.  The switch is decided from ``approx_count_distinct`` (bounded sketch).
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 EXACT_LIMIT = 1_000_000
@@ -43,22 +45,33 @@ def numeric_moments(df: DataFrame, cols: list[str]) -> dict[str, dict]:
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], distinct: dict | None = None,
-              exact_limit: int = EXACT_LIMIT, accuracy: int = APPROX_ACCURACY) -> dict[str, list]:
-    """Linear-interpolated quantiles of the non-null values (pandas/NumPy default)."""
+              exact_limit: int = EXACT_LIMIT, approx: bool = False, accuracy: int = APPROX_ACCURACY,
+              counts: dict | None = None) -> dict[str, list]:
+    """Linear-interpolated quantiles of the non-null values (NumPy/pandas default).
+
+    Columns whose sketch says ≤ ``exact_limit`` distinct values use Spark's
+    ``percentile`` (its buffer holds one entry per distinct value, so it is
+    bounded); larger columns use ``exact_quantiles`` (value counts + range
+    buckets), which stays exact without any task holding all values.
+    ``approx=True`` asks for ``percentile_approx`` instead."""
     if not cols:
         return {}
+    if approx:
+        r = df.agg(*[F.percentile_approx(col(c).cast("double"), probs, accuracy).alias(f"q{i}")
+                     for i, c in enumerate(cols)]).first()
+        return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else None) for i, c in enumerate(cols)}
     if distinct is None:
         r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
         distinct = {c: r[f"d{i}"] for i, c in enumerate(cols)}
-    aggs = []
-    for i, c in enumerate(cols):
-        x = col(c).cast("double")
-        if (distinct.get(c) or 0) <= exact_limit:
-            aggs.append(F.percentile(x, probs).alias(f"q{i}"))
-        else:
-            aggs.append(F.percentile_approx(x, probs, accuracy).alias(f"q{i}"))
-    r = df.agg(*aggs).first()
-    return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else None) for i, c in enumerate(cols)}
+    small = [c for c in cols if (distinct.get(c) or 0) <= exact_limit]
+    big = [c for c in cols if c not in small]
+    out = {}
+    if small:
+        r = df.agg(*[F.percentile(col(c).cast("double"), probs).alias(f"q{i}") for i, c in enumerate(small)]).first()
+        out.update({c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else None) for i, c in enumerate(small)})
+    if big:
+        out.update(exact_quantiles(df, big, probs, counts=counts))
+    return out
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -157,3 +170,94 @@ def distinct_for_ratio(df: DataFrame, cols: list[str], denominators: dict, thres
         got, _ = distinct_and_top(df, near, k=0)
         out.update(got)
     return out
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_bucket_rows: int = 5_000_000,
+                    max_buckets: int = 20_000, counts: dict | None = None) -> dict[str, list | None]:
+    """Exact linear-interpolated quantiles at any scale, without a per-task
+    buffer of all values.
+
+    1. value counts in long form ``(column, value) → n`` (map-side combined);
+    2. range buckets over ``(column, value)`` (deterministic, see ``ordered``);
+    3. per-bucket totals — one row per bucket and column — locate the bucket
+       holding each target rank;
+    4. a running sum inside those buckets only marks the rows at the target
+       ranks, and just those rows (≤ 2 per probability and column) are collected.
+    """
+    from prepwise.plans import ordered
+
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("kv"))
+    long = long.select("kv.c", "kv.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    vc = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    # an upper bound of the value-count rows is enough to size the sample
+    n_vc = sum(counts[c] or 0 for c in cols) if counts and all(c in counts for c in cols) else vc.count()
+    if n_vc == 0:
+        return {c: None for c in cols}
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nb = int(min(max_buckets, max(base, n_vc // max_bucket_rows + 1)))
+    b = ordered.bucketize(vc, ["c", "v"], n_buckets=nb, total=n_vc)
+    summ = b.groupBy(ordered.BUCKET, "c").agg(F.sum("n").alias("cnt")).collect()
+    per_col: dict[int, list] = {}
+    for r in summ:
+        per_col.setdefault(r["c"], []).append((r[ordered.BUCKET], r["cnt"]))
+    wanted: dict[tuple, list] = {}          # (c, bucket) -> local target ranks
+    plan: dict[int, list] = {}              # c -> [(p, lo_rank, hi_rank, frac)]
+    for ci, parts in per_col.items():
+        parts.sort()
+        total = sum(cnt for _, cnt in parts)
+        offs, acc = [], 0
+        for bk, cnt in parts:
+            offs.append((bk, acc, cnt))
+            acc += cnt
+        plan[ci] = []
+        for p in probs:
+            h = (total - 1) * p
+            lo = int(math.floor(h))
+            hi = min(lo + 1, total - 1)
+            plan[ci].append((lo, hi, h - lo))
+            for k in {lo, hi}:
+                for bk, off, cnt in offs:
+                    if off <= k < off + cnt:
+                        wanted.setdefault((ci, bk), []).append(k - off)
+                        break
+    keys = F.create_map(*sum([[F.lit(f"{ci}:{bk}"), F.array(*[F.lit(x) for x in sorted(set(ks))])]
+                              for (ci, bk), ks in wanted.items()], []))
+    tag = F.concat_ws(":", F.col("c").cast("string"), F.col(ordered.BUCKET).cast("string"))
+    sel = b.where(F.array_contains(F.array(*[F.lit(f"{ci}:{bk}") for ci, bk in wanted]), tag))
+    w = Window.partitionBy(ordered.BUCKET, "c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sel = sel.withColumn("cum", F.sum("n").over(w)).withColumn("ks", F.element_at(keys, tag))
+    hit = sel.where(F.exists("ks", lambda k: (k >= F.col("cum") - F.col("n")) & (k < F.col("cum"))))
+    rows = hit.select("c", ordered.BUCKET, "v", "n", "cum").collect()
+    # global rank range of each collected row
+    offset_of = {}
+    for ci, parts in per_col.items():
+        acc = 0
+        for bk, cnt in sorted(parts):
+            offset_of[(ci, bk)] = acc
+            acc += cnt
+    at: dict[int, list] = {}
+    for r in rows:
+        start = offset_of[(r["c"], r[ordered.BUCKET])] + r["cum"] - r["n"]
+        at.setdefault(r["c"], []).append((start, start + r["n"], r["v"]))
+
+    def value(ci, k):
+        for a, z, v in at.get(ci, []):
+            if a <= k < z:
+                return v
+        raise RuntimeError("rank not located")
+
+    out = {}
+    for i, c in enumerate(cols):
+        if i not in plan:
+            out[c] = None
+            continue
+        res = []
+        for lo, hi, frac in plan[i]:
+            a, z = value(i, lo), value(i, hi)
+            res.append(a if frac == 0 or a == z else a + (z - a) * frac)
+        out[c] = res
+    return out
