@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import functions as F, types as T
 
 from prepwise.context import ROW_ID, Role
@@ -84,6 +85,7 @@ def search_lambda(df, cols, kind, offsets, lo=-4.0, hi=4.0, points=17, rounds=4,
     for all columns and all candidate λ (variance via Spark's stable var_pop)."""
     if not cols:
         return {}
+    df = df.select(*[col(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)   # scanned every round
     xs = {c: col(c).cast("double") + F.lit(offsets.get(c, 0.0)) for c in cols}
     base = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
                   *[F.sum(F.log(xs[c]) if kind == "box_cox" else F.signum(xs[c]) * F.log1p(F.abs(xs[c])))
@@ -114,6 +116,7 @@ def search_lambda(df, cols, kind, offsets, lo=-4.0, hi=4.0, points=17, rounds=4,
                 bounds[c] = (best[c] - width / 2, best[c] + width / 2)
             else:
                 bounds[c] = (best[c] - step, best[c] + step)
+    df.unpersist()
     return best
 
 
@@ -275,7 +278,49 @@ def kmeans_edges(df, c, k, m, fill, max_iter) -> list:
     lo, hi = m["min"], m["max"]
     uniform = np.linspace(lo, hi, k + 1)
     centers = list((uniform[1:] + uniform[:-1]) * 0.5)
-    v = F.coalesce(x, F.lit(fv))
+    # the loop scans one column many times: keep just that projection
+    # (memory and disk; a lost block is recomputed from the lineage)
+    proj = df.select(F.coalesce(x, F.lit(fv)).alias("__v")).persist(StorageLevel.MEMORY_AND_DISK)
+    var = (m["std_pop"] or 0.0) ** 2
+    try:
+        centers = _histogram_lloyd(proj, centers, k, lo, hi, var)     # warm start, one job
+        centers = _lloyd(proj, centers, k, var, lo, hi, max_iter)      # exact polish on the rows
+    finally:
+        proj.unpersist()
+    return [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
+
+
+def _histogram_lloyd(df, centers, k, lo, hi, var, bins: int = 65_536):
+    """Lloyd iterations on a fixed-size histogram (per-bin sum and count): the
+    result is bounded by ``bins`` whatever the data size, and lands next to
+    the fixed point the exact iterations then confirm."""
+    if hi <= lo:
+        return centers
+    width = (hi - lo) / bins
+    b = F.least(F.floor((F.col("__v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    rows = df.groupBy(b.alias("b")).agg(F.sum("__v").alias("s"), F.count(F.lit(1)).alias("n")).collect()
+    s = np.array([r["s"] for r in rows], dtype=float)
+    n = np.array([r["n"] for r in rows], dtype=float)
+    mean = s / n
+    c = np.array(centers, dtype=float)
+    for _ in range(1000):
+        mids = (c[1:] + c[:-1]) / 2
+        code = np.searchsorted(mids, mean, side="left")       # x > mid ⇒ next cluster
+        new = c.copy()
+        for i in range(k):
+            sel = code == i
+            if n[sel].sum() > 0:
+                new[i] = s[sel].sum() / n[sel].sum()
+        new.sort()
+        done = ((new - c) ** 2).sum() <= 1e-4 * var * 1e-3
+        c = new
+        if done:
+            break
+    return list(c)
+
+
+def _lloyd(df, centers, k, var, lo, hi, max_iter):
+    v = F.col("__v")
     for _ in range(max_iter):
         mids = [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
         code = _edges_code(v, mids, right_closed=True)
@@ -292,11 +337,11 @@ def kmeans_edges(df, c, k, m, fill, max_iter) -> list:
             for i, r in zip(empty, far):
                 new[i] = r["v"]
         new.sort()
-        shift = max(abs(a - b) for a, b in zip(new, centers))
+        shift = sum((a - b) ** 2 for a, b in zip(new, centers))
         centers = new
-        if shift <= 1e-4 * max(hi - lo, 1e-12) and not empty:
+        if shift <= 1e-4 * var and not empty:          # scikit-learn's tolerance rule
             break
-    return [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
+    return centers
 
 
 class CategoricalEncoder(Step):
