@@ -100,6 +100,10 @@ class TypeDetector(Step):
             dt_ok = dt_ratio >= p.datetime_threshold
             if num_ok and dt_ok:                               # D5
                 role = Role.DATETIME if _has_word(c, vocab.DATE_NAME_WORDS) else Role.NUMERIC
+            elif s["num"] == nonnull:
+                # every non-null value is a number: a typed reader would already
+                # have made this a numeric column (D2), whatever the null share
+                role = Role.NUMERIC
             elif dt_ok:
                 role = Role.DATETIME
             elif num_ok:

@@ -120,3 +120,25 @@ def test_preview_page(frame):
     df = frame([(i,) for i in range(250)], "k int")
     page = df.orderBy("k").offset(100).limit(100)
     assert [r[0] for r in page.collect()] == list(range(100, 200))
+
+
+def test_clean_one_call_and_report(spark):
+    d = tempfile.mkdtemp(prefix="prepwise-clean-")
+    path = os.path.join(d, "in.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("id,Weight,Score\n")
+        for i in range(40):
+            fh.write(f"{i},{i % 5 + 1}kg,{'' if i % 7 == 0 else (i * 17) % 23 + 0.5}\n")
+    fp = prepwise.clean(spark, path, enable=["feature_scaler"], skip=["duplicate_handler"],
+                        outlier_action="cap", scaler_method="minmax")
+    out = fp.result
+    assert "Weight(kg)" in out.columns and out.count() == 40
+    mx = out.agg(F.max("Score"), F.min("Score")).first()
+    assert mx[0] == pytest.approx(1.0) and mx[1] == pytest.approx(0.0)
+    rep = changelog.report(fp.profile(), fp.context.events, shape=[out.count(), len(out.columns)])
+    target = os.path.join(d, "report.json")
+    changelog.write_report(rep, target)
+    import json
+    loaded = json.load(open(target, encoding="utf-8"))
+    assert {c["column"] for c in loaded["columns"]} >= {"id", "Weight(kg)", "Score"}
+    assert fp.meta["rows"] == 40 and fp.meta["extension"] == ".csv"
