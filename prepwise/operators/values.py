@@ -24,6 +24,17 @@ class ValueReplacer(Step):
         na_values: list = field(default_factory=lambda: list(vocab.NA_TOKENS))
         custom_rules: list = field(default_factory=list)   # (find, replace, is_regex, columns)
 
+        def validate(self):
+            import re
+            for rule in self.custom_rules:
+                if len(rule) < 3:
+                    raise ValueError(f"rule needs (find, replace, is_regex[, columns]): {rule!r}")
+                if rule[2]:
+                    try:
+                        re.compile(rule[0])
+                    except re.error as e:
+                        raise ValueError(f"bad pattern {rule[0]!r}: {e}") from e
+
     def _exprs(self, df, ctx, state):
         p = self.params
         types = {f.name: f.dataType for f in df.schema.fields}

@@ -142,3 +142,24 @@ def test_clean_one_call_and_report(spark):
     loaded = json.load(open(target, encoding="utf-8"))
     assert {c["column"] for c in loaded["columns"]} >= {"id", "Weight(kg)", "Score"}
     assert fp.meta["rows"] == 40 and fp.meta["extension"] == ".csv"
+
+
+def test_bad_regex_rule_raises_early():
+    from prepwise.operators.values import ValueReplacer
+    with pytest.raises(ValueError):
+        ValueReplacer(custom_rules=[("(", "x", True, None)])
+
+
+def test_stream_file_sink(spark):
+    import shutil
+    from prepwise.streaming.apply import write_stream
+    src = "/root/testdata/sf0.001/events.parquet"
+    folder = tempfile.mkdtemp(prefix="prepwise-stream-")
+    shutil.copy(src, os.path.join(folder, "part-0.parquet"))
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).parquet(folder).select("event_id", "value")
+    out = os.path.join(tempfile.mkdtemp(prefix="prepwise-sink-"), "events")
+    q = write_stream(stream, out, "sink_test")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(out).count() == spark.read.parquet(src).count()
