@@ -737,8 +737,8 @@ def q_cell_log(spark, d):
 
 @register("changes_per_step", f"""WITH a AS (SELECT text AS t0, {_enc_sql('text')} AS t1 FROM {V.DOCUMENTS_DIRTY_SQL}),
 b AS (SELECT t0, t1, lower(t1) AS t2 FROM a)
-SELECT 'encoding_normalizer' AS step, count_if(t0 IS DISTINCT FROM t1) AS changes FROM b
-UNION ALL SELECT 'text_standardizer', count_if(t1 IS DISTINCT FROM t2) FROM b""")
+SELECT 'encoding_normalizer' AS step, CAST(count_if(t0 IS DISTINCT FROM t1) AS BIGINT) AS changes FROM b
+UNION ALL SELECT 'text_standardizer', CAST(count_if(t1 IS DISTINCT FROM t2) AS BIGINT) FROM b""")
 def q_changes_per_step(spark, d):
     from prepwise.plans.chain import CleaningPipeline
     t, ctx = _docs(spark, d)
