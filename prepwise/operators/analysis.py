@@ -27,31 +27,34 @@ def pearson_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
         for i, (a, b) in enumerate(pairs)])).alias("t")).select("t.*")
 
 
-def average_ranks(df: DataFrame, c: str, name: str, total: int | None = None) -> DataFrame:
-    """Average rank of each value (ties share the mean rank), computed from the
-    value-count table with range-bucketed running sums, then joined back."""
-    vc = df.where(col(c).isNotNull()).groupBy(col(c).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    b = ordered.bucketize(vc, ["__v"], total=total)      # row count bounds the value-count rows
-    w = Window.partitionBy(ordered.BUCKET).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumn("__cum", F.sum("__n").over(w))
-    tot = b.groupBy(ordered.BUCKET).agg(F.sum("__n").alias("__t"))
-    off = tot.select(ordered.BUCKET, F.coalesce(F.sum("__t").over(
-        Window.orderBy(ordered.BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    ranks = local.join(F.broadcast(off), ordered.BUCKET).select(
-        F.col("__v"), (F.col("__off") + F.col("__cum") - (F.col("__n") - 1) / 2.0).alias(name))
-    return df.join(ranks, col(c).eqNullSafe(F.col("__v")), "left").drop("__v")
-
-
 def spearman_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Spearman = Pearson of average ranks over the rows complete in all
-    chosen columns (equal to pairwise ranking when there are no nulls)."""
-    complete = df.dropna(subset=cols).select(*[col(c) for c in cols])
+    chosen columns (equal to pairwise ranking when there are no nulls).
+
+    All columns are ranked together in long form: one value-count table
+    ``(column, value) → n``, one set of range buckets, running sums inside
+    buckets plus per-bucket offsets (a table with one row per bucket and
+    column), then one join back on ``(column, value)`` and one regroup by row."""
+    k = len(cols)
+    complete = df.dropna(subset=cols).select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    complete = complete.withColumn("__rid", F.monotonically_increasing_id())
     n = complete.count()
-    ranked = complete
-    for i, c in enumerate(cols):
-        ranked = average_ranks(ranked, c, f"__rk{i}", total=n)
-    renamed = ranked.select(*[F.col(f"__rk{i}").alias(c) for i, c in enumerate(cols)])
-    return pearson_pairs(renamed, cols)
+    long = complete.select("__rid", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(f"x{i}").alias("v")) for i in range(k)])).alias("kv")) \
+        .select("__rid", "kv.c", "kv.v")
+    vc = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    b = ordered.bucketize(vc, ["c", "v"], total=n * k)
+    run = Window.partitionBy(ordered.BUCKET, "c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    local = b.withColumn("cum", F.sum("n").over(run))
+    tot = b.groupBy(ordered.BUCKET, "c").agg(F.sum("n").alias("t"))
+    off = tot.select(ordered.BUCKET, "c", F.coalesce(F.sum("t").over(
+        Window.partitionBy("c").orderBy(ordered.BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("off"))
+    ranks = local.join(F.broadcast(off), [ordered.BUCKET, "c"]).select(
+        "c", "v", (F.col("off") + F.col("cum") - (F.col("n") - 1) / 2.0).alias("rank"))
+    wide = long.join(ranks, ["c", "v"]).groupBy("__rid").agg(*[
+        F.max(F.when(F.col("c") == i, F.col("rank"))).alias(c) for i, c in enumerate(cols)])
+    return pearson_pairs(wide, cols)
 
 
 def vif(df: DataFrame, cols: list[str], intercept: bool = False) -> list[tuple[str, float]]:
