@@ -73,13 +73,12 @@ class TypeDetector(Step):
         numerics = [c for c, t in fields.items() if isinstance(t, T.NumericType)]
         st = type_stats(df, strings) if strings else {"__n": df.count()}
         n_all = st["__n"]
-        distinct = distinct_for_ratio(df, strings, {c: st[c]["nonnull"] for c in strings},
-                                      p.categorical_max_ratio, exact=p.exact)
-        skew = {}
-        if numerics:
-            r = df.agg(*[F.skewness(col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numerics)],
-                       *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(numerics)]).first()
-            skew = {c: (r[f"s{i}"] if r[f"n{i}"] > 2 else None) for i, c in enumerate(numerics)}
+        extra = [F.skewness(col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numerics)] + \
+                [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(numerics)]
+        distinct, r = distinct_for_ratio(df, strings, {c: st[c]["nonnull"] for c in strings},
+                                         p.categorical_max_ratio, exact=p.exact,
+                                         extra=extra or [F.count(F.lit(1)).alias("__n")])
+        skew = {c: (r[f"s{i}"] if r[f"n{i}"] > 2 else None) for i, c in enumerate(numerics)}
         roles, convert = {}, {}
         for c, t in fields.items():
             if c not in strings:
@@ -162,11 +161,11 @@ class IdColumnDetector(Step):
         cols = list(fields)
         if not cols:
             return {"ids": {}}
-        r = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+        extra = [F.count(F.lit(1)).alias("__n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(cols)]]
+        distinct, r = distinct_for_ratio(df, cols, lambda row: {c: row["__n"] for c in cols},
+                                         p.unique_ratio_threshold, exact=p.exact, extra=extra)
         n_all = r["__n"]
         nonnull = {c: r[f"n{i}"] for i, c in enumerate(cols)}
-        distinct = distinct_for_ratio(df, cols, {c: n_all for c in cols}, p.unique_ratio_threshold,
-                                      exact=p.exact)
         reasons: dict[str, list[str]] = {c: [] for c in cols}
         for c in cols:
             if p.check_name_pattern:                                       # I1

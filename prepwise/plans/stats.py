@@ -149,27 +149,31 @@ def first_k_stats(df: DataFrame, cols: list[str], order, k: int, metrics: dict)
     return {r["column"]: {name: r[name] for name in metrics} for r in rows}
 
 
-def distinct_for_ratio(df: DataFrame, cols: list[str], denominators: dict, threshold: float,
-                       rel_band: float = 0.25, exact: bool = True) -> dict:
+def distinct_for_ratio(df: DataFrame, cols: list[str], denominators, threshold: float,
+                       rel_band: float = 0.25, exact: bool = True, extra: list | None = None):
     """Distinct counts good enough to compare ``distinct / denominator`` with a
     threshold.  The default HLL sketch (5 % standard error; finer sketches
     are slow in Spark, whose buffer holds one field per register word)
     settles every column whose ratio is more than ``rel_band`` (5 standard
     errors) from the threshold; only columns inside the band get the exact
-    value-count shuffle.  ``exact=False`` decides from the sketch alone."""
-    if not cols:
-        return {}
-    r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+    value-count shuffle.  ``exact=False`` decides from the sketch alone.
+    ``extra`` aggregates ride along in the same job; then ``(counts, row)``
+    is returned."""
+    extra = extra or []
+    if not cols and not extra:
+        return ({}, None) if extra else {}
+    r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(cols)], *extra).first()
     approx = {c: r[f"a{i}"] for i, c in enumerate(cols)}
-    if not exact:
-        return approx
-    near = [c for c in cols if denominators.get(c) and
-            abs(approx[c] / denominators[c] - threshold) <= rel_band * threshold]
+    if callable(denominators):          # denominators may depend on the extra aggregates
+        denominators = denominators(r)
     out = dict(approx)
-    if near:
-        got, _ = distinct_and_top(df, near, k=0)
-        out.update(got)
-    return out
+    if exact:
+        near = [c for c in cols if denominators.get(c) and
+                abs(approx[c] / denominators[c] - threshold) <= rel_band * threshold]
+        if near:
+            got, _ = distinct_and_top(df, near, k=0)
+            out.update(got)
+    return (out, r) if extra else out
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_bucket_rows: int = 5_000_000,
