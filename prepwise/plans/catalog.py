@@ -740,12 +740,11 @@ b AS (SELECT t0, t1, lower(t1) AS t2 FROM a)
 SELECT 'encoding_normalizer' AS step, CAST(count_if(t0 IS DISTINCT FROM t1) AS BIGINT) AS changes FROM b
 UNION ALL SELECT 'text_standardizer', CAST(count_if(t1 IS DISTINCT FROM t2) AS BIGINT) FROM b""")
 def q_changes_per_step(spark, d):
-    from prepwise.plans.chain import CleaningPipeline
+    from prepwise.plans.chain import REGISTRY, CleaningPipeline
     t, ctx = _docs(spark, d)
     t = t.withColumn(ROW_ID, F.col("doc_id"))
     pipe = CleaningPipeline(
-        enabled_steps={n: n in ("encoding_normalizer", "text_standardizer") for n in
-                       [c.name for c in __import__("prepwise.plans.chain", fromlist=["REGISTRY"]).REGISTRY]},
+        enabled_steps={c.name: c.name in ("encoding_normalizer", "text_standardizer") for c in REGISTRY},
         step_configs={"encoding_normalizer": {"unicode_normalize": None},
                       "text_standardizer": {**TXT_OFF, "case": "lower"}},
         log_cells=True)

@@ -104,6 +104,7 @@ class FittedPipeline:
     result: DataFrame
     context: Context
     logs: list = field(default_factory=list)
+    meta: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame, ctx: Context | None = None) -> tuple[DataFrame, Context]:
         """Apply the fitted parameters to new data (no refit)."""
@@ -154,6 +155,5 @@ def clean(spark, path: str, enabled_steps: dict | None = None, step_configs: dic
         enabled.setdefault("feature_scaler", True)
     df, ctx, meta = load(spark, path, encoding=encoding, order_by=order_by)
     fp = CleaningPipeline(enabled, cfg).fit(df, ctx)
-    fp.context = fp.context.with_()
     fp.meta = meta
     return fp
