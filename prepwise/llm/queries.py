@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, pieces, simhash, toxicity
+from . import exact, mixing, ngram_lm, passages, pieces, simhash, toxicity, urls, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,10 +14,31 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark, sf_dir):
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
+def op3_substring_dedup(spark, sf_dir):
+    return passages.near_passages(_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark, sf_dir):
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_warc_audit(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return warc.audit_pages(pages, warc.damaged_copy(pages))
+
+
+def op7_ngram_lm(spark, sf_dir):
+    return ngram_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark, sf_dir):
     return pieces.encode_documents(_table(spark, sf_dir, "documents"))
 
@@ -33,13 +54,49 @@ def op10_mixing(spark, sf_dir):
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_url_filter": op2_url_filter,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_warc_audit": op6_warc_audit,
+    "op7_ngram_lm": op7_ngram_lm,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
 }
 
 SQL = {
+    "op2_url_filter": r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url,
+                  translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+     r AS (SELECT *, CASE
+             WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+             WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+             WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule,
+             translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM p),
+     h AS (SELECT *,
+             len(list_filter(['porn','porno','xxx','hentai','camgirls','milf','escorts','viagra','cialis','warez','torrent','casino'],
+                 lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '($|[^a-z0-9])')))::INTEGER AS strict_hits,
+             len(list_filter(['adult','sex','nude','naked','erotic','dating','bet','betting','poker','slots','pills','crack','keygen','loan'],
+                 lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '($|[^a-z0-9])')))::INTEGER AS soft_hits FROM r)
+SELECT page_id, host, path, rule,
+       CASE rule WHEN 'org/' THEN 'allow' WHEN 'com/fr/' THEN 'allow' WHEN 'example.org/es/' THEN 'block'
+                 WHEN 'example.org/en/1' THEN 'block' WHEN 'com/de/' THEN 'block'
+                 ELSE CASE WHEN strict_hits >= 1 OR soft_hits >= 2 THEN 'block' ELSE 'allow' END END AS verdict,
+       strict_hits, soft_hits FROM h""",
+    "op6_warc_audit": r"""
+WITH r AS (SELECT page_id, coalesce(html, '') AS body, page_id // 4096 AS archive,
+                  'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+                  || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+                  || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages),
+     o AS (SELECT *, strlen(record)::BIGINT AS length, sha256(record) AS digest FROM r)
+SELECT page_id, archive, row_number() OVER w AS ordinal, (sum(length) OVER w - length)::BIGINT AS start, length, digest,
+       CASE page_id % 97 WHEN 7 THEN 'missing' WHEN 3 THEN CASE WHEN body[1] = '~' THEN 'ok' WHEN body = '' THEN 'resized' ELSE 'altered' END
+            WHEN 5 THEN CASE WHEN body = '' THEN 'ok' ELSE 'resized' END ELSE 'ok' END AS status
+FROM o WINDOW w AS (PARTITION BY archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING)""",
     "op9_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
