@@ -54,11 +54,15 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp)`` per row; ``fp`` is the fingerprint as a signed long."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _fingerprint_column(words)(F.col(text_col)).alias("fp"))
+
+
+def _fingerprint_column(words: int):
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+    return fp
 
 
 def neighbour_offsets(segments: int, bits: int) -> list[int]:
@@ -76,7 +80,7 @@ def neighbour_offsets(segments: int, bits: int) -> list[int]:
 def popcount_vector(fp, segments: int):
     """Per-segment bit counts of a fingerprint column, packed into a long with a byte for each segment."""
     width = 64 // segments
-    mask = (1 << width) - 1
+    mask = (1 << width) - 1 if width < 64 else -1
     out = F.lit(0).cast("long")
     for s in range(segments):
         count = F.bit_count(F.shiftrightunsigned(fp, s * width).bitwiseAND(F.lit(mask))).cast("long")
@@ -102,37 +106,45 @@ def near_pairs(nodes: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS)
     return probes.join(held, (probes.cell == held.cell) & close & once).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, segments: int = SEGMENTS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` per row of ``docs``.
-
-    Copies share a fingerprint and are collapsed before the join, so a group of copies of any
-    size is one node; the component is the smallest id reachable over links."""
+def _groups(docs: DataFrame, words: int, bits: int, segments: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` per row and ``(fp, component, component_id)`` per fingerprint."""
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.save(fingerprints(docs, words, id_col, text_col))
     nodes = scratch.save(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    keyed = nodes.select(F.col("fp").alias("node"), "fp")
-    linked = components(scratch, near_pairs(keyed, bits, segments))
+    linked = components(scratch, near_pairs(nodes.select(F.col("fp").alias("node"), "fp"), bits, segments))
     # components are named by their smallest fingerprint; rename them by their smallest id
     named = nodes.join(linked, nodes.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    groups = named.join(names, "component").select("fp", "component_id")
+    return prints, scratch.save(named.join(names, "component").select("fp", "component", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, segments: int = SEGMENTS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` per row of ``docs``.
+
+    Copies share a fingerprint and are collapsed before the join, so a group of copies of any
+    size is one node; the component is the smallest id reachable over links."""
+    prints, groups = _groups(docs, words, bits, segments, id_col, text_col)
     return prints.join(groups, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS,
+def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, segments: int = SEGMENTS,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every group of linked documents (the smallest id), all columns kept.
 
-    Rows without an id cannot be named by one: a group without any id keeps its smallest text."""
-    found = near_duplicates(docs, words, bits, id_col=id_col, text_col=text_col)
-    lost = found.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("__d")).distinct()
-    stay = docs.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col("__d")), "left_anti")
-    # ids on several rows: a group's first id may stand on rows that differ, one of them stays
-    several = docs.groupBy(F.col(id_col).cast("long").alias("__m")).count().where("count > 1").select("__m")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__m"))
-    rank = free_name(docs.columns, "__rank")
-    w = Window.partitionBy(id_col).orderBy(text_col)
-    rest = stay.join(several, same, "left_semi").withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
-    return stay.join(several, same, "left_anti").unionByName(rest).select(*docs.columns)
+    Of rows that repeat that id, and of a group without any id, the smallest text stays."""
+    prints, groups = _groups(docs, words, bits, segments, id_col, text_col)
+    ids = prints.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("fp").alias("fp")).where("doc_id is not null")
+    several = ids.where("n > 1").select("doc_id")
+    lost = ids.where("n = 1").join(groups, "fp").where("doc_id <> component_id").select("doc_id")
+    own, same = F.col(id_col).cast("long"), F.col(id_col).cast("long") == F.col("__d")
+    plain = docs.where(own.isNotNull()).join(lost.union(several).select(F.col("doc_id").alias("__d")), same, "left_anti")
+    # rows without an id, or whose id others have too, are told apart by their fingerprints
+    odd = docs.where(own.isNull()).unionByName(docs.join(several.select(F.col("doc_id").alias("__d")), same, "left_semi"))
+    mark, rank = free_name(docs.columns, "__fp"), free_name(docs.columns, "__rank")
+    marked = odd.withColumn(mark, _fingerprint_column(words)(F.col(text_col)))
+    first = marked.join(groups.select(F.col("fp").alias("__f"), F.col("component").alias("__c"), F.col("component_id").alias("__i")), F.col(mark) == F.col("__f"))
+    w = Window.partitionBy("__c").orderBy(text_col)
+    first = first.where(own.eqNullSafe(F.col("__i"))).withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1)
+    return plain.select(*docs.columns).unionByName(first.select(*docs.columns))

@@ -23,7 +23,7 @@ from .common import Scratch, free_name, residue
 
 ORDERS = (3, 4, 5)
 BITS = 18
-ALPHA = 1.0
+ALPHA = 0.1
 FIT_ROWS = 1000
 L2 = 1.0
 STEPS = 100
