@@ -38,12 +38,11 @@ def spearman_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     k = len(cols)
     complete = df.dropna(subset=cols).select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     complete = complete.withColumn("__rid", F.monotonically_increasing_id())
-    n = complete.count()
     long = complete.select("__rid", F.explode(F.array(*[
         F.struct(F.lit(i).alias("c"), F.col(f"x{i}").alias("v")) for i in range(k)])).alias("kv")) \
         .select("__rid", "kv.c", "kv.v")
     vc = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    b = ordered.bucketize(vc, ["c", "v"], total=n * k)
+    b = ordered.bucketize(vc, ["c", "v"])
     run = Window.partitionBy(ordered.BUCKET, "c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("cum", F.sum("n").over(run))
     tot = b.groupBy(ordered.BUCKET, "c").agg(F.sum("n").alias("t"))
@@ -126,9 +125,8 @@ PROFILE_SCHEMA = T.StructType([
 
 
 def profile(df: DataFrame, ctx=None, top_k: int = 5) -> DataFrame:
-    """One row per column (R5–R8).  Three jobs whatever the width: moments,
-    quantiles (exact up to a distinct-count limit), and the value-count
-    table that yields distinct counts and top values together."""
+    """One row per column (R5–R8), from a few passes whatever the width: null counts, moments, exact
+    medians, text extremes, and the value-count table that yields distinct counts and top values together."""
     spark = df.sparkSession
     fields = [f for f in df.schema.fields if f.name != ROW_ID]
     cols = [f.name for f in fields]
@@ -138,8 +136,7 @@ def profile(df: DataFrame, ctx=None, top_k: int = 5) -> DataFrame:
                  and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
     total, nulls = stats.null_counts(df, cols)
     mom = stats.numeric_moments(df, numeric)
-    med = stats.quantiles(df, [c for c in numeric if mom[c]["n"]], [0.5],
-                          {c: mom[c]["approx_distinct"] for c in numeric}, counts={c: mom[c]["n"] for c in numeric})
+    med = stats.quantiles(df, [c for c in numeric if mom[c]["n"]], [0.5])
     mm = {}
     if orderable:
         r = df.agg(*[F.min(col(c)).cast("string").alias(f"mn{i}") for i, c in enumerate(orderable)],
@@ -165,12 +162,18 @@ def profile(df: DataFrame, ctx=None, top_k: int = 5) -> DataFrame:
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
+def table_summary(df: DataFrame) -> DataFrame:
+    """Rows, columns, total missing cells and the type of every column, as one row."""
+    users = [f for f in df.schema.fields if f.name != ROW_ID]
+    missing = sum((F.count_if(col(f.name).isNull()) for f in users), F.lit(0).cast("long"))
+    kinds = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype")) for f in users])
+    return df.agg(F.count(F.lit(1)).alias("rows"), missing.alias("total_missing")).select(
+        "rows", F.lit(len(users)).alias("cols"), "total_missing", kinds.alias("dtypes"))
+
+
 class Profiler(Step):
     name = "profiler"
     row_local = True
 
-    def _fit(self, df, ctx):
-        return {}
-
     def _transform(self, df, ctx, state):
         return df, ctx.note(self.name, None, "profile available via FittedPipeline.profile()")

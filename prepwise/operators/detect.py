@@ -12,7 +12,7 @@ from prepwise.functions import vocab
 from prepwise.functions.text import WS
 from prepwise.operators.base import Step
 from prepwise.plans import ordered
-from prepwise.plans.stats import col, distinct_and_top, distinct_for_ratio, first_k_stats
+from prepwise.plans.stats import cell_shares, col, distinct_counts
 
 INT_RE = "^" + WS + "*[+-]?[0-9]+(\\.0*)?" + WS + "*$"
 UUID_RE = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
@@ -75,9 +75,7 @@ class TypeDetector(Step):
         n_all = st["__n"]
         extra = [F.skewness(col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numerics)] + \
                 [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(numerics)]
-        distinct, r = distinct_for_ratio(df, strings, {c: st[c]["nonnull"] for c in strings},
-                                         p.categorical_max_ratio, exact=p.exact,
-                                         extra=extra or [F.count(F.lit(1)).alias("__n")])
+        distinct, r = distinct_counts(df, strings, exact=p.exact, extra=extra)
         skew = {c: (r[f"s{i}"] if r[f"n{i}"] > 2 else None) for i, c in enumerate(numerics)}
         roles, convert = {}, {}
         for c, t in fields.items():
@@ -140,6 +138,8 @@ class TypeDetector(Step):
         out = df.withColumns(exprs) if exprs else df
         roles = {c: Role(r) for c, r in state["roles"].items()}
         ctx = ctx.with_(roles={**ctx.roles, **roles}, skewness={**ctx.skewness, **state["skew"]})
+        for c, conv in state["convert"].items():
+            ctx = ctx.note(self.name, c, f"read as {conv['to']}")
         return out, ctx
 
 
@@ -162,8 +162,7 @@ class IdColumnDetector(Step):
         if not cols:
             return {"ids": {}}
         extra = [F.count(F.lit(1)).alias("__n"), *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(cols)]]
-        distinct, r = distinct_for_ratio(df, cols, lambda row: {c: row["__n"] for c in cols},
-                                         p.unique_ratio_threshold, exact=p.exact, extra=extra)
+        distinct, r = distinct_counts(df, cols, exact=p.exact, extra=extra)
         n_all = r["__n"]
         nonnull = {c: r[f"n{i}"] for i, c in enumerate(cols)}
         reasons: dict[str, list[str]] = {c: [] for c in cols}
@@ -181,21 +180,18 @@ class IdColumnDetector(Step):
             if nonnull[c] > 0 and n_all and distinct[c] / n_all >= p.unique_ratio_threshold:  # I2
                 reasons[c].append(f"unique ratio {distinct[c] / n_all:.3f}")
         if p.check_sequential:                                             # I3
-            for c, t in fields.items():
-                n = nonnull[c]
-                if not isinstance(t, T.NumericType) or n <= 2 or reasons[c]:
-                    continue
-                if distinct[c] < 0.8 * (n - 1) + 1:   # >80 % positive equal steps need that many values
-                    continue
-                step = sequential_step(df, c, n)
-                if step is not None:
-                    reasons[c].append(f"arithmetic sequence, step {step}")
+            # more than 80 % positive equal steps take that many distinct values: exact counts
+            # rule columns out for certain, sketched ones rule out none
+            cand = [c for c, t in fields.items() if isinstance(t, T.NumericType) and nonnull[c] > 2 and not reasons[c]
+                    and (not p.exact or distinct[c] >= 0.8 * (nonnull[c] - 1) + 1)]
+            for c, step in sequential_steps(df, cand, nonnull).items():
+                reasons[c].append(f"arithmetic sequence, step {step}")
         if p.check_uuid:                                                   # I4
             strings = [c for c, t in fields.items() if isinstance(t, T.StringType)]
             if strings:
-                share = first_values_share(df, strings, ctx.order_by, UUID_RE, 20)
+                share = cell_shares(df, strings, {"s": lambda v: v.rlike(UUID_RE)})
                 for c in strings:
-                    if share.get(c, 0.0) > 0.5:
+                    if c in share and share[c]["s"] > 0.5:
                         reasons[c].append("values look like UUIDs")
         return {"ids": {c: "; ".join(r) for c, r in reasons.items() if r}}
 
@@ -206,25 +202,26 @@ class IdColumnDetector(Step):
         return df, ctx.with_(id_columns=ids)
 
 
-def sequential_step(df: DataFrame, c: str, n: int):
-    """Smallest modal difference of the sorted values if it is positive and
-    holds more than 80 % of the n-1 differences, else None."""
-    vals = df.select(col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-    vals = vals.withColumn(ROW_ID, F.monotonically_increasing_id())
-    b = ordered.bucketize(vals, ["v", ROW_ID], total=n)
-    w = Window.partitionBy(ordered.BUCKET).orderBy("v", ROW_ID)
-    inner = b.select((F.col("v") - F.lag("v").over(w)).alias("d")).where(F.col("d").isNotNull())
-    edges = b.groupBy(ordered.BUCKET).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    cross = edges.select((F.col("lo") - F.lag("hi").over(Window.orderBy(ordered.BUCKET))).alias("d")) \
-        .where(F.col("d").isNotNull())
-    diffs = inner.unionByName(cross)
-    top = diffs.groupBy("d").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("k"), F.asc("d")).limit(1).collect()
-    if not top:
-        return None
-    d, k = top[0]["d"], top[0]["k"]
-    return d if d > 0 and k / (n - 1) > 0.8 else None
-
-
-def first_values_share(df: DataFrame, cols: list[str], order, pattern: str, k: int) -> dict:
-    got = first_k_stats(df, cols, order, k, {"s": lambda v: v.rlike(pattern)})
-    return {c: m["s"] for c, m in got.items()}
+def sequential_steps(df: DataFrame, cols: list[str], nonnull: dict) -> dict:
+    """Columns whose sorted values mostly rise by one step: the smallest modal difference, if it is
+    positive and holds more than 80 % of the n-1 differences.
+
+    All columns are read together in long form: value counts, one set of range buckets; equal
+    values are differences of zero, neighbours within a bucket come from ``lag``, those across
+    buckets from a table with one row per bucket and column."""
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("kv"))
+    vc = long.select("kv.c", "kv.v").where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    b = ordered.bucketize(vc, ["c", "v"])
+    w = Window.partitionBy(ordered.BUCKET, "c").orderBy("v")
+    inner = b.select("c", (F.col("v") - F.lag("v").over(w)).alias("d"), F.lit(1).cast("long").alias("k")).where(F.col("d").isNotNull())
+    edges = b.groupBy("c", ordered.BUCKET).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    cross = edges.select("c", (F.col("lo") - F.lag("hi").over(Window.partitionBy("c").orderBy(ordered.BUCKET))).alias("d"),
+                         F.lit(1).cast("long").alias("k")).where(F.col("d").isNotNull())
+    ties = vc.groupBy("c").agg(F.sum(F.col("n") - 1).alias("k")).where("k > 0").select("c", F.lit(0.0).alias("d"), "k")
+    per = inner.unionByName(cross).unionByName(ties).groupBy("c", "d").agg(F.sum("k").alias("k"))
+    top = Window.partitionBy("c").orderBy(F.desc("k"), F.asc("d"))
+    rows = per.withColumn("rk", F.row_number().over(top)).where("rk = 1").collect()        # one row per column
+    return {cols[r["c"]]: r["d"] for r in rows if r["d"] > 0 and r["k"] / (nonnull[cols[r["c"]]] - 1) > 0.8}

@@ -1,9 +1,10 @@
 """Isolation forest (Liu, Ting & Zhou 2008) built and scored on Spark.
 
-* sampling: each tree takes the ``sample_size`` rows with the smallest
-  hash(row key, tree) among the complete rows — reproducible under any
-  partitioning.  Rows are exploded per tree but filtered in the same stage by
-  a hash threshold, so only ~2·sample_size rows per tree reach the shuffle;
+* sampling: one hash of the row key picks a pool of about 3·trees·sample_size
+  complete rows, and each tree takes the ``sample_size`` pool rows with the
+  smallest hash(row key, tree).  The key is the order columns of the context,
+  so the sample is the same under any partitioning exactly if these columns
+  are data (a row id made by the scan is not);
 * growing: ``groupBy(tree).applyInPandas`` — one bounded group per tree;
 * the forest (≤ trees × (2·sample_size − 1) nodes) is collected once and
   shipped to the scoring UDF as a literal closure — its size is bounded by the
@@ -96,8 +97,8 @@ def fit_forest(df, cols, ctx, n_trees, sample_size, contamination, seed) -> dict
     for r in sorted(nodes, key=lambda r: (r["tree"], r["node"])):
         trees.setdefault(r["tree"], []).append((r["feature"], r["split"], r["left"], r["right"], r["size"]))
     forest = {"trees": [trees[t] for t in sorted(trees)], "psi": psi, "threshold": None}
-    scored = complete.select(score_column(forest, cols).alias("s"))
-    q = stats.quantiles(scored, ["s"], [contamination], distinct={"s": n}, counts={"s": n})
+    scored = complete.select(score_column(forest, cols).alias("s"))      # Python runs once: quantiles keep the counts
+    q = stats.quantiles(scored, ["s"], [contamination])
     forest["threshold"] = q["s"][0] if q.get("s") else None
     return forest
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = "_bucket"
 SAMPLE_PER_BUCKET = 40
+ROWS_PER_BUCKET = 5_000_000
 
 
 def _c(name: str) -> Column:
@@ -38,18 +39,37 @@ def _bucket_expr(key: Column, bounds: list, types: list) -> Column:
     return build(0, len(lits))
 
 
+def _sample(df: DataFrame, order: list[str], rate: float) -> DataFrame:
+    """Rows whose 64-bit key hash lies below ``rate`` of the whole range."""
+    keys = df.select(*[_c(o).alias(f"k{i}") for i, o in enumerate(order)])
+    if rate >= 1.0:
+        return keys
+    h = F.xxhash64(*[F.col(f"k{i}") for i in range(len(order))])
+    return keys.where(h < F.lit(-2 ** 63 + int(rate * 2 ** 64)))
+
+
 def bucketize(df: DataFrame, order: list[str], n_buckets: int | None = None, total: int | None = None) -> DataFrame:
+    """``df`` with its range bucket along ``order``.
+
+    ``total`` is only a first guess of the row count: the sampling rate is raised or lowered
+    until the sample has a few dozen rows per bucket, so a wrong guess costs a job, never
+    the evenness of the buckets.  The bucket count follows the row count."""
     spark = df.sparkSession
-    if n_buckets is None:
-        n_buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if total is None:
         total = df.count()
+    if n_buckets is None:
+        n_buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_BUCKET))
     target = SAMPLE_PER_BUCKET * n_buckets
-    frac = min(1.0, target / max(total, 1))
-    h = (F.xxhash64(*[_c(o) for o in order]) % 1_000_003).cast("double") / 1_000_003
-    h = F.abs(h)
-    sample = (df.select(*[_c(o).alias(f"k{i}") for i, o in enumerate(order)]).where(h < F.lit(frac))
-              .orderBy(*[f"k{i}" for i in range(len(order))]).limit(4 * target).collect())
+    rate = min(1.0, target / max(total, 1))
+    while True:
+        got = _sample(df, order, rate).count()
+        if got > 4 * target:
+            rate *= target / got
+        elif got < target / 4 and rate < 1.0:
+            rate = min(1.0, rate * (target / got if got else 256.0))
+        else:
+            break
+    sample = _sample(df, order, rate).orderBy(*[f"k{i}" for i in range(len(order))]).collect()   # ≤ 4·target rows
     types = [df.schema[o].dataType.simpleString() for o in order]
     bounds = []
     if sample:

@@ -1,17 +1,15 @@
 """Shared aggregate passes: one job per question, all columns at once.
 
-Exact percentiles buffer one entry per *distinct* value of a column in a
-single task; columns whose distinct count is above ``exact_limit`` switch to
-``percentile_approx`` with a high accuracy, so memory never grows with the
-data.  The switch is decided from ``approx_count_distinct`` (bounded sketch).
+Quantiles are exact at every size and come from one route: value counts, range buckets and a
+running sum inside the buckets that hold the wanted ranks.  NaN is never a value.
 """
 from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-EXACT_LIMIT = 1_000_000
 APPROX_ACCURACY = 1_000_000
 
 
@@ -44,34 +42,17 @@ def numeric_moments(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     return out
 
 
-def quantiles(df: DataFrame, cols: list[str], probs: list[float], distinct: dict | None = None,
-              exact_limit: int = EXACT_LIMIT, approx: bool = False, accuracy: int = APPROX_ACCURACY,
-              counts: dict | None = None) -> dict[str, list]:
-    """Linear-interpolated quantiles of the non-null values (NumPy/pandas default).
-
-    Columns whose sketch says ≤ ``exact_limit`` distinct values use Spark's
-    ``percentile`` (its buffer holds one entry per distinct value, so it is
-    bounded); larger columns use ``exact_quantiles`` (value counts + range
-    buckets), which stays exact without any task holding all values.
-    ``approx=True`` asks for ``percentile_approx`` instead."""
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool = False,
+              accuracy: int = APPROX_ACCURACY) -> dict[str, list]:
+    """Linear-interpolated quantiles of the non-null values (NumPy/pandas default), exact;
+    ``approx=True`` asks for ``percentile_approx`` instead.  None for a column without values."""
     if not cols:
         return {}
     if approx:
-        r = df.agg(*[F.percentile_approx(col(c).cast("double"), probs, accuracy).alias(f"q{i}")
+        r = df.agg(*[F.percentile_approx(F.nanvl(col(c).cast("double"), F.lit(None)), probs, accuracy).alias(f"q{i}")
                      for i, c in enumerate(cols)]).first()
         return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else None) for i, c in enumerate(cols)}
-    if distinct is None:
-        r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-        distinct = {c: r[f"d{i}"] for i, c in enumerate(cols)}
-    small = [c for c in cols if (distinct.get(c) or 0) <= exact_limit]
-    big = [c for c in cols if c not in small]
-    out = {}
-    if small:
-        r = df.agg(*[F.percentile(col(c).cast("double"), probs).alias(f"q{i}") for i, c in enumerate(small)]).first()
-        out.update({c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else None) for i, c in enumerate(small)})
-    if big:
-        out.update(exact_quantiles(df, big, probs, counts=counts))
-    return out
+    return exact_quantiles(df, cols, probs)
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -134,50 +115,30 @@ def is_numeric_type(dt) -> bool:
     return isinstance(dt, T.NumericType)
 
 
-def first_k_stats(df: DataFrame, cols: list[str], order, k: int, metrics: dict) -> dict:
-    """Per column, averages of ``metrics`` over its first ``k`` non-null values
-    by the order key; one job for all columns (per-task top-k before the shuffle)."""
-    order = [o for o in (order or []) if o in df.columns]
-    key = F.struct(*[col(o) for o in order]) if order else F.monotonically_increasing_id()
-    long = df.select(key.alias("__k"), F.explode(F.array(*[
+def cell_shares(df: DataFrame, cols: list[str], metrics: dict) -> dict:
+    """Per column, averages of ``metrics`` over all its non-null values; one job for all columns
+    (long form, partially aggregated: a row per column and task is shuffled)."""
+    long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in cols])).alias("kv"))
-    long = long.select("__k", "kv.column", "kv.value").where(F.col("value").isNotNull())
-    w = Window.partitionBy("column").orderBy("__k")
-    firsts = long.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
+    long = long.select("kv.column", "kv.value").where(F.col("value").isNotNull())
     aggs = [F.avg(fn(F.col("value")).cast("double")).alias(name) for name, fn in metrics.items()]
-    rows = firsts.groupBy("column").agg(*aggs).collect()
+    rows = long.groupBy("column").agg(*aggs).collect()
     return {r["column"]: {name: r[name] for name in metrics} for r in rows}
 
 
-def distinct_for_ratio(df: DataFrame, cols: list[str], denominators, threshold: float,
-                       rel_band: float = 0.25, exact: bool = True, extra: list | None = None):
-    """Distinct counts good enough to compare ``distinct / denominator`` with a
-    threshold.  The default HLL sketch (5 % standard error; finer sketches
-    are slow in Spark, whose buffer holds one field per register word)
-    settles every column whose ratio is more than ``rel_band`` (5 standard
-    errors) from the threshold; only columns inside the band get the exact
-    value-count shuffle.  ``exact=False`` decides from the sketch alone.
-    ``extra`` aggregates ride along in the same job; then ``(counts, row)``
-    is returned."""
-    extra = extra or []
-    if not cols and not extra:
-        return ({}, None) if extra else {}
+def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True, extra: list | None = None):
+    """``(distinct non-null values per column, row of the extra aggregates)``.
+
+    Exact counts come from the value-count table; ``exact=False`` answers from the sketch."""
+    extra = extra or [F.count(F.lit(1)).alias("__n")]
+    if exact or not cols:
+        got, _ = distinct_and_top(df, cols, k=0)
+        return got, df.agg(*extra).first()
     r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(cols)], *extra).first()
-    approx = {c: r[f"a{i}"] for i, c in enumerate(cols)}
-    if callable(denominators):          # denominators may depend on the extra aggregates
-        denominators = denominators(r)
-    out = dict(approx)
-    if exact:
-        near = [c for c in cols if denominators.get(c) and
-                abs(approx[c] / denominators[c] - threshold) <= rel_band * threshold]
-        if near:
-            got, _ = distinct_and_top(df, near, k=0)
-            out.update(got)
-    return (out, r) if extra else out
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_bucket_rows: int = 5_000_000,
-                    max_buckets: int = 20_000, counts: dict | None = None) -> dict[str, list | None]:
+    return {c: r[f"a{i}"] for i, c in enumerate(cols)}, r
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list | None]:
     """Exact linear-interpolated quantiles at any scale, without a per-task
     buffer of all values.
 
@@ -188,22 +149,26 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_buck
     4. a running sum inside those buckets only marks the rows at the target
        ranks, and just those rows (≤ 2 per probability and column) are collected.
     """
-    from prepwise.plans import ordered
-
     if not cols:
         return {}
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("kv"))
     long = long.select("kv.c", "kv.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    vc = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    # an upper bound of the value-count rows is enough to size the sample
-    n_vc = sum(counts[c] or 0 for c in cols) if counts and all(c in counts for c in cols) else vc.count()
+    # every later step reads the counts: kept in memory and on disk, recomputed if a block is lost
+    vc = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _ranked_values(vc, cols, probs)
+    finally:
+        vc.unpersist()
+
+
+def _ranked_values(vc: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list | None]:
+    from prepwise.plans import ordered
+
+    n_vc = vc.count()
     if n_vc == 0:
         return {c: None for c in cols}
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nb = int(min(max_buckets, max(base, n_vc // max_bucket_rows + 1)))
-    b = ordered.bucketize(vc, ["c", "v"], n_buckets=nb, total=n_vc)
+    b = ordered.bucketize(vc, ["c", "v"], total=n_vc)
     summ = b.groupBy(ordered.BUCKET, "c").agg(F.sum("n").alias("cnt")).collect()
     per_col: dict[int, list] = {}
     for r in summ:
