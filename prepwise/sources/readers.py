@@ -1,6 +1,7 @@
 """Readers (S1–S8): extension dispatch, NaN → NULL, row identity, metadata."""
 from __future__ import annotations
 
+import codecs
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,29 +15,44 @@ READER_NA_TOKENS = [
 ]
 
 
-def _csv(spark, path, sep, encoding, infer):
-    r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+# Python's name of a charset -> the reader's
+_CHARSETS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII", "utf-8": "UTF-8", "utf-16": "UTF-16", "utf-16-le": "UTF-16LE",
+             "utf-16-be": "UTF-16BE", "utf-32": "UTF-32"}
+
+
+def charset(encoding: str) -> str:
+    """The reader's name of an encoding given in Python's or the reader's spelling."""
+    try:
+        return _CHARSETS.get(codecs.lookup(encoding).name, encoding)
+    except LookupError:
+        return encoding
+
+
+def _csv(spark, path, sep, encoding, infer, multi_line):
+    r = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
          .option("sep", sep).option("inferSchema", infer).option("mode", "PERMISSIVE"))
     if encoding:
-        r = r.option("encoding", encoding)
+        r = r.option("encoding", charset(encoding))
     return r.csv(path)
 
 
 def read(spark: SparkSession, path: str, fmt: str | None = None, encoding: str | None = None,
-         infer_schema: bool = False) -> DataFrame:
+         infer_schema: bool = False, multi_line: bool = False, json_layout: str = "auto") -> DataFrame:
+    """Read by extension.  ``multi_line`` lets quoted CSV cells hold line breaks, at the price of one task
+    per file.  ``json_layout``: ``lines``, ``array`` (one document per file) or ``auto``, which looks at
+    the first character of the data."""
     ext = (fmt or os.path.splitext(path.rstrip("/"))[1].lstrip(".")).lower()
     try:
         if ext == "parquet":
             return spark.read.parquet(path)                                             # S4
         if ext == "json":
-            df = spark.read.option("multiLine", True).json(path)                        # S3 (array of records)
-            if "_corrupt_record" in df.columns:
-                df = spark.read.json(path)                                               # NDJSON
-            return df
+            layout = json_layout if json_layout != "auto" else _json_layout(spark, path, encoding)
+            r = spark.read.option("multiLine", layout == "array")                        # S3
+            return (r.option("encoding", charset(encoding)) if encoding else r).json(path)
         if ext == "tsv":
-            df = _csv(spark, path, "\t", encoding, infer_schema)                         # S2
+            df = _csv(spark, path, "\t", encoding, infer_schema, multi_line)                         # S2
         else:
-            df = _csv(spark, path, ",", encoding, infer_schema)                          # S1 / S5
+            df = _csv(spark, path, ",", encoding, infer_schema, multi_line)                          # S1 / S5
     except Exception as e:  # noqa: BLE001 — surface as a plain format error
         raise ValueError(f"cannot read {path!r} as {ext or 'csv'}: {e}") from e
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -44,6 +60,13 @@ def read(spark: SparkSession, path: str, fmt: str | None = None, encoding: str |
                            for c in strings})                                            # S7
 
 
+def _json_layout(spark, path, encoding) -> str:
+    """``array`` if the first non-blank character is ``[``, else ``lines``."""
+    text = spark.read.option("encoding", charset(encoding or "UTF-8")).text(path)
+    first = text.where(F.trim(F.regexp_replace("value", "^\\x{feff}", "")) != "").first()
+    return "array" if first and first[0].lstrip("\ufeff \t").startswith("[") else "lines"
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy row work every core when a scan yields fewer splits than
     the cluster has task slots (small or single-row-group files).  Large
@@ -70,8 +93,8 @@ def prepare(df: DataFrame, order_by: list[str] | None = None) -> tuple[DataFrame
 
 
 def load(spark: SparkSession, path: str, fmt: str | None = None, encoding: str | None = None,
-         order_by: list[str] | None = None, infer_schema: bool = False) -> tuple[DataFrame, Context, dict]:
-    df = read(spark, path, fmt, encoding, infer_schema)
+         order_by: list[str] | None = None, infer_schema: bool = False, **options) -> tuple[DataFrame, Context, dict]:
+    df = read(spark, path, fmt, encoding, infer_schema, **options)
     meta = metadata(df, path, encoding)
     df, ctx = prepare(df, order_by)
     return df, ctx, meta
@@ -80,9 +103,9 @@ def load(spark: SparkSession, path: str, fmt: str | None = None, encoding: str |
 def metadata(df: DataFrame, path: str, encoding: str | None = None) -> dict:
     """Path, name, size (sum over files), extension, encoding, rows, cols."""
     files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path") \
-        .agg(F.max("file_size").alias("s"))
-    r = files.agg(F.sum("s").alias("size"), F.count(F.lit(1)).alias("files")).first()
+        .agg(F.max("file_size").alias("s"), F.count(F.lit(1)).alias("rows"))
+    r = files.agg(F.sum("s").alias("size"), F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
     return {"file_path": path, "file_name": os.path.basename(path.rstrip("/")), "file_size": r["size"],
             "files": r["files"], "extension": os.path.splitext(path.rstrip("/"))[1].lower(),
-            "encoding": encoding or "utf-8", "rows": df.count(), "cols": len(df.columns),
+            "encoding": encoding or "utf-8", "rows": r["rows"] or 0, "cols": len(df.columns),
             "columns": list(df.columns)}
