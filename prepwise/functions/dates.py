@@ -12,18 +12,30 @@ CN_YMD = "(\\d{4})" + S + "年" + S + "(\\d{1,2})" + S + "月" + S + "(\\d{1,2})
 CN_YM = "(\\d{4})" + S + "年" + S + "(\\d{1,2})" + S + "月"
 CN_MD = "(\\d{1,2})" + S + "月" + S + "(\\d{1,2})" + S + "日"
 
-# FIXED VALUES: general shapes tried in order — ISO and slash forms, then
-# month-first, then day-first (only reached when month-first fails, i.e. the
-# first number is above 12), then month names; with and without time.
-GENERAL_FORMATS = [
-    "yyyy-M-d", "yyyy/M/d", "yyyy.M.d",
-    "yyyy-M-d H:mm", "yyyy/M/d H:mm", "yyyy-M-d H:mm:ss", "yyyy/M/d H:mm:ss",
-    "yyyy-M-d'T'H:mm:ss", "yyyy-M-d H:mm:ss.SSSSSS", "yyyy-M-d'T'H:mm:ss.SSSSSS",
-    "M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss",
-    "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d/M/yyyy H:mm:ss",
-    "MMM d, yyyy", "MMM d yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMMM d yyyy", "d MMMM yyyy",
-    "yyyy-M", "yyyy/M",
+# The general spellings (T9): a date part, an optional weekday before it and an optional time after
+# it.  The time may have seconds, 1-9 fraction digits, AM/PM and a zone; the wall clock is kept
+# as written, the zone is dropped.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+MONTH = ("(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|"
+         "Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+WEEKDAY = "(?:(?:Mon|Tues?|Wed(?:nes)?|Thu(?:rs)?|Fri|Sat(?:ur)?|Sun)(?:day)?,?" + S + ")?"
+TIME = ("([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,9}))?)?" + S + "([AaPp]\\.?[Mm]\\.?)?" + S
+        + "(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})?")
+AFTER = "(?:(?:T|,?" + WS + "+)" + TIME + ")?$"
+ORD = "(?:st|nd|rd|th)?"
+# spelling -> groups of year, month and day (0: missing), group of the hour
+GENERAL_SHAPES = [
+    ("([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + AFTER, 1, 2, 3, 4),
+    ("([0-9]{4})[-/.]([0-9]{1,2})" + AFTER, 1, 2, 0, 3),
+    ("([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4}|[0-9]{2})" + AFTER, 3, 1, 2, 4),
+    ("(" + MONTH + ")\\.?" + S + "([0-9]{1,2})" + ORD + ",?" + WS + "+([0-9]{4})" + AFTER, 3, 1, 2, 4),
+    ("(" + MONTH + ")\\.?" + WS + "+([0-9]{1,2})" + ORD + AFTER, 0, 1, 2, 3),
+    ("(" + MONTH + ")\\.?,?" + WS + "+([0-9]{4})$", 2, 1, 0, 0),
+    ("([0-9]{1,2})" + ORD + "(?:-|" + WS + "+)(" + MONTH + ")\\.?,?(?:-|" + WS + "+)([0-9]{4}|[0-9]{2})" + AFTER, 3, 2, 1, 4),
+    ("([0-9]{1,2})" + ORD + WS + "+(" + MONTH + ")$", 0, 2, 1, 0),
 ]
+CTIME = "(" + MONTH + ")" + WS + "+([0-9]{1,2})" + WS + "+" + TIME + WS + "+([0-9]{4})$"
+LONGEST_DATE = 64          # no spelling is longer; prose is not matched against the shapes
 
 # Candidate single formats for role detection (one hit rate each).
 DETECT_FORMATS = [
@@ -80,8 +92,50 @@ def _ymd(y: Column, m: Column, d: Column) -> Column:
     return F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("y-M-d"))
 
 
-def try_parse(c: Column, formats=GENERAL_FORMATS) -> Column:
-    return F.coalesce(*[try_format(c, f) for f in formats])
+def _number(c: Column) -> Column:
+    return c.try_cast("int")
+
+
+def _month(c: Column) -> Column:
+    name = F.lower(F.substring(c, 1, 3))
+    return F.coalesce(_number(c), F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name), F.lit(0)).cast("int"))
+
+
+def _year(c: Column, current_year: int) -> Column:
+    """Two digits mean the year nearest to the current one (less than 50 years ahead)."""
+    y = _number(c)
+    near = y + F.lit(current_year // 100 * 100)
+    near = F.when(near >= current_year + 50, near - 100).when(near < current_year - 50, near + 100).otherwise(near)
+    return F.when(F.length(c) <= 2, near).otherwise(y)
+
+
+def _stamp(s: Column, pattern: str, y: int, m: int, d: int, h: int, current_year: int) -> Column:
+    g = lambda i: F.regexp_extract(s, pattern, i)
+    year = _year(g(y), current_year) if y else F.lit(current_year)
+    month = _month(g(m))
+    day = _number(g(d)) if d else F.lit(1)
+    if pattern.startswith("(?i)^" + WEEKDAY + "([0-9]{1,2})[-/.]"):
+        month, day = F.when(month > 12, day).otherwise(month), F.when(month > 12, month).otherwise(day)    # day first
+    hour, minute, second = F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")
+    if h:
+        hour, minute = F.coalesce(_number(g(h)), F.lit(0)), F.coalesce(_number(g(h + 1)), F.lit(0))
+        fraction = F.substring(F.concat(g(h + 3), F.lit("000000")), 1, 6)
+        second = F.coalesce(F.concat(g(h + 2), F.lit("."), fraction).try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)"))
+        half = F.upper(F.substring(g(h + 4), 1, 1))
+        hour = F.when(half == "P", F.when(hour == 12, 12).when(hour < 12, hour + 12)).when(
+            half == "A", F.when(hour == 12, 0).when(hour < 12, hour)).otherwise(hour)
+    return F.try_make_timestamp(year, month, day, hour, minute, second)
+
+
+def try_parse(c: Column, current_year: int) -> Column:
+    """The first general spelling that fits; parts that are missing are those of January 1 of the
+    current year; month first where a date of numbers can be read both ways."""
+    shapes = [("(?i)^" + WEEKDAY + p, *rest) for p, *rest in GENERAL_SHAPES]
+    shapes.append(("(?i)^" + WEEKDAY + CTIME, 8, 1, 2, 3))
+    out = F.when(F.lit(False), F.lit(None).cast("timestamp"))
+    for pattern, y, m, d, h in shapes:
+        out = out.when(c.rlike(pattern), _stamp(c, pattern, y, m, d, h, current_year))
+    return F.when(F.length(c) <= LONGEST_DATE, out)
 
 
 def parse_date_text(c: Column, current_year: int, general: bool = True) -> Column:
@@ -97,7 +151,7 @@ def parse_date_text(c: Column, current_year: int, general: bool = True) -> Colum
     compact14 = F.when(s.rlike("^[0-9]{14}$"), F.try_to_timestamp(s, F.lit("yyyyMMddHHmmss")))
     parts = [ymd, ym, md, compact8, compact14]
     if general:
-        parts.append(try_parse(s))
+        parts.append(try_parse(s, current_year))
     return F.coalesce(*parts)
 
 

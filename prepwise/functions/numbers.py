@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from prepwise.functions.text import WS
+from prepwise.functions.text import WS, strip_ws
 
 # A plain number the way Python's float() reads it (Spark would also accept
 # "1d" / "1f" suffixes, which must stay non-numeric).
@@ -21,7 +21,7 @@ def is_number(c: Column) -> Column:
 
 def to_number(c: Column) -> Column:
     """Text → double, NULL where it is not a plain number."""
-    return F.when(c.rlike(NUMBER_RE), c.try_cast("double"))
+    return F.when(c.rlike(NUMBER_RE), strip_ws(c).try_cast("double"))
 
 
 def unit_regex(units: list[str]) -> str:

@@ -5,7 +5,6 @@ below spell the same sets out so both Java regex (Spark) and RE2 agree.
 """
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -103,32 +102,3 @@ def strip_accents(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Python title casing (initcap lowercases after apostrophes)."""
     return _title_udf(c)
-
-
-def py_clean_reference(x, *, accents=True, case="none", urls=False, emails=False,
-                       numbers=False, punctuation=False, special=False, collapse=True):
-    """Plain-Python statement of the text standardisation, for tests only."""
-    if not isinstance(x, str):
-        return x
-    s = x
-    if accents:
-        s = "".join(ch for ch in unicodedata.normalize("NFKD", s) if not unicodedata.combining(ch))
-    if case == "lower":
-        s = s.lower()
-    elif case == "upper":
-        s = s.upper()
-    elif case == "title":
-        s = s.title()
-    if urls:
-        s = re.sub(r"https?://\S+|www\.\S+", "", s)
-    if emails:
-        s = re.sub(r"\S+@\S+\.\S+", "", s)
-    if numbers:
-        s = re.sub(r"\d+", "", s)
-    if punctuation:
-        s = re.sub(r"[^\w\s]", "", s)
-    if special:
-        s = re.sub(r"[^\w\s一-鿿]", "", s)
-    if collapse:
-        s = re.sub(r"\s+", " ", s).strip()
-    return s

@@ -10,7 +10,7 @@ from prepwise.context import ROW_ID, Role
 from prepwise.functions import dates as dt
 from prepwise.functions import vocab
 from prepwise.operators.base import Step
-from prepwise.plans.stats import col, first_k_stats
+from prepwise.plans.stats import cell_shares, col
 
 
 class DatetimeStandardizer(Step):
@@ -27,7 +27,6 @@ class DatetimeStandardizer(Step):
         use_dateutil: bool = True
         current_year: int = field(default_factory=lambda: _dt.date.today().year)
         as_type: str = "string"               # string | date | timestamp
-        sample_size: int = 100
         name_min_ratio: float = 0.3
 
     def _parse(self, df, c):
@@ -47,7 +46,7 @@ class DatetimeStandardizer(Step):
         by_content = []
         if p.detect_by_content and rest:
             yr = p.current_year
-            got = first_k_stats(df, rest, ctx.order_by, p.sample_size, {
+            got = cell_shares(df, rest, {
                 "cn": lambda v: dt.looks_like_date(v, yr)[0],
                 "ok": lambda v: dt.looks_like_date(v, yr)[1]})
             by_content = [c for c in rest if c in got and ((got[c]["cn"] or 0) > 0.5 or (got[c]["ok"] or 0) > 0.3)]
@@ -82,8 +81,10 @@ class DatetimeStandardizer(Step):
         return out
 
     def _transform(self, df, ctx, state):
+        p = self.params
         exprs = self._exprs(df, ctx, state)
         roles = dict(ctx.roles)
         for c in exprs:
             roles[c] = Role.DATETIME
+            ctx = ctx.note(self.name, c, f"written as {'timestamp' if p.as_type == 'timestamp' else p.output_format}")
         return (df.withColumns(exprs) if exprs else df), ctx.with_(roles=roles)
