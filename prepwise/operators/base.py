@@ -46,8 +46,14 @@ class Step:
 
     def _transform(self, df: DataFrame, ctx: Context, state: dict) -> tuple[DataFrame, Context]:
         exprs = self._exprs(df, ctx, state)
+        for column, reason in self._notes(state):
+            ctx = ctx.note(self.name, column, reason)
         return (df.withColumns(exprs) if exprs else df), ctx
 
+    def _notes(self, state: dict):
+        """``(column, reason)`` of the events that the step writes."""
+        return ()
+
     # --- public ---------------------------------------------------------
     def fit(self, df: DataFrame, ctx: Context | None = None) -> "Fitted":
         ctx = ctx or Context.from_schema(df)

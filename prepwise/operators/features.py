@@ -37,8 +37,7 @@ class FeatureScaler(Step):
         out = {}
         qs = {}
         if self.params.method == "robust":
-            qs = stats.quantiles(df, cols, [0.25, 0.5, 0.75], {c: mom[c]["approx_distinct"] for c in cols},
-                                 counts={c: mom[c]["n"] for c in cols})
+            qs = stats.quantiles(df, cols, [0.25, 0.5, 0.75])
         for c in cols:
             m = mom[c]
             if (m["n"] or 0) < 2:
@@ -52,6 +51,8 @@ class FeatureScaler(Step):
                     continue
                 out[c] = {"min": m["min"], "max": m["max"]}                             # F2
             else:
+                if not qs[c]:
+                    continue
                 q1, med, q3 = qs[c]
                 if q3 - q1 == 0:
                     continue
@@ -69,6 +70,10 @@ class FeatureScaler(Step):
                 out[c] = (x - F.lit(p["shift"])) / F.lit(p["scale"])
         return out
 
+    def _notes(self, state):
+        for c, p in state["params"].items():
+            yield c, f"{self.params.method}: " + ", ".join(f"{k} {v:.6g}" for k, v in p.items())
+
 
 def boxcox_expr(x, lam):
     return F.log(x) if abs(lam) < 1e-12 else (F.pow(x, F.lit(lam)) - 1.0) / F.lit(lam)
@@ -80,44 +85,55 @@ def yeojohnson_expr(x, lam):
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def search_lambda(df, cols, kind, offsets, lo=-4.0, hi=4.0, points=17, rounds=4, refine_points=11) -> dict:
-    """Maximum-likelihood λ by grid refinement; each round is one aggregate
-    for all columns and all candidate λ (variance via Spark's stable var_pop)."""
+def search_lambda(df, cols, kind, offsets, lo=-4.0, hi=4.0, points=17, refine_points=9, tolerance=1e-4) -> dict:
+    """Maximum-likelihood λ; each round is one aggregate for all columns and all candidate λ
+    (variance via Spark's stable var_pop).
+
+    The grid around the best λ is narrowed until its step is below ``tolerance`` and widened
+    while the best one lies on its edge; the vertex of the parabola through the last three
+    points then is exact to about the square of the step."""
     if not cols:
         return {}
     df = df.select(*[col(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)   # scanned every round
-    xs = {c: col(c).cast("double") + F.lit(offsets.get(c, 0.0)) for c in cols}
-    base = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                  *[F.sum(F.log(xs[c]) if kind == "box_cox" else F.signum(xs[c]) * F.log1p(F.abs(xs[c])))
-                    .alias(f"sl{i}") for i, c in enumerate(cols)]).first()
-    bounds = {c: (lo, hi) for c in cols}
-    best = {c: None for c in cols}
-    for rnd in range(rounds):
-        k_pts = points if rnd == 0 else refine_points
-        grids = {c: list(np.linspace(bounds[c][0], bounds[c][1], k_pts)) for c in cols}
-        aggs = []
-        for i, c in enumerate(cols):
-            for j, lam in enumerate(grids[c]):
-                y = boxcox_expr(xs[c], lam) if kind == "box_cox" else yeojohnson_expr(xs[c], lam)
-                aggs.append(F.var_pop(y).alias(f"v{i}_{j}"))
-        r = df.agg(*aggs).first()
-        for i, c in enumerate(cols):
-            n, sl = base[f"n{i}"], base[f"sl{i}"]
-            scores = []
-            for j, lam in enumerate(grids[c]):
-                v = r[f"v{i}_{j}"]
-                llf = -math.inf if not v or v <= 0 or not math.isfinite(v) else (lam - 1) * sl - n / 2 * math.log(v)
-                scores.append(llf)
-            k = int(np.argmax(scores))
-            best[c] = float(grids[c][k])
-            step = (bounds[c][1] - bounds[c][0]) / (k_pts - 1)
-            if k == 0 or k == k_pts - 1:          # optimum on the edge: widen instead of narrowing
-                width = bounds[c][1] - bounds[c][0]
-                bounds[c] = (best[c] - width / 2, best[c] + width / 2)
-            else:
-                bounds[c] = (best[c] - step, best[c] + step)
-    df.unpersist()
-    return best
+    try:
+        xs = {c: col(c).cast("double") + F.lit(offsets.get(c, 0.0)) for c in cols}
+        base = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                      *[F.sum(F.log(xs[c]) if kind == "box_cox" else F.signum(xs[c]) * F.log1p(F.abs(xs[c])))
+                        .alias(f"sl{i}") for i, c in enumerate(cols)]).first()
+        grids = {c: np.linspace(lo, hi, points) for c in cols}
+        best = {}
+        while grids:
+            aggs = {}
+            for i, c in enumerate(cols):
+                for j, lam in enumerate(grids.get(c, [])):
+                    y = boxcox_expr(xs[c], float(lam)) if kind == "box_cox" else yeojohnson_expr(xs[c], float(lam))
+                    aggs[i, j] = F.var_pop(y).alias(f"v{i}_{j}")
+            r = df.agg(*aggs.values()).first()
+            for i, c in enumerate(cols):
+                if c not in grids:
+                    continue
+                g, n, sl = grids[c], base[f"n{i}"], base[f"sl{i}"]
+                v = [r[f"v{i}_{j}"] for j in range(len(g))]
+                llf = np.array([-math.inf if not x or x <= 0 or not math.isfinite(x) else (lam - 1) * sl - n / 2 * math.log(x)
+                                for lam, x in zip(g, v)])
+                k, step = int(np.argmax(llf)), float(g[1] - g[0])
+                if not np.isfinite(llf[k]):
+                    best[c] = 1.0                                  # no variance at any λ: nothing to correct
+                    del grids[c]
+                elif k in (0, len(g) - 1):                         # optimum on the edge: move the grid there
+                    grids[c] = np.linspace(g[k] - (hi - lo) / 2, g[k] + (hi - lo) / 2, points) if abs(g[k]) < 1e3 else None
+                    if grids[c] is None:
+                        best[c] = float(g[k])
+                        del grids[c]
+                elif step <= tolerance:
+                    a, b_, d = llf[k - 1:k + 2]
+                    best[c] = float(g[k] + (0.5 * step * (a - d) / (a - 2 * b_ + d) if a - 2 * b_ + d < 0 else 0.0))
+                    del grids[c]
+                else:
+                    grids[c] = np.linspace(g[k - 1], g[k + 1], refine_points)
+        return best
+    finally:
+        df.unpersist()
 
 
 class SkewnessCorrector(Step):
@@ -167,6 +183,10 @@ class SkewnessCorrector(Step):
                 out[c] = yeojohnson_expr(col(c).cast("double"), p["lambda"])
         return out
 
+    def _notes(self, state):
+        for c, p in state["columns"].items():
+            yield c, f"{self.params.method}: " + ", ".join(f"{k} {v:.6g}" for k, v in p.items())
+
 
 def _edges_code(x, inner_edges, right_closed=True):
     """Bin code = number of inner edges below x (right-closed bins)."""
@@ -176,24 +196,6 @@ def _edges_code(x, inner_edges, right_closed=True):
     return F.when(x.isNotNull(), code)
 
 
-def at_least_distinct(df, cols, k: int) -> dict:
-    """Exact test 'has ≥ k distinct non-null values' without an unbounded set:
-    the sketch settles large columns, small ones are counted exactly."""
-    if not cols:
-        return {}
-    r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(cols)]).first()
-    out, small = {}, []
-    for i, c in enumerate(cols):
-        if r[f"a{i}"] >= 2 * k + 100:
-            out[c] = True
-        else:
-            small.append(c)
-    if small:
-        r2 = df.agg(*[F.size(F.collect_set(col(c))).alias(f"s{i}") for i, c in enumerate(small)]).first()
-        out.update({c: r2[f"s{i}"] >= k for i, c in enumerate(small)})
-    return out
-
-
 class Binning(Step):
     name = "binning"
     heavy = True
@@ -205,7 +207,7 @@ class Binning(Step):
         bins: int = 5
         output_mode: str = "replace"      # replace | new_column
         kmeans_fill_strategy: str = "median"
-        max_iter: int = 100
+        max_iter: int = 300
 
         def validate(self):
             if self.method not in ("equal_width", "equal_freq", "kmeans"):
@@ -221,9 +223,10 @@ class Binning(Step):
         if not cols:
             return {"columns": {}}
         mom = stats.numeric_moments(df, cols)
-        enough = at_least_distinct(df, [c for c in cols if (mom[c]["n"] or 0) >= 3 * p.bins], p.bins)
-        chosen = [c for c in cols if enough.get(c)]
-        out = {}
+        long_ = [c for c in cols if (mom[c]["n"] or 0) >= 3 * p.bins]
+        kinds, _ = stats.distinct_and_top(df, long_, k=0)
+        chosen = [c for c in long_ if kinds[c] >= p.bins]
+        out, stopped = {}, []
         for c in chosen:
             m = mom[c]
             if p.method == "equal_width":                                                  # F8
@@ -232,8 +235,11 @@ class Binning(Step):
             elif p.method == "equal_freq":                                                 # F9
                 out[c] = {"n": m["n"]}
             else:                                                                          # F10
-                out[c] = {"inner": kmeans_edges(df, c, p.bins, m, p.kmeans_fill_strategy, p.max_iter)}
-        return {"columns": out}
+                edges, settled = kmeans_edges(df, c, p.bins, m, p.kmeans_fill_strategy, p.max_iter)
+                out[c] = {"inner": edges}
+                if not settled:
+                    stopped.append(c)
+        return {"columns": out, "stopped": stopped}
 
     def _transform(self, df, ctx, state):
         p = self.params
@@ -247,7 +253,8 @@ class Binning(Step):
             if p.output_mode == "replace":
                 df = df.drop(c)
                 ctx = ctx.dropped([c])
-            ctx = ctx.note(self.name, c, f"{p.method} into {p.bins} bins")
+            late = f", not settled after {p.max_iter} passes" if c in state.get("stopped", ()) else ""
+            ctx = ctx.note(self.name, c, f"{p.method} into {p.bins} bins{late}")
         return df, ctx
 
 
@@ -267,64 +274,31 @@ def equal_freq_codes(df, c, new, q, n, order_by):
     return ranked.unionByName(nulls.withColumn(new, F.lit(None).cast("int")))
 
 
-def kmeans_edges(df, c, k, m, fill, max_iter) -> list:
-    """1-D Lloyd iterations, uniform start centres; one aggregate per pass.
-    Nulls count as the fill value (median or mean)."""
+def kmeans_edges(df, c, k, m, fill, max_iter) -> tuple[list, bool]:
+    """1-D Lloyd iterations from uniform start centres; one aggregate per pass over the value counts.
+    Nulls count as the fill value (median or mean).  Returns the inner edges and whether the
+    centres settled."""
     x = col(c).cast("double")
-    if fill == "median":
-        fv = stats.quantiles(df, [c], [0.5])[c][0]
-    else:
-        fv = m["mean"]
-    lo, hi = m["min"], m["max"]
-    uniform = np.linspace(lo, hi, k + 1)
+    fv = stats.quantiles(df, [c], [0.5])[c][0] if fill == "median" else m["mean"]
+    uniform = np.linspace(m["min"], m["max"], k + 1)
     centers = list((uniform[1:] + uniform[:-1]) * 0.5)
-    # the loop scans one column many times: keep just that projection
-    # (memory and disk; a lost block is recomputed from the lineage)
-    proj = df.select(F.coalesce(x, F.lit(fv)).alias("__v")).persist(StorageLevel.MEMORY_AND_DISK)
-    var = (m["std_pop"] or 0.0) ** 2
+    # scanned by every pass: one row per distinct value, kept in memory and on disk
+    counts = df.groupBy(F.coalesce(x, F.lit(fv)).alias("__v")).agg(F.count(F.lit(1)).alias("__n")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        centers = _histogram_lloyd(proj, centers, k, lo, hi, var)     # warm start, one job
-        centers = _lloyd(proj, centers, k, var, lo, hi, max_iter)      # exact polish on the rows
+        r = counts.agg(F.sum("__n"), F.sum(F.col("__v") * F.col("__n")), F.sum(F.col("__v") * F.col("__v") * F.col("__n"))).first()
+        var = max(0.0, r[2] / r[0] - (r[1] / r[0]) ** 2)
+        centers, settled = _lloyd(counts, centers, k, var, max_iter)
     finally:
-        proj.unpersist()
-    return [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
-
-
-def _histogram_lloyd(df, centers, k, lo, hi, var, bins: int = 65_536):
-    """Lloyd iterations on a fixed-size histogram (per-bin sum and count): the
-    result is bounded by ``bins`` whatever the data size, and lands next to
-    the fixed point the exact iterations then confirm."""
-    if hi <= lo:
-        return centers
-    width = (hi - lo) / bins
-    b = F.least(F.floor((F.col("__v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    rows = df.groupBy(b.alias("b")).agg(F.sum("__v").alias("s"), F.count(F.lit(1)).alias("n")).collect()
-    s = np.array([r["s"] for r in rows], dtype=float)
-    n = np.array([r["n"] for r in rows], dtype=float)
-    mean = s / n
-    c = np.array(centers, dtype=float)
-    for _ in range(1000):
-        mids = (c[1:] + c[:-1]) / 2
-        code = np.searchsorted(mids, mean, side="left")       # x > mid ⇒ next cluster
-        new = c.copy()
-        for i in range(k):
-            sel = code == i
-            if n[sel].sum() > 0:
-                new[i] = s[sel].sum() / n[sel].sum()
-        new.sort()
-        done = ((new - c) ** 2).sum() <= 1e-4 * var * 1e-3
-        c = new
-        if done:
-            break
-    return list(c)
+        counts.unpersist()
+    return [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)], settled
 
 
-def _lloyd(df, centers, k, var, lo, hi, max_iter):
-    v = F.col("__v")
+def _lloyd(df, centers, k, var, max_iter):
+    v, n = F.col("__v"), F.col("__n")
     for _ in range(max_iter):
         mids = [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
         code = _edges_code(v, mids, right_closed=True)
-        rows = df.groupBy(code.alias("k")).agg(F.sum(v).alias("s"), F.count(F.lit(1)).alias("n")).collect()
+        rows = df.groupBy(code.alias("k")).agg(F.sum(v * n).alias("s"), F.sum(n).alias("n")).collect()       # k rows
         sums = {r["k"]: (r["s"], r["n"]) for r in rows if r["k"] is not None and r["n"]}
         empty = [i for i in range(k) if i not in sums]
         new = [sums[i][0] / sums[i][1] if i in sums else centers[i] for i in range(k)]
@@ -340,8 +314,8 @@ def _lloyd(df, centers, k, var, lo, hi, max_iter):
         shift = sum((a - b) ** 2 for a, b in zip(new, centers))
         centers = new
         if shift <= 1e-4 * var and not empty:          # scikit-learn's tolerance rule
-            break
-    return centers
+            return centers, True
+    return centers, False
 
 
 class CategoricalEncoder(Step):
@@ -369,32 +343,36 @@ class CategoricalEncoder(Step):
         allc = cats + cand
         if not allc:
             return {"columns": {}}
-        r = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(allc)]).first()
-        approx = {c: r[f"a{i}"] for i, c in enumerate(allc)}
-        small = [c for c in allc if approx[c] <= p.small_domain]
+        kinds, _ = stats.distinct_and_top(df, allc, k=0)
+        bound = max(p.small_domain, p.onehot_max_categories)          # the sets below are at most this large
+        small = [c for c in allc if kinds[c] <= bound]
         domains = {}
         if small:
             r2 = df.agg(*[F.array_sort(F.collect_set(col(c).cast("string") if not isinstance(types[c], T.StringType)
                                                       else col(c))).alias(f"d{i}")
                           for i, c in enumerate(small)]).first()
             domains = {c: list(r2[f"d{i}"]) for i, c in enumerate(small)}
-        out = {}
+        out, skipped = {}, {}
         for c in allc:
-            n = len(domains[c]) if c in domains else approx[c]
+            n = kinds[c]
             if c in cand and n > p.onehot_max_categories:
                 continue
             method = p.method
             if method == "auto":
                 method = "onehot" if n <= p.onehot_max_categories else "label"            # F12
             if method == "onehot" and n > p.onehot_max_categories:
+                skipped[c] = n
                 continue
             out[c] = {"method": method, "domain": domains.get(c)}
-        return {"columns": out}
+        return {"columns": out, "skipped": skipped}
 
     def _transform(self, df, ctx, state):
         p = self.params
+        for c, n in state.get("skipped", {}).items():
+            ctx = ctx.note(self.name, c, f"one-hot skipped: {n} categories, limit {p.onehot_max_categories}")
         for c, st in state["columns"].items():
             m, dom = st["method"], st["domain"]
+            ctx = ctx.note(self.name, c, f"{m} encoding")
             x = col(c).cast("string")
             if m == "onehot":                                                             # F13
                 vals = dom[1:] if p.drop_first else dom

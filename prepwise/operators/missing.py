@@ -51,7 +51,7 @@ class MissingHandler(Step):
         cur = df
         cols = [c for c in df.columns if c != ROW_ID]
         total, nulls = stats.null_counts(cur, cols)
-        plan = []
+        plan, means, medians = [], {}, {}
         for i, c in enumerate(cols):
             if nulls[c] == 0 or total == 0:
                 continue
@@ -63,10 +63,17 @@ class MissingHandler(Step):
             if strat in ("mean", "median"):
                 if not numeric:
                     continue
-                if strat == "mean":
-                    action["value"] = cur.agg(F.avg(col(c).cast("double"))).first()[0]
-                else:
-                    action["value"] = stats.quantiles(cur, [c], [0.5])[c][0]
+                if strat == "median" and c not in medians:
+                    # all numeric columns with nulls that this table can still ask for, in one pass
+                    ask = [x for x in cols[i:] if nulls[x] and x in cur.columns and isinstance(cur.schema[x].dataType, T.NumericType)]
+                    medians = {x: q and q[0] for x, q in stats.quantiles(cur, ask, [0.5]).items()}
+                if strat == "mean" and c not in means:
+                    ask = [x for x in cols[i:] if nulls[x] and x in cur.columns and isinstance(cur.schema[x].dataType, T.NumericType)]
+                    r = cur.agg(*[F.avg(col(x).cast("double")).alias(f"a{k}") for k, x in enumerate(ask)]).first()
+                    means = {x: r[f"a{k}"] for k, x in enumerate(ask)}
+                action["value"] = (means if strat == "mean" else medians)[c]
+                if action["value"] is None:                       # no value to fill with: the column stays as it is
+                    continue
             elif strat == "mode":
                 v = stats.typed_mode(cur, c)
                 if v is None:
@@ -79,6 +86,7 @@ class MissingHandler(Step):
             plan.append(action)
             if strat == "drop_rows":
                 cur = cur.where(col(c).isNotNull())
+                means, medians = {}, {}
                 rest = cols[i + 1:]
                 if rest:
                     total, nulls2 = stats.null_counts(cur, rest)

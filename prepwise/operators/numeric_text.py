@@ -138,6 +138,8 @@ class PercentageUnifier(Step):
         out = df.withColumns(self._exprs(df, ctx, state)) if state["columns"] else df
         if self.params.update_roles:
             ctx = ctx.with_(roles={**ctx.roles, **{c: Role.NUMERIC for c in state["columns"]}})
+        for c in state["columns"]:
+            ctx = ctx.note(self.name, c, f"percentages written as {self.params.mode}")
         return out, ctx
 
 
@@ -186,3 +188,7 @@ class DecimalUnifier(Step):
     def _exprs(self, df, ctx, state):
         fn = {"round": nb.rint_places, "floor": nb.floor_places, "ceil": nb.ceil_places}[self.params.method]
         return {c: fn(col(c).cast("double"), k) for c, k in state["places"].items()}
+
+    def _notes(self, state):
+        for c, k in state["places"].items():
+            yield c, f"{self.params.method} to {k} places"

@@ -49,8 +49,7 @@ class OutlierDetector(Step):
         fences = {}
         need_q = p.method == "iqr" or p.action == "cap" and p.method == "isolation_forest"
         if need_q:
-            qs = stats.quantiles(df, cols, [0.25, 0.75], distinct={c: mom[c]["approx_distinct"] for c in cols},
-                                 counts={c: mom[c]["n"] for c in cols})
+            qs = stats.quantiles(df, cols, [0.25, 0.75])
         for c in cols:
             m = mom[c]
             f = {"n": m["n"]}
@@ -86,11 +85,46 @@ class OutlierDetector(Step):
                     out[c] = F.coalesce(z > F.lit(p.zscore_threshold), F.lit(False))
         return out
 
+    def _limits(self, f):
+        """Capping limits of a column's fences, or None."""
+        p = self.params
+        if p.method == "zscore":
+            if f.get("sd") is None:
+                return None
+            return f["mean"] - p.zscore_threshold * f["sd"], f["mean"] + p.zscore_threshold * f["sd"]    # O7 (sample std)
+        return (f["lo"], f["hi"]) if "lo" in f else None                                                # O6
+
+    def _exprs(self, df, ctx, state):
+        """Capped cells (the only cells this step changes), also for the cell log."""
+        p = self.params
+        if p.action != "cap" or not state["columns"]:
+            return {}
+        if p.method == "isolation_forest":
+            from prepwise.operators.forest import forest_flag
+            row_flag = forest_flag(state["forest"], state["columns"])
+            flags = {c: row_flag for c in state["columns"]}
+        else:
+            flags = self.flags(state)
+        out = {}
+        for c in state["columns"]:
+            limits = self._limits(state["fences"][c])
+            if limits:
+                x = col(c).cast("double")
+                out[c] = F.when(flags[c], F.least(F.greatest(x, F.lit(limits[0])), F.lit(limits[1]))).otherwise(x)
+        return out
+
     def _transform(self, df, ctx, state):
         p = self.params
         cols = state["columns"]
         if not cols:
             return df, ctx
+        for c in cols:
+            f = state["fences"][c]
+            told = f" outside [{f['lo']:.6g}, {f['hi']:.6g}]" if "lo" in f else (
+                f" beyond {p.zscore_threshold:g} deviations of {f['sd_pop']:.6g} around {f['mean']:.6g}" if "sd_pop" in f else "")
+            ctx = ctx.note(self.name, c, f"{p.method}: {p.action}{told}")
+        if p.action == "cap":
+            return df.withColumns(self._exprs(df, ctx, state)), ctx
         if p.method == "isolation_forest":
             from prepwise.operators.forest import forest_flag
             row_flag = forest_flag(state["forest"], cols)
@@ -104,22 +138,5 @@ class OutlierDetector(Step):
             out = df.withColumns({f"{c}_outlier": flags[c] for c in cols})
             roles = {**ctx.roles, **{f"{c}_outlier": Role.BOOLEAN for c in cols}}
             return out, ctx.with_(roles=roles)
-        if p.action == "cap":
-            new = {}
-            for c in cols:
-                f = state["fences"][c]
-                x = col(c)
-                if p.method == "zscore":
-                    if "sd" not in f or f["sd"] is None:
-                        continue
-                    lo = f["mean"] - p.zscore_threshold * f["sd"]                    # O7 (sample std)
-                    hi = f["mean"] + p.zscore_threshold * f["sd"]
-                else:
-                    if "lo" not in f:
-                        continue
-                    lo, hi = f["lo"], f["hi"]                                        # O6
-                capped = F.least(F.greatest(x.cast("double"), F.lit(lo)), F.lit(hi))
-                new[c] = F.when(flags[c], capped).otherwise(x.cast("double"))
-            return df.withColumns(new), ctx
         any_flag = reduce(lambda a, b: a | b, flags.values())                        # O8
         return df.where(~any_flag), ctx

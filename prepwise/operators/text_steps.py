@@ -106,27 +106,26 @@ class TextStandardizer(Step):
         return {c: self.expr(col(c)) for c in ctx.text(df)}
 
 
-_SPECIAL = re.compile("[" + vocab.NAME_SPECIAL_CHARS + "]")
-
-
-def clean_name(name: str, position: int, *, strip=True, replace_special=True,
-               collapse_underscores=True, case="none", prefix_digit_columns=True) -> str:
-    s = str(name)
-    if strip:
-        s = s.strip()
-    if replace_special:
-        s = _SPECIAL.sub("_", s)
-    if collapse_underscores:
-        s = re.sub("_+", "_", s).strip("_")
-    if case == "lower":
-        s = s.lower()
-    elif case == "upper":
-        s = s.upper()
-    if prefix_digit_columns and s and s[0].isdigit():
-        s = "col_" + s
-    if not s:
-        s = f"col_{position}"
-    return s
+_CASES = {"none": lambda n: n, "lower": str.lower, "upper": str.upper}
+
+
+def name_rules(p) -> list:
+    """The renaming rules that are switched on (C1–C5), as functions of a name, in order."""
+    special = re.compile("[" + vocab.NAME_SPECIAL_CHARS + "]")
+    rules = [
+        (p.strip, str.strip),                                                               # C1
+        (p.replace_special, lambda n: special.sub("_", n)),                                 # C2
+        (p.collapse_underscores, lambda n: "_".join(part for part in n.split("_") if part)),    # C3
+        (True, _CASES[p.case]),                                                             # C4
+        (p.prefix_digit_columns, lambda n: "col_" + n if n[:1].isdigit() else n),           # C5
+    ]
+    return [rule for on, rule in rules if on]
+
+
+def clean_name(name: str, position: int, rules: list) -> str:
+    for rule in rules:
+        name = rule(name)
+    return name or f"col_{position}"                                                        # C6
 
 
 class ColumnNameCleaner(Step):
@@ -147,12 +146,8 @@ class ColumnNameCleaner(Step):
                 raise ValueError(f"unsupported case {self.case!r}")
 
     def _fit(self, df, ctx):
-        p = self.params
-        cols = ctx.user_columns(df)
-        cand = {c: clean_name(c, i, strip=p.strip, replace_special=p.replace_special,
-                              collapse_underscores=p.collapse_underscores, case=p.case,
-                              prefix_digit_columns=p.prefix_digit_columns)
-                for i, c in enumerate(cols)}
+        cols, rules = ctx.user_columns(df), name_rules(self.params)
+        cand = {c: clean_name(c, i, rules) for i, c in enumerate(cols)}
         taken = {c.lower() for c in df.columns if cand.get(c, c) == c}
         mapping = {}
         for c in cols:

@@ -41,19 +41,24 @@ def column_state(profile: DataFrame) -> DataFrame:
                           "count", (F.col("missing") / F.col("count")).alias("missing_rate"))   # R13
 
 
-def report(profile: DataFrame, events, step_counts: DataFrame | None = None, shape=None) -> dict:
+def report(profile: DataFrame, events, step_counts: DataFrame | None = None, shape=None, metadata: dict | None = None) -> dict:
+    """The machine-readable report; the cell log stays a table of its own (``cell_log``)."""
     prof = [r.asDict(recursive=True) for r in profile.collect()]      # one row per column: bounded
     counts = {r["step"]: r["changes"] for r in step_counts.collect()} if step_counts is not None else {}
     return {
         "timestamp": _dt.datetime.now().isoformat(),
+        "metadata": metadata or {},
         "shape": shape,
         "total_missing": sum(p["missing"] for p in prof),
         "summary": {"events": len(events), "cell_changes": counts},
         "events": [{"step": e.step, "column": e.column, "reason": e.reason} for e in events],
-        "columns": prof,
+        "columns": [{**p, "missing_ratio": p["missing"] / p["count"] if p["count"] else 1.0} for p in prof],
     }                                                                                    # R14
 
 
-def write_report(rep: dict, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(rep, fh, ensure_ascii=False, default=str, indent=1)
+def write_report(spark, rep: dict, path: str, cell_log: DataFrame | None = None) -> None:
+    """Write the report as one JSON line, and the cell changes beside it, to any folder Spark can write to."""
+    text = json.dumps(rep, ensure_ascii=False, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    if cell_log is not None:
+        cell_log.write.mode("overwrite").json(path.rstrip("/") + "-cells")

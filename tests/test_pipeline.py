@@ -135,11 +135,13 @@ def test_clean_one_call_and_report(spark):
     assert "Weight(kg)" in out.columns and out.count() == 40
     mx = out.agg(F.max("Score"), F.min("Score")).first()
     assert mx[0] == pytest.approx(1.0) and mx[1] == pytest.approx(0.0)
-    rep = changelog.report(fp.profile(), fp.context.events, shape=[out.count(), len(out.columns)])
+    rep = changelog.report(fp.profile(), fp.context.events, shape=[out.count(), len(out.columns)], metadata=fp.meta)
     target = os.path.join(d, "report.json")
-    changelog.write_report(rep, target)
+    changelog.write_report(spark, rep, target, fp.cell_log())
     import json
-    loaded = json.load(open(target, encoding="utf-8"))
+    loaded = json.loads(spark.read.text(target).first()[0])
+    assert loaded["metadata"]["rows"] == 40 and all(0 <= c["missing_ratio"] <= 1 for c in loaded["columns"])
+    assert spark.read.schema(changelog.LOG_SCHEMA).json(target + "-cells").count() == fp.cell_log().count()
     assert {c["column"] for c in loaded["columns"]} >= {"id", "Weight(kg)", "Score"}
     assert fp.meta["rows"] == 40 and fp.meta["extension"] == ".csv"
 
