@@ -10,7 +10,7 @@ from prepwise.context import ROW_ID, Role
 from prepwise.functions import numbers as nb
 from prepwise.functions import text as tx
 from prepwise.functions import vocab
-from prepwise.operators.analysis import pearson_pairs, profile, spearman_pairs, vif
+from prepwise.operators.analysis import CorrelationAnalyzer, pearson_pairs, profile, spearman_pairs, table_summary, vif
 from prepwise.operators.dates import DatetimeStandardizer
 from prepwise.operators.detect import IdColumnDetector, TypeDetector
 from prepwise.operators.features import Binning, CategoricalEncoder, FeatureScaler, SkewnessCorrector
@@ -121,8 +121,7 @@ def q_outlier_zscore_cap(spark, d):
 def q_outlier_forest_flag(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                                              "l_discount", "l_tax")
-    li = li.withColumn(ROW_ID, F.monotonically_increasing_id())
-    ctx = ctx_for(li, ids=["l_orderkey", "l_linenumber"])
+    ctx = ctx_for(li, ids=["l_orderkey", "l_linenumber"], order_by=li.columns)
     out = OutlierDetector(method="isolation_forest", action="flag").fit_transform(li, ctx)[0]
     return out.select("l_orderkey", "l_linenumber", "_if_outlier")
 
@@ -262,12 +261,12 @@ def q_to_timestamp(spark, d):
 # ============================================================ ID columns
 UUID_RE = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 CUSTOMER_COLS = {"c_custkey": "num", "c_name": "str", "c_nationkey": "num", "c_acctbal": "num",
-                 "c_mktsegment": "str", "c_ref": "str"}
+                 "c_mktsegment": "str", "c_ref": "str", "c_tag": "str", "c_step": "num"}
 LINEITEM_KINDS = {c: ("str" if c in ("l_returnflag", "l_linestatus") else "ts" if c == "l_shipdate" else "num")
                   for c in V.LINEITEM_COLS}
 
 
-def id_sql(tname: str, src: str, c: str, kind: str, order: str) -> str:
+def id_sql(tname: str, src: str, c: str, kind: str) -> str:
     name = " OR ".join(f"contains(lower({lit(c)}), {lit(w)})" for w in vocab.ID_NAME_WORDS)
     seq = "false"
     if kind == "num":
@@ -278,14 +277,14 @@ def id_sql(tname: str, src: str, c: str, kind: str, order: str) -> str:
     uuid = "false"
     if kind == "str":
         uuid = f"""coalesce((SELECT avg(CASE WHEN regexp_matches(v, {lit(UUID_RE)}) THEN 1.0 ELSE 0.0 END) > 0.5 FROM (
-            SELECT CAST({c} AS VARCHAR) AS v FROM {src} WHERE {c} IS NOT NULL ORDER BY {order} LIMIT 20)), false)"""
+            SELECT CAST({c} AS VARCHAR) AS v FROM {src} WHERE {c} IS NOT NULL)), false)"""
     uniq = f"(SELECT count(DISTINCT {c}) * 1.0 / count(*) >= 0.9 AND count({c}) > 0 FROM {src})"
     return f"SELECT {lit(tname)} AS table_name, {lit(c)} AS column_name, (({name}) OR {uniq} OR {seq} OR {uuid}) AS is_id"
 
 
 @register("id_columns", " UNION ALL ".join(
-    [id_sql("customer", V.CUSTOMER_UUID_SQL, c, k, "c_custkey") for c, k in CUSTOMER_COLS.items()]
-    + [id_sql("lineitem", "lineitem", c, k, ORDER_ALL) for c, k in LINEITEM_KINDS.items()]))
+    [id_sql("customer", V.CUSTOMER_UUID_SQL, c, k) for c, k in CUSTOMER_COLS.items()]
+    + [id_sql("lineitem", "lineitem", c, k) for c, k in LINEITEM_KINDS.items()]))
 def q_id_columns(spark, d):
     rows = []
     cu = V.customer_uuid(spark, d)
@@ -511,8 +510,8 @@ def q_missing_auto(spark, d):
     ctx = ctx_for(e, order_by=["event_id"])
     e, ctx = TypeDetector().fit_transform(e, ctx)
     out = MissingHandler().fit_transform(e, ctx)[0]
-    return out.select("event_id", F.date_format("ts", TS_FMT).alias("ts"), "user_id", "event_type",
-                      r6(F.col("value")).alias("value"))
+    shown = {"ts": F.date_format("ts", TS_FMT).alias("ts"), "value": r6(F.col("value")).alias("value")}
+    return nodrop(out.select(*[shown.get(c, F.col(c)) for c in out.columns]))       # no column is selected away (M6)
 
 
 # ============================================================ scaling
@@ -569,8 +568,7 @@ def _bins(spark, d, method):
     e, ctx = _events_value(spark, d)
     e = e.withColumn(ROW_ID, F.col("event_id"))
     ctx = ctx.with_(order_by=("event_id",))
-    out = Binning(method=method).fit_transform(e, ctx)[0]
-    return out.select("event_id", "value_bin")
+    return nodrop(Binning(method=method).fit_transform(e, ctx)[0])
 
 
 EDGES = " + ".join(f"CAST(value > {i} * ((mx - mn) / 5.0) + mn AS INTEGER)" for i in range(1, 5))
@@ -761,6 +759,182 @@ def q_preview_page(spark, d):
     return page.withColumn("o_orderdate", F.date_format("o_orderdate", TS_FMT))
 
 
+# ============================================================ sources and sinks
+def _stored(spark, d, ext, **options):
+    """Orders written by ``save`` to the session's shared folder and read back by ``read``."""
+    import uuid
+
+    from prepwise.session import ensure_checkpoint_dir
+    from prepwise.sources.readers import read
+    from prepwise.sources.writers import save
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepwise-io-{uuid.uuid4().hex}/orders.{ext}"
+    o = table(spark, d, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", TS_FMT))
+    info = save(o, path)
+    return read(spark, path, **options), path, info
+
+
+ORDERS_SQL = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {TS_SQL}) AS o_orderdate,
+    o_orderpriority FROM orders"""
+
+
+def _round_trip(ext, **options):
+    @register(f"io_{ext}", ORDERS_SQL)
+    def q(spark, d):
+        kinds = {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double"}
+        back = _stored(spark, d, ext, **options)[0]
+        return back.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in back.columns])
+    return q
+
+
+for _ext in ("csv", "tsv", "json", "parquet", "txt"):
+    _round_trip(_ext)
+
+
+@register("io_metadata", "SELECT count(*) AS file_rows, count(*) AS saved_rows, 6 AS cols, '.json' AS extension, 'utf-8' AS encoding FROM orders")
+def q_io_metadata(spark, d):
+    from prepwise.sources.readers import metadata
+    df, path, info = _stored(spark, d, "json")
+    m = metadata(df, path)
+    return spark.createDataFrame([(m["rows"], info["rows"], m["cols"], m["extension"], m["encoding"])],
+                                 "file_rows long, saved_rows long, cols int, extension string, encoding string")
+
+
+# ============================================================ column names
+MESSY = [" o key ", "1st cust", "---", "a__b", "A_B ", "fine"]
+
+
+@register("name_clean", """SELECT o_orderkey AS o_key, o_custkey AS col_1st_cust, o_orderstatus AS col_2, o_totalprice AS a_b,
+    strftime(o_orderdate, '%Y-%m-%d') AS "A_B_1", o_orderpriority AS fine FROM orders""")
+def q_name_clean(spark, d):
+    from prepwise.operators.text_steps import ColumnNameCleaner
+    o = table(spark, d, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")).toDF(*MESSY)
+    return ColumnNameCleaner().fit_transform(o, ctx_for(o))[0]
+
+
+# ============================================================ rarer branches
+@register("date_spellings", """SELECT o_orderkey, CASE o_orderkey % 20
+    WHEN 5 THEN strftime(o_orderdate, '2024-%m-%d') WHEN 13 THEN strftime(o_orderdate, '2024-%m-%d')
+    WHEN 10 THEN strftime(o_orderdate, '%Y-%m-01') WHEN 12 THEN strftime(o_orderdate, '%Y-%m-01')
+    WHEN 15 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS memo FROM orders""")
+def q_date_spellings(spark, d):
+    o = V.orders_spellings(spark, d)
+    return DatetimeStandardizer(current_year=2024).fit_transform(o, ctx_for(o, ids=["o_orderkey"]))[0]
+
+
+@register("role_branches", """SELECT 'blank' AS column_name, 'text' AS role UNION ALL SELECT 'ship_date', 'datetime'
+    UNION ALL SELECT 'digits', 'numeric' UNION ALL SELECT 'remark', 'text' UNION ALL SELECT 'o_orderkey', 'numeric'""")
+def q_role_branches(spark, d):
+    o = V.orders_roles(spark, d)
+    f = TypeDetector().fit(o, ctx_for(o))
+    return spark.createDataFrame(sorted(f.state["roles"].items()), "column_name string, role string")
+
+
+@register("prune_drop", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def q_prune_drop(spark, d):
+    s = V.supplier_constants(spark, d).withColumn("low", F.col("s_suppkey") * 1e-9)
+    return ConstantRemover(low_variance_threshold=0.01).fit_transform(s, ctx_for(s))[0]
+
+
+@register("text_upper", "SELECT event_id, upper(event_type) AS event_type FROM events")
+def q_text_upper(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type")
+    return TextStandardizer(**{**TXT_OFF, "case": "upper"}).fit_transform(e, ctx_for(e, {"event_type": Role.TEXT}))[0]
+
+
+@register("percent_mode", f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE
+    WHEN regexp_matches(l_discount, '^[0-9]+%$') THEN try_cast(replace(l_discount, '%', '') AS DOUBLE)
+    WHEN regexp_matches(l_discount, '^[0-9]+‰$') THEN try_cast(replace(l_discount, '‰', '') AS DOUBLE) / 10.0
+    END AS l_discount FROM {V.LINEITEM_PERCENT_SQL}""")
+def q_percent_mode(spark, d):
+    li = V.lineitem_percent(spark, d)
+    return PercentageUnifier(mode="percent").fit_transform(li, ctx_for(li))[0]
+
+
+@register("decimal_integers", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def q_decimal_integers(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return DecimalUnifier(mode="fixed", fixed_places=1).fit_transform(li, ctx_for(li, ids=["l_orderkey", "l_linenumber"]))[0]
+
+
+@register("fill_override", f"SELECT event_id, round(coalesce(value, (SELECT quantile_cont(value, 0.5) FROM {G})), 6) AS value FROM {G}")
+def q_fill_override(spark, d):
+    e, ctx = _gaps(spark, d)
+    out = MissingHandler(strategy="mean", column_overrides={"value": "median"}).fit_transform(e, ctx)[0]
+    return nodrop(out.withColumn("value", r6(F.col("value"))))
+
+
+@register("bin_new_column", f"""SELECT event_id, value, CASE WHEN value IS NULL THEN NULL ELSE {EDGES} END AS value_bin
+    FROM events, (SELECT min(value) AS mn, max(value) AS mx FROM events)""")
+def q_bin_new_column(spark, d):
+    e, ctx = _events_value(spark, d)
+    return Binning(method="equal_width", output_mode="new_column").fit_transform(e, ctx)[0]
+
+
+@register("encode_auto", """SELECT o_orderkey, o_orderstatus = 'O' AS "o_orderstatus_O", o_orderstatus = 'P' AS "o_orderstatus_P",
+    CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS o_orderpriority FROM orders""")
+def q_encode_auto(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    ctx = ctx_for(o, {"o_orderstatus": Role.CATEGORICAL, "o_orderpriority": Role.CATEGORICAL}, ids=["o_orderkey"])
+    return CategoricalEncoder(method="auto", onehot_max_categories=3).fit_transform(o, ctx)[0]
+
+
+@register("encode_ordinal_sorted", f"""SELECT o_orderkey, CASE WHEN p IS NULL THEN -1 ELSE CAST(dense_rank() OVER (ORDER BY p NULLS LAST) - 1 AS INTEGER)
+    END AS o_orderpriority FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS p FROM orders)""")
+def q_encode_ordinal_sorted(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    return CategoricalEncoder(method="ordinal").fit_transform(o, ctx_for(o, {"o_orderpriority": Role.CATEGORICAL}, ids=["o_orderkey"]))[0]
+
+
+@register("high_pairs", f"""SELECT 'l_quantity' AS col_a, 'l_q2' AS col_b, round(corr(l_quantity, l_quantity * 2 + l_tax * 100), 6) AS r FROM lineitem""")
+def q_high_pairs(spark, d):
+    li = V.lineitem_collinear(spark, d)
+    f = CorrelationAnalyzer(compute_vif=False).fit(li, ctx_for(li))
+    return spark.createDataFrame([(a, b, round(r, 6)) for a, b, r in f.state["high"]], "col_a string, col_b string, r double")
+
+
+@register("outlier_cap_log", IQR_SQL.format(src="events") + """ SELECT 'outlier_detector' AS step, 'value' AS column_name, event_id AS row_id,
+    round(value, 6) AS original, round(least(greatest(value, lo), hi), 6) AS new FROM t WHERE flag""")
+def q_outlier_cap_log(spark, d):
+    e, ctx = _events_value(spark, d)
+    e = e.withColumn(ROW_ID, F.col("event_id"))
+    step = OutlierDetector(method="iqr", action="cap")
+    log = changelog.cell_diff(e, step.name, step.fit(e, ctx).exprs(e, ctx))
+    return log.select("step", F.col("column").alias("column_name"), "row_id", r6(F.col("original").cast("double")).alias("original"),
+                      r6(F.col("new").cast("double")).alias("new"))
+
+
+@register("change_detail", f"""SELECT 'encoding_normalizer' AS step, 'text' AS column_name, doc_id AS row_id, text AS original,
+    {_enc_sql('text')} AS new FROM {V.DOCUMENTS_DIRTY_SQL} WHERE text IS DISTINCT FROM {_enc_sql('text')}""")
+def q_change_detail(spark, d):
+    t, ctx = _docs(spark, d)
+    t = t.withColumn(ROW_ID, F.col("doc_id"))
+    log = changelog.cell_diff(t, LOG_STEP.name, LOG_STEP.fit(t, ctx).exprs(t, ctx))
+    return changelog.change_detail(log, [LOG_STEP.name]).select("step", F.col("column").alias("column_name"), "row_id", "original", "new")
+
+
+@register("table_summary", f"""SELECT column_name, dtype, (SELECT count(*) FROM {G}) AS rows, 5 AS cols,
+    (SELECT count(*) - count(value) FROM {G}) AS total_missing FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'),
+    ('user_id', 'bigint'), ('event_type', 'string'), ('value', 'double')) AS v(column_name, dtype)""")
+def q_table_summary(spark, d):
+    s = table_summary(V.events_gaps(spark, d))
+    return s.select("rows", "cols", "total_missing", F.explode("dtypes").alias("t")).select(
+        F.col("t.column").alias("column_name"), F.col("t.dtype").alias("dtype"), "rows", "cols", "total_missing")
+
+
+@register("step_snapshots", f"""SELECT 0 AS snapshot, count(*) AS rows, count(value) AS filled FROM {G}
+    UNION ALL SELECT 1, count(*), count(*) FROM {G}""")
+def q_step_snapshots(spark, d):
+    from prepwise.plans.chain import REGISTRY, CleaningPipeline
+    e, ctx = _gaps(spark, d)
+    pipe = CleaningPipeline(enabled_steps={c.name: c.name == "missing_handler" for c in REGISTRY},
+                            step_configs={"missing_handler": {"strategy": "mean"}})
+    out = None
+    for i, snap in enumerate(pipe.run_step_by_step(e, ctx)):
+        one = snap.agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("filled")).withColumn("snapshot", F.lit(i))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ============================================================ the whole default run
 @register("clean_events")
 def q_clean_events(spark, d):

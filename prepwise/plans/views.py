@@ -235,8 +235,37 @@ def customer_uuid(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     u = F.lower(F.concat(F.format_string("%08x", F.col("c_custkey")), F.lit("-0000-4000-8000-"),
                          F.format_string("%012x", F.col("c_custkey") * 7919)))
-    return c.withColumn("c_ref", u)
+    few = F.lower(F.concat(F.format_string("%08x", F.col("c_custkey") % 10), F.lit("-0000-4000-8000-000000000000")))
+    return (c.withColumn("c_ref", u).withColumn("c_tag", few)                       # UUIDs, but not unique
+            .withColumn("c_step", F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") * 3)))    # a sequence in half of the rows
 
 
 CUSTOMER_UUID_SQL = """(SELECT *, lower(printf('%08x', c_custkey) || '-0000-4000-8000-' || printf('%012x', c_custkey * 7919))
-  AS c_ref FROM customer)"""
+  AS c_ref, lower(printf('%08x', c_custkey % 10) || '-0000-4000-8000-000000000000') AS c_tag,
+  CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 3 END AS c_step FROM customer)"""
+
+
+SPELLINGS = [
+    "yyyy-MM-dd'T10:00:00Z'", "yyyy-MM-dd'T10:00:00.123'", "yyyy-MM-dd' 10:00:00+08:00'", "yyyy-MM-dd' 10:00 AM'", "M/d/yy",
+    "MMM d", "d-MMM-yyyy", "yyyy.MM.dd' 10:00:00'", "yyyy-MM-dd'T10:00'", "EEE MMM d' 10:00:00 'yyyy",
+    "MMMM yyyy", "yyyy-MM-dd' 10:00:00.1'", "yyyy年M月", "M月d日", "yyyyMMddHHmmss",
+    "'not a day'", "MMMM d, yyyy", "yyyy/M/d", "d MMM yyyy", "yyyyMMdd",
+]
+
+
+def orders_spellings(spark, sf_dir) -> DataFrame:
+    """Order dates in twenty spellings, in a column whose name says nothing."""
+    o = table(spark, sf_dir, "orders")
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % len(SPELLINGS)
+    s = F.lit(None).cast("string")
+    for i, f in enumerate(SPELLINGS):
+        s = F.when(k == i, F.date_format(d, f)).otherwise(s)
+    return o.select("o_orderkey", s.alias("memo"))
+
+
+def orders_roles(spark, sf_dir) -> DataFrame:
+    """Columns for the rarer branches of role detection."""
+    o = table(spark, sf_dir, "orders")
+    digits = F.date_format("o_orderdate", "yyyyMMdd")
+    return o.select("o_orderkey", F.lit(None).cast("string").alias("blank"), digits.alias("ship_date"), digits.alias("digits"),
+                    F.concat(F.lit("note "), F.col("o_orderkey").cast("string")).alias("remark"))
