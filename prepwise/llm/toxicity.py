@@ -107,7 +107,8 @@ def train(scratch: Scratch, docs: DataFrame, labels: DataFrame, folds: int | Non
         F.max(F.col(label_col).cast("int")).alias("toxic"))
     if folds:
         marked = marked.where(residue(F.col("doc_id"), folds) != 0)
-    known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(marked, "doc_id")
+    # one plan at every size: neither side has a bound that would allow a broadcast
+    known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(marked.hint("merge"), "doc_id")
     per = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}    # two rows
     share = {c: min(1.0, fit_rows / max(1, per.get(c, 0))) for c in (0, 1)}
     cut = F.when(F.col("toxic") > 0, share[1]).otherwise(share[0])
