@@ -134,6 +134,8 @@ def near_vectors(table: DataFrame, threshold: float = THRESHOLD, shards: int = S
         return pd.DataFrame({"dim": [int(pdf["dim"].iloc[0])], "name": [name], "layers": [len(layers)]})
 
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(shards))).withColumn("order", F.xxhash64(F.lit(1), "vec"))
+    # a stated number of partitions: a graph is long work on few bytes, which sizes alone would pack together
+    dealt = dealt.repartition(4 * shards, "dim", "shard")
     stored = dealt.groupBy("dim", "shard").applyInPandas(store, "dim int, name string, layers int").collect()     # a row per graph
     graphs: dict[int, list] = {}
     for r in sorted(stored):
@@ -169,7 +171,8 @@ def near_vectors(table: DataFrame, threshold: float = THRESHOLD, shards: int = S
             a, b = _forest(np.concatenate([x for x, _ in ends]), np.concatenate([y for _, y in ends]))
             yield pd.DataFrame({"a": a, "b": b, "links": 0})
 
-    asked = scratch.save(nodes.select("node", "dim", "times", "vec").repartition(F.xxhash64("node")).mapInPandas(ask, "a long, b long, links long"))
+    tasks = max(1, -(-nodes.count() // (2 * _BLOCK)))
+    asked = scratch.save(nodes.select("node", "dim", "times", "vec").repartition(tasks, F.xxhash64("node")).mapInPandas(ask, "a long, b long, links long"))
     edges = asked.where("a <> b").select("a", "b")
     joined = components(scratch, edges)
     counts = asked.where("a = b").select(F.col("a").alias("node"), "links")
