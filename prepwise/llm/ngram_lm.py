@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, get_array, put_array, residue
 from .elias_fano import EliasFano
-from .words import batches_of, hashed_words, mix
+from .words import batches_of, distinct_of, hashed_words, mix
 
 ORDER = 3
 CUT = 2
@@ -66,7 +66,7 @@ class Counter:
 
     def rest(self):
         if self.parts:
-            keys, where = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
+            keys, where = distinct_of(np.concatenate([k for k, _ in self.parts]))
             counts = np.bincount(where, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
             self.parts, self.held = [], 0
             yield pd.DataFrame({"key": keys.view(np.int64) if keys.dtype == np.uint64 else keys, "n": counts})
@@ -135,7 +135,7 @@ class Model:
             if own[s + 1] == own[s]:
                 continue
             name = f"level{level}-{s}"
-            ctx, where = np.unique(nodes[part] - starts[s], return_inverse=True)
+            ctx, where = distinct_of(nodes[part] - starts[s])
             pointer, next_ = self.sequence(f"{name}-pointers"), self.sequence(f"{name}-next")
             first = pointer.access(ctx).astype(np.int64)
             last = pointer.access(ctx + 1).astype(np.int64)
@@ -155,14 +155,14 @@ class Model:
 def _sorted_children(model: Model, level: int, nodes: np.ndarray, words: np.ndarray):
     """``children`` for keys in any order, each distinct key asked once."""
     keys = (nodes << np.int64(32)) | words
-    distinct, where = np.unique(keys, return_inverse=True)
+    distinct, where = distinct_of(keys)
     found = model.children(level, distinct >> np.int64(32), distinct & np.int64(0xFFFFFFFF))
     return tuple(x[where] for x in found)
 
 
 def _ids(model: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word ids and training counts of tokens."""
-    distinct, where = np.unique(hashes, return_inverse=True)
+    distinct, where = distinct_of(hashes)
     ids = model.word_ids(distinct)
     counts = np.zeros(len(ids), np.int64)
     counts[ids >= 0] = model.counts(ids[ids >= 0])             # ids rise with the hashes
@@ -227,7 +227,7 @@ def _lower(model: Model, level: int, nodes: np.ndarray, words: np.ndarray) -> np
 
 
 def _by_sorted(f, values: np.ndarray) -> np.ndarray:
-    distinct, where = np.unique(values, return_inverse=True)
+    distinct, where = distinct_of(values)
     return f(distinct)[where]
 
 

@@ -2,11 +2,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_IS_WORD = bytes(0 if b == 32 or 9 <= b <= 13 else 1 for b in range(256))
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)          # the first n bytes of a lane
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -25,25 +25,32 @@ def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
     Words are runs of other bytes than space and U+0009..U+000D, A-Z lower-cased."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b" ".join([b"", *raw, b" " * 16]), np.uint8)
-    data = _LOWER[data]
-    word = ~_SPACE[data]
-    starts = np.flatnonzero(word[1:] & ~word[:-1]) + 1
-    ends = np.flatnonzero(word[:-1] & ~word[1:]) + 1
-    lens = (ends - starts).astype(np.int64)
-    lanes = np.ndarray((len(data) - 7,), "<u8", data.tobytes(), 0, (1,))
+    data = b" ".join([b"", *raw, b" " * 16]).translate(_LOWER)
+    edge = np.flatnonzero(np.diff(np.frombuffer(data.translate(_IS_WORD), np.int8)))     # word starts and ends in turn
+    starts, ends = edge[::2] + 1, edge[1::2] + 1
+    lens = ends - starts
+    lanes = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    # the first eight bytes of every word, then the rest of the longer ones
     h = lens.astype(np.uint64) * _ODD
-    live, at = np.arange(len(starts)), 0
+    h = mix(h ^ (lanes[starts] & _MASKS[np.minimum(lens, 8)]))
+    live, at = np.flatnonzero(lens > 8), 8
     while len(live):
         left = lens[live] - at
-        lane = lanes[starts[live] + at]
-        lane = np.where(left < 8, lane & ((np.uint64(1) << (np.minimum(left, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1)), lane)
-        h[live] = mix(h[live] ^ lane)
+        h[live] = mix(h[live] ^ (lanes[starts[live] + at] & _MASKS[np.minimum(left, 8)]))
         live, at = live[left > 8], at + 8
     begin = np.cumsum([1, *[len(r) + 1 for r in raw]])
     return h, np.diff(np.searchsorted(starts, begin))
 
 
+def distinct_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(sorted distinct values, place of each value among them)``."""
+    codes, found = pd.factorize(values)
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[codes]
+
+
 def batches_of(texts, limit: int):
     """Ranges ``(from, to)`` of rows whose texts together reach ``limit`` characters."""
     begin, held = 0, 0
