@@ -7,7 +7,8 @@ compares some of its queries with a plain scan of the shard: while it finds less
 ``RECALL`` of the links, the block is asked again with a beam twice as wide (at the width of the
 shard that is a full scan, so the loop ends).  Candidates are verified by cosine in double
 precision.  A task passes on link counts and a spanning forest of the links it saw, never all
-pairs; the components of the forests are the components of the links.
+pairs; the components of the forests are the components of the links.  A vector's link count
+is of the links that its own search found and verified; the recall audit bounds what it misses.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing (component: their own id); vectors of different lengths never link; a null id
@@ -176,12 +177,9 @@ def near_vectors(table: DataFrame, threshold: float = THRESHOLD, shards: int = S
     edges = asked.where("a <> b").select("a", "b")
     joined = components(scratch, edges)
     counts = asked.where("a = b").select(F.col("a").alias("node"), "links")
-    # a link seen from one end only still counts at the other
-    seen = edges.union(edges.select("b", "a")).distinct().groupBy("a").agg(F.count("*").alias("touched"))
     named = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    facts = named.join(names, "root").join(counts, "node").join(seen, F.col("node") == F.col("a"), "left").select(
-        "vec", F.greatest("links", F.coalesce("touched", F.lit(0))).alias("n_links"), "component_id")
+    facts = named.join(names, "root").join(counts, "node").select("vec", F.col("links").alias("n_links"), "component_id")
     out = rows.withColumn("key", F.when(usable(F.col("vec")), F.col("vec"))).drop("vec").join(facts.withColumnRenamed("vec", "key"), "key", "left")
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"),

@@ -57,6 +57,18 @@ def test_edges(spark):
     assert vectors.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_links_of_a_chain_are_not_those_of_its_component(spark):
+    rows, links = [], {}
+    for k in range(12):                                        # chains of five, 20 degrees apart, each in its own plane
+        for j in range(5):
+            v = [0.0] * 24
+            v[2 * k], v[2 * k + 1] = float(np.cos(np.radians(20 * j))), float(np.sin(np.radians(20 * j)))
+            rows.append((10 * k + j, v))
+            links[10 * k + j] = 1 + (0 < j < 4)
+    for r in vectors.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect():
+        assert (r["n_links"], r["component_id"]) == (links[r["vec_id"]], r["vec_id"] // 10 * 10)
+
+
 @pytest.mark.parametrize("n", [1, 2, 31, 33, 500, 2500])
 def test_graph_finds_neighbours(n):
     rng = np.random.default_rng(n)
