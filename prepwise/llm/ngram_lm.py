@@ -9,9 +9,10 @@ and log10 probabilities quantised to 16 bits.  Files lie in the shared folder an
 memory-mapped by the scoring tasks; nothing that grows with the corpus is broadcast.
 
 Probabilities interpolate with Witten-Bell weights: ``P(w | c) = (n(c, w) + T P(w | c')) / (n(c) + T)``
-over the successors kept (seen at least ``CUT`` times), ``T`` the number of them, and at the
-bottom the add-one unigram.  A longer n-gram can only reach ``CUT`` if the two shorter ones
-inside do, so each counting pass asks the levels already built first.
+over all successors of the training text, ``T`` the number of them, and at the bottom the add-one
+unigram.  ``cut`` above 1 drops n-grams seen less often, and with them their part of ``n(c)`` and ``T``;
+a longer n-gram can only reach it if the two shorter ones inside do, so each counting pass asks the
+levels already built first.
 
 Defined results: null text counts as empty (one token, the end); a null id has remainder 0;
 without training tokens base and score are 0 per token of a model that knows
@@ -29,7 +30,7 @@ from .elias_fano import EliasFano
 from .words import batches_of, distinct_of, hashed_words, mix
 
 ORDER = 3
-CUT = 2
+CUT = 1
 SHARDS = 32
 FOLDS, HELD = 7, 2
 _BITS = SHARDS.bit_length() - 1

@@ -93,6 +93,17 @@ def _last(model, text):
     return float(best[-1])
 
 
+def test_words_seen_once_after_a_context_count(spark):
+    rows = [(1, " ".join(f"of v{i}" for i in range(998)) + " of the of the")]
+    plain = Plain([rows[0][1]], 3, 1)
+    model = ngram_lm.Model(*ngram_lm.fit(spark.createDataFrame(rows, SCHEMA)))
+    for text in ("of the", "of v7", "x of the", "v3 of v4"):
+        got = ngram_lm.score_texts(model, [text])
+        assert float(got[3][0]) == pytest.approx(plain.score(text)[3], abs=2e-3)
+    with_the, of = (float(ngram_lm.score_texts(model, [t])[3][0]) - _last(model, t) for t in ("of the", "of"))
+    assert 10 ** (with_the - of) < 0.01                        # 2 of 1000, not 2 of 3
+
+
 def test_empty_tables(spark):
     assert ngram_lm.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
