@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, ngram_lm, passages, pieces, simhash, toxicity, urls, vectors, warc
+from . import exact, mixing, ngram_lm, passages, pieces, simhash, spelling, toxicity, urls, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op10_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
@@ -63,8 +67,20 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op12_spelling": op12_spelling,
 }
 
+# crc32 (reflected polynomial EDB88320) of UTF-8 texts, for the twins: the table from its rule, then one step per byte
+_CRC = r"""crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce([i::UBIGINT] || list_transform(range(8), lambda k: 0::UBIGINT),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    """SQL for the crc32 of ``text``; ``crc_table`` must be in the FROM clause."""
+    octets = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i::INT + 1, 2))::UBIGINT)"
+    return f"xor(list_reduce([4294967295::UBIGINT] || {octets}, lambda c, b: xor(c >> 8, t[xor(c & 255, b)::INT + 1])), 4294967295::UBIGINT)"
+
+
 SQL = {
     "op2_url_filter": r"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url,
@@ -104,4 +120,21 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
                   count(*) OVER (PARTITION BY norm) AS group_size
            FROM d WINDOW w AS (PARTITION BY norm ORDER BY cp DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, group_size, pos = 1 AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op12_spelling": rf"""
+WITH RECURSIVE {_CRC},
+     r AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+     h AS (SELECT run, c, {_crc("(id || ':' || run)")} AS h FROM (SELECT id, run, count(*) AS c FROM r GROUP BY ALL), crc_table),
+     w AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                  ELSE run END AS word, c FROM h) GROUP BY word HAVING length(word) >= 7 AND sum(c) >= 2),
+     d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+           FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+     p AS (SELECT x.word AS a, y.word AS b, y.n FROM d x JOIN d y ON x.cut = y.cut AND x.i = y.i AND x.word <> y.word
+           UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.cut = w.word
+           UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.cut = w.word),
+     g AS (SELECT a, count(*) AS n_near, list({{'m': -n, 'b': b}} ORDER BY -n, b)[1] AS best FROM p GROUP BY a),
+     f AS (SELECT word, CASE WHEN -best.m >= 10 * n THEN best.b END AS form, n, coalesce(n_near, 0)::BIGINT AS n_near,
+                  CASE WHEN -best.m >= 10 * n THEN -best.m END::BIGINT AS form_n FROM w LEFT JOIN g ON a = word),
+     s AS (SELECT word, word AS root FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT s.word, s.root FROM s JOIN f ON f.word = s.root AND f.form IS NULL) e ON e.word = f.word""",
 }
