@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, ngram_lm, passages, pieces, simhash, spelling, toxicity, urls, vectors, warc
+from . import exact, mixing, ngram_lm, passages, pieces, simhash, spelling, toxicity, turns, urls, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op12_spelling(spark, sf_dir):
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    return turns.repaired(turns.damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
@@ -68,6 +72,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
     "op12_spelling": op12_spelling,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # crc32 (reflected polynomial EDB88320) of UTF-8 texts, for the twins: the table from its rule, then one step per byte
@@ -81,6 +86,15 @@ def _crc(text: str) -> str:
     return f"xor(list_reduce([4294967295::UBIGINT] || {octets}, lambda c, b: xor(c >> 8, t[xor(c & 255, b)::INT + 1])), 4294967295::UBIGINT)"
 
 
+def _step(x: str, cost: str, letter: str) -> str:
+    """SQL that adds an edit to a path, a text of nine digits of cost and its letters; null stays null."""
+    return f"(lpad((substr({x}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({x}, 10) || {letter})"
+
+
+def _match(x: str, initial: str) -> str:
+    return _step(x, f"CASE WHEN e = '{initial}' THEN 0 ELSE 3 END + late", f"CASE WHEN e = '{initial}' THEN 'K' ELSE 'R' END")
+
+
 SQL = {
     "op2_url_filter": r"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url,
@@ -137,4 +151,41 @@ WITH RECURSIVE {_CRC},
                   CASE WHEN -best.m >= 10 * n THEN -best.m END::BIGINT AS form_n FROM w LEFT JOIN g ON a = word),
      s AS (SELECT word, word AS root FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL)
 SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT s.word, s.root FROM s JOIN f ON f.word = s.root AND f.form IS NULL) e ON e.word = f.word""",
+    # the least path to each end of the text written so far: nothing (x0), s (xs), ..u (xu), ..a (xa); turn after turn
+    "op13_conversation_repair": rf"""
+WITH RECURSIVE {_CRC},
+     c AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                  {_crc("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations, crc_table),
+     d AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+                  CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                  unnest(CASE k WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM c WHERE k <> 0),
+     o AS (SELECT *, left(role, 1) AS e, right(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'), 1) AS tail,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM d),
+     f AS MATERIALIZED (SELECT *, CASE WHEN tail = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                          WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  coalesce(lag(e) OVER (PARTITION BY conv_id ORDER BY i) || e NOT IN ('su', 'ua', 'au'), false) AS illegal FROM o),
+     g AS MATERIALIZED (SELECT conv_id, i, e, fault IN ('blank', 'duplicate') AS forced, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late FROM f),
+     p AS (SELECT conv_id, 0::BIGINT AS i, '000000000' AS x0, NULL::VARCHAR AS xs, '000000003I' AS xu, '000000006II' AS xa FROM (SELECT DISTINCT conv_id FROM c)
+           UNION ALL
+           SELECT conv_id, i, y0, ys, zu, least(ya, {_step("zu", "3", "'I'")}) FROM (
+             SELECT conv_id, i, y0, ys, ya, least(yu, {_step("y0", "3", "'I'")}, {_step("ys", "3", "'I'")}, {_step("ya", "3", "'I'")}) AS zu FROM (
+               SELECT p.conv_id, g.i, {_step("x0", "4", "'D'")} AS y0,
+                      least({_step("xs", "4", "'D'")}, CASE WHEN e = 's' AND NOT forced THEN {_step("x0", "late", "'K'")} END) AS ys,
+                      least({_step("xu", "4", "'D'")}, CASE WHEN NOT forced THEN least({_match("x0", "u")}, {_match("xs", "u")}, {_match("xa", "u")}) END) AS yu,
+                      least({_step("xa", "4", "'D'")}, CASE WHEN NOT forced THEN {_match("xu", "a")} END) AS ya
+               FROM p JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id AND g.i = p.i + 1))),
+     b AS MATERIALIZED (SELECT conv_id, substr(best, 1, 9)::BIGINT AS cost, substr(best, 10) AS audit
+           FROM (SELECT conv_id, least(arg_max(x0, i), arg_max(xa, i)) AS best FROM p GROUP BY conv_id)),
+     l AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS pos FROM b),
+     m AS (SELECT conv_id, pos, audit[pos] AS step, length(replace(left(audit, pos), 'I', '')) AS i, length(replace(left(audit, pos), 'D', '')) AS nth FROM l),
+     w AS (SELECT m.conv_id, pos, step, nth, role, text, e, max(CASE WHEN nth = 1 AND step = 'K' AND e = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id) AS lead
+           FROM m LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.i = m.i WHERE step <> 'D'),
+     t AS (SELECT conv_id, string_agg(CASE WHEN step = 'K' THEN role WHEN (nth - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                  || CASE WHEN step = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS whole FROM w GROUP BY conv_id),
+     a AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = 'blank')::BIGINT AS blank,
+                  count_if(fault = 'duplicate')::BIGINT AS duplicate, count_if(fault = 'truncated')::BIGINT AS truncated, count_if(illegal)::BIGINT AS illegal
+           FROM f GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM b LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM b.conv_id""",
 }
