@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, ngram_lm, passages, pieces, simhash, spelling, toxicity, turns, urls, vectors, warc
+from . import exact, extraction, mixing, ngram_lm, passages, pieces, simhash, spelling, toxicity, turns, urls, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op10_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_html_extraction(spark, sf_dir):
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def op12_spelling(spark, sf_dir):
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_html_extraction": op11_html_extraction,
     "op12_spelling": op12_spelling,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -134,6 +139,13 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
                   count(*) OVER (PARTITION BY norm) AS group_size
            FROM d WINDOW w AS (PARTITION BY norm ORDER BY cp DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, group_size, pos = 1 AS kept, sha256(norm) AS text_sha256 FROM r""",
+    # what these pages say themselves: the blocks of the article element
+    "op11_html_extraction": r"""
+WITH a AS (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1)>') AS parts FROM pages),
+     t AS (SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'),
+                  '&quot;', '"'), '&amp;?', '&', 'g'), '[\x09-\x0D\x20]+', ' ', 'g'))) AS blocks FROM a)
+SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text,
+       length(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)))::BIGINT AS n_chars FROM t""",
     "op12_spelling": rf"""
 WITH RECURSIVE {_CRC},
      r AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')),

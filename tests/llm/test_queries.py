@@ -10,6 +10,7 @@ COLUMNS = {
     "op4_": ["vec_id", "n_links", "component_id", "kept"], "op5_": ["doc_id", "held_out", "score", "predicted"],
     "op7_": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op9_": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"], "op10_": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11_": ["page_id", "url", "text", "n_chars"],
     "op12_": ["word", "form", "root", "n", "n_near", "form_n"],
     "op13_": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
@@ -17,7 +18,7 @@ COLUMNS = {
 
 def test_one_query_per_operator():
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == [*range(1, 11), 12, 13] and "pipeline" in E.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("prefix", COLUMNS)
@@ -26,7 +27,7 @@ def test_contract_columns(spark, prefix):
     assert E.queries()[name](spark, SF).columns[: len(COLUMNS[prefix])] == COLUMNS[prefix]
 
 
-@pytest.mark.parametrize("prefix", ["op2_", "op6_", "op9_", "op12_", "op13_"])
+@pytest.mark.parametrize("prefix", ["op2_", "op6_", "op9_", "op11_", "op12_", "op13_"])
 def test_twins(spark, prefix):
     name = next(q for q in E.queries() if q.startswith(prefix))
     con = duckdb.connect()
