@@ -790,6 +790,22 @@ for _ext in ("csv", "tsv", "json", "parquet", "txt"):
     _round_trip(_ext)
 
 
+@register("io_json_mixed", ORDERS_SQL)
+def q_io_json_mixed(spark, d):
+    """Orders in one folder as record lines and as array documents of a few thousand records."""
+    import uuid
+
+    from prepwise.session import ensure_checkpoint_dir
+    from prepwise.sources.readers import read
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepwise-io-{uuid.uuid4().hex}/orders.json"
+    o = table(spark, d, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", TS_FMT))
+    o.where("o_custkey % 3 > 0").write.json(path)
+    documents = o.where("o_custkey % 3 = 0").groupBy(F.floor(F.col("o_orderkey") / 4000).alias("g")).agg(
+        F.to_json(F.collect_list(F.struct(*o.columns))).alias("value"))
+    documents.select(F.regexp_replace("value", r"\},\{", "},\n{").alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    return read(spark, path).select(*[F.col(c).cast(k).alias(c) for c, k in o.dtypes])
+
+
 @register("io_metadata", "SELECT count(*) AS file_rows, count(*) AS saved_rows, 6 AS cols, '.json' AS extension, 'utf-8' AS encoding FROM orders")
 def q_io_metadata(spark, d):
     from prepwise.sources.readers import metadata

@@ -1,173 +1,106 @@
 """Order-dependent operators without a single-task window.
 
-``bucketize`` assigns each row a range bucket from boundaries picked on a
-deterministic hash sample of the order key (order columns + the row id, so
-the key is total and a hot value is split across buckets).  The boundaries
-are literals in the plan, so a recomputed task puts every row in the same
-bucket again — lost executors are harmless.  Work then runs per bucket in a
-window ``partitionBy(bucket)``; what crosses bucket edges (carried values,
-row offsets) is a table with one row per bucket, bounded by the bucket count
-and therefore safe to broadcast.
+``bucketize`` writes the table range-partitioned and sorted along a total order key (order
+columns + the row id, so a hot value is split across buckets) to the shared folder, each row
+with its partition number and its place inside the partition.  The boundaries are thus data:
+nothing of them is in a plan or on the driver, whatever the number of buckets, and a task that
+runs again reads the same bucket.  Positions need no window at all; fills run in a window
+``partitionBy(bucket)``, to which what crosses bucket edges (the last value before, the first
+after) comes as an extra row of the bucket.  Row offsets are a table of one long per bucket.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET = "_bucket"
-SAMPLE_PER_BUCKET = 40
+from prepwise.plans import shared
+
+BUCKET, PLACE = "_bucket", "_bucket_place"
 ROWS_PER_BUCKET = 5_000_000
+_LOW = (1 << 33) - 1                          # monotonically_increasing_id: partition above, place below this mask
 
 
 def _c(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _key(order: list[str]) -> Column:
-    return F.struct(*[_c(o).alias(f"k{i}") for i, o in enumerate(order)])
+def ranged(df: DataFrame, order: list[str], n_buckets: int) -> DataFrame:
+    """The plan of ``bucketize``: rows sorted in ``n_buckets`` range partitions, with partition and place in one long."""
+    keys = [_c(o).asc_nulls_first() for o in order]
+    return df.repartitionByRange(n_buckets, *keys).sortWithinPartitions(*keys).withColumn(PLACE, F.monotonically_increasing_id())
 
 
-def _bucket_expr(key: Column, bounds: list, types: list) -> Column:
-    lits = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
-            for b in bounds]
+def bucketize(df: DataFrame, order: list[str], n_buckets: int | None = None, total: int | None = None) -> DataFrame:
+    """``df`` with its range bucket along ``order`` and its place (from 0) inside the bucket.
 
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= lits[mid], build(mid + 1, hi)).otherwise(build(lo, mid))
+    The bucket count follows the row count; ``total`` saves counting the rows."""
+    if n_buckets is None:
+        total = df.count() if total is None else total
+        n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_BUCKET))
+    table = shared.save(ranged(df, order, n_buckets), "range")
+    return table.withColumn(BUCKET, F.shiftright(PLACE, 33).cast("int")).withColumn(PLACE, F.col(PLACE).bitwiseAND(_LOW))
 
-    return build(0, len(lits))
 
+def _offsets(b: DataFrame) -> DataFrame:
+    """Rows before every bucket: one int and one long per bucket, so broadcast."""
+    counts = b.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(counts.select(BUCKET, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))
 
-def _sample(df: DataFrame, order: list[str], rate: float) -> DataFrame:
-    """Rows whose 64-bit key hash lies below ``rate`` of the whole range."""
-    keys = df.select(*[_c(o).alias(f"k{i}") for i, o in enumerate(order)])
-    if rate >= 1.0:
-        return keys
-    h = F.xxhash64(*[F.col(f"k{i}") for i in range(len(order))])
-    return keys.where(h < F.lit(-2 ** 63 + int(rate * 2 ** 64)))
 
+def _frame(forward: bool) -> Window:
+    """From the start of the bucket to this row, or from its end: reversed order, since a frame that
+    reaches to the end is aggregated anew for every row."""
+    w = Window.partitionBy(BUCKET).orderBy(PLACE if forward else F.desc(PLACE))
+    return w.rowsBetween(Window.unboundedPreceding, 0)
 
-def bucketize(df: DataFrame, order: list[str], n_buckets: int | None = None, total: int | None = None) -> DataFrame:
-    """``df`` with its range bucket along ``order``.
-
-    ``total`` is only a first guess of the row count: the sampling rate is raised or lowered
-    until the sample has a few dozen rows per bucket, so a wrong guess costs a job, never
-    the evenness of the buckets.  The bucket count follows the row count."""
-    spark = df.sparkSession
-    if total is None:
-        total = df.count()
-    if n_buckets is None:
-        n_buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_BUCKET))
-    target = SAMPLE_PER_BUCKET * n_buckets
-    rate = min(1.0, target / max(total, 1))
-    while True:
-        got = _sample(df, order, rate).count()
-        if got > 4 * target:
-            rate *= target / got
-        elif got < target / 4 and rate < 1.0:
-            rate = min(1.0, rate * (target / got if got else 256.0))
-        else:
-            break
-    sample = _sample(df, order, rate).orderBy(*[f"k{i}" for i in range(len(order))]).collect()   # ≤ 4·target rows
-    types = [df.schema[o].dataType.simpleString() for o in order]
-    bounds = []
-    if sample:
-        step = len(sample) / n_buckets
-        for i in range(1, n_buckets):
-            row = tuple(sample[min(len(sample) - 1, int(i * step))])
-            if not bounds or row != bounds[-1]:
-                bounds.append(row)
-    return df.withColumn(BUCKET, _bucket_expr(_key(order), bounds, types))
-
-
-def _w(order: list[str]) -> Window:
-    return Window.partitionBy(BUCKET).orderBy(*[_c(o).asc_nulls_first() for o in order])
-
-
-def _w_rev(order: list[str]) -> Window:
-    """Reversed order: a running frame here equals a "to the end" frame in
-    the forward order, but is computed incrementally (a frame reaching to
-    UNBOUNDED FOLLOWING is re-aggregated for every row)."""
-    return Window.partitionBy(BUCKET).orderBy(*[_c(o).desc_nulls_last() for o in order])
+
+def _carried(summary: DataFrame, values: dict[str, str], forward: bool) -> DataFrame:
+    """An extra row per bucket, before its first (after its last) place, with the last known values of the
+    buckets before (after) it."""
+    w = Window.orderBy(BUCKET if forward else F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(BUCKET, F.lit(-1 if forward else _LOW + 1).cast("long").alias(PLACE), *[
+        F.last(v, ignorenulls=True).over(w).alias(name) for name, v in values.items()])
 
 
 def fill(df: DataFrame, cols: list[str], order: list[str], direction: str = "forward",
          n_buckets: int | None = None) -> DataFrame:
     """Forward (or backward) fill of several columns along ``order``."""
     b = bucketize(df, order, n_buckets)
-    fwd = direction == "forward"
-    frame = (_w(order) if fwd else _w_rev(order)).rowsBetween(Window.unboundedPreceding, 0)
-    key = _key(order)
-    summ_aggs = []
-    for i, c in enumerate(cols):
-        has = _c(c).isNotNull()
-        pick = F.max_by if fwd else F.min_by
-        summ_aggs.append(pick(F.when(has, _c(c)), F.when(has, key)).alias(f"e{i}"))
-    summary = b.groupBy(BUCKET).agg(*summ_aggs)
-    carry_frame = (Window.orderBy(BUCKET) if fwd else Window.orderBy(F.desc(BUCKET))) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(BUCKET, *[
-        F.last(f"e{i}", ignorenulls=True).over(carry_frame).alias(f"c{i}") for i in range(len(cols))])
-    local = b.withColumns({c: F.last(_c(c), ignorenulls=True).over(frame) for c in cols})
-    out = local.join(F.broadcast(carry), BUCKET, "left")
-    out = out.withColumns({c: F.coalesce(_c(c), F.col(f"c{i}")) for i, c in enumerate(cols)})
-    return out.drop(BUCKET, *[f"c{i}" for i in range(len(cols))])
-
-
-def _row_number_bucketed(b: DataFrame, order: list[str], name: str) -> DataFrame:
-    counts = b.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(BUCKET, F.coalesce(F.sum("_cnt").over(
-        Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    out = b.withColumn(name, F.row_number().over(_w(order)))
-    out = out.join(F.broadcast(offsets), BUCKET, "left")
-    return out.withColumn(name, F.col(name) + F.col("_off")).drop("_off")
+    forward = direction == "forward"
+    pick = F.max_by if forward else F.min_by
+    summary = b.groupBy(BUCKET).agg(*[pick(_c(c), F.when(_c(c).isNotNull(), F.col(PLACE))).alias(f"_e{i}") for i, c in enumerate(cols)])
+    rows = b.unionByName(_carried(summary, {c: f"_e{i}" for i, c in enumerate(cols)}, forward), allowMissingColumns=True)
+    rows = rows.withColumns({c: F.last(_c(c), ignorenulls=True).over(_frame(forward)) for c in cols})
+    return rows.where(F.col(PLACE).between(0, _LOW)).select(*[_c(c) for c in df.columns])
 
 
 def with_row_number(df: DataFrame, order: list[str], name: str = "_rn", n_buckets: int | None = None,
                     total: int | None = None) -> DataFrame:
-    """Global 1-based row number along ``order`` (range buckets + offsets)."""
+    """Global 1-based row number along ``order``: offset of the bucket + place inside it."""
     b = bucketize(df, order, n_buckets, total)
-    return _row_number_bucketed(b, order, name).drop(BUCKET)
+    out = b.join(_offsets(b), BUCKET).withColumn(name, F.col("_off") + F.col(PLACE) + 1)
+    return out.select(*[_c(c) for c in df.columns], name)
 
 
 def interpolate(df: DataFrame, cols: list[str], order: list[str], n_buckets: int | None = None) -> DataFrame:
     """Linear interpolation by row position; leading nulls stay, trailing
     nulls take the last value."""
-    pos = "_pos"
-    b = _row_number_bucketed(bucketize(df, order, n_buckets), order, pos)
-    key = F.col(pos)
-    aggs = []
-    for i, c in enumerate(cols):
-        has = _c(c).isNotNull()
-        aggs.append(F.max_by(F.when(has, F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
-                             F.when(has, key)).alias(f"last{i}"))
-        aggs.append(F.min_by(F.when(has, F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
-                             F.when(has, key)).alias(f"first{i}"))
-    summary = b.groupBy(BUCKET).agg(*aggs)
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(BUCKET, *sum([[
-        F.last(f"last{i}", ignorenulls=True).over(before).alias(f"cp{i}"),
-        F.last(f"first{i}", ignorenulls=True).over(after).alias(f"cn{i}")] for i in range(len(cols))], []))
-    prev_f = Window.partitionBy(BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    next_f = Window.partitionBy(BUCKET).orderBy(key.desc()).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumns({
-        f"lp{i}": F.last(F.when(_c(c).isNotNull(), F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
-                         ignorenulls=True).over(prev_f) for i, c in enumerate(cols)})
-    local = local.withColumns({
-        f"ln{i}": F.last(F.when(_c(c).isNotNull(), F.struct(key.alias("p"), _c(c).cast("double").alias("v"))),
-                         ignorenulls=True).over(next_f) for i, c in enumerate(cols)})
-    out = local.join(F.broadcast(carry), BUCKET, "left")
+    b = bucketize(df, order, n_buckets)
+    b = b.join(_offsets(b), BUCKET).withColumn("_pos", F.col("_off") + F.col(PLACE)).drop("_off")
+    b = b.withColumns({f"_o{i}": F.when(_c(c).isNotNull(), F.struct(F.col("_pos").alias("p"), _c(c).cast("double").alias("v")))
+                       for i, c in enumerate(cols)})
+    seen = {i: F.when(F.col(f"_o{i}").isNotNull(), F.col(PLACE)) for i in range(len(cols))}
+    summary = b.groupBy(BUCKET).agg(*[f(f"_o{i}", seen[i]).alias(f"{n}{i}") for i in seen for n, f in (("_l", F.max_by), ("_f", F.min_by))])
+    rows = b
+    for forward, n in ((True, "_l"), (False, "_f")):
+        rows = rows.unionByName(_carried(summary, {f"_o{i}": f"{n}{i}" for i in seen}, forward), allowMissingColumns=True)
+    for forward, n in ((True, "_l"), (False, "_f")):
+        rows = rows.withColumns({f"{n}{i}": F.last(f"_o{i}", ignorenulls=True).over(_frame(forward)) for i in seen})
+    out = rows.where(F.col(PLACE).between(0, _LOW))
     new = {}
     for i, c in enumerate(cols):
-        p = F.coalesce(F.col(f"lp{i}"), F.col(f"cp{i}"))
-        n = F.coalesce(F.col(f"ln{i}"), F.col(f"cn{i}"))
-        lin = p["v"] + (n["v"] - p["v"]) * (key - p["p"]) / (n["p"] - p["p"])
-        new[c] = (F.when(_c(c).isNotNull(), _c(c).cast("double"))
-                  .when(p.isNull(), F.lit(None))
-                  .when(n.isNull(), p["v"])
-                  .otherwise(lin))
-    out = out.withColumns(new)
-    drop = [BUCKET, pos] + [f"{p}{i}" for i in range(len(cols)) for p in ("lp", "ln", "cp", "cn")]
-    return out.drop(*drop)
+        p, n = F.col(f"_l{i}"), F.col(f"_f{i}")
+        line = p["v"] + (n["v"] - p["v"]) * (F.col("_pos") - p["p"]) / (n["p"] - p["p"])
+        new[c] = (F.when(_c(c).isNotNull(), _c(c).cast("double")).when(p.isNull(), F.lit(None))
+                  .when(n.isNull(), p["v"]).otherwise(line))
+    return out.withColumns(new).select(*[_c(c) for c in df.columns])

@@ -1,13 +1,12 @@
 """Shared aggregate passes: one job per question, all columns at once.
 
-Quantiles are exact at every size and come from one route: value counts, range buckets and a
-running sum inside the buckets that hold the wanted ranks.  NaN is never a value.
+Quantiles are exact at every size and come from one route: sketches bracket the wanted ranks, and
+counting passes select among the values inside the brackets.  NaN is never a value.
 """
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 APPROX_ACCURACY = 1_000_000
@@ -138,95 +137,121 @@ def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True, extra: l
     return {c: r[f"a{i}"] for i, c in enumerate(cols)}, r
 
 
+GRID = 1000                # quantiles asked of a sketch
+SKETCH = 10_000            # its accuracy: ranks are right to one part in this many
+CANDIDATES = 4096          # values that one rank may leave for the last pass, ties counted once
+SKETCHES = 32              # sketches that one pass keeps in a task
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list | None]:
-    """Exact linear-interpolated quantiles at any scale, without a per-task
-    buffer of all values.
-
-    1. value counts in long form ``(column, value) → n`` (map-side combined);
-    2. range buckets over ``(column, value)`` (deterministic, see ``ordered``);
-    3. per-bucket totals — one row per bucket and column — locate the bucket
-       holding each target rank;
-    4. a running sum inside those buckets only marks the rows at the target
-       ranks, and just those rows (≤ 2 per probability and column) are collected.
-    """
-    if not cols:
-        return {}
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("kv"))
-    long = long.select("kv.c", "kv.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    # every later step reads the counts: kept in memory and on disk, recomputed if a block is lost
-    vc = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _ranked_values(vc, cols, probs)
-    finally:
-        vc.unpersist()
-
-
-def _ranked_values(vc: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list | None]:
-    from prepwise.plans import ordered
-
-    n_vc = vc.count()
-    if n_vc == 0:
-        return {c: None for c in cols}
-    b = ordered.bucketize(vc, ["c", "v"], total=n_vc)
-    summ = b.groupBy(ordered.BUCKET, "c").agg(F.sum("n").alias("cnt")).collect()
-    per_col: dict[int, list] = {}
-    for r in summ:
-        per_col.setdefault(r["c"], []).append((r[ordered.BUCKET], r["cnt"]))
-    wanted: dict[tuple, list] = {}          # (c, bucket) -> local target ranks
-    plan: dict[int, list] = {}              # c -> [(p, lo_rank, hi_rank, frac)]
-    for ci, parts in per_col.items():
-        parts.sort()
-        total = sum(cnt for _, cnt in parts)
-        offs, acc = [], 0
-        for bk, cnt in parts:
-            offs.append((bk, acc, cnt))
-            acc += cnt
-        plan[ci] = []
-        for p in probs:
-            h = (total - 1) * p
-            lo = int(math.floor(h))
-            hi = min(lo + 1, total - 1)
-            plan[ci].append((lo, hi, h - lo))
-            for k in {lo, hi}:
-                for bk, off, cnt in offs:
-                    if off <= k < off + cnt:
-                        wanted.setdefault((ci, bk), []).append(k - off)
-                        break
-    keys = F.create_map(*sum([[F.lit(f"{ci}:{bk}"), F.array(*[F.lit(x) for x in sorted(set(ks))])]
-                              for (ci, bk), ks in wanted.items()], []))
-    tag = F.concat_ws(":", F.col("c").cast("string"), F.col(ordered.BUCKET).cast("string"))
-    sel = b.where(F.array_contains(F.array(*[F.lit(f"{ci}:{bk}") for ci, bk in wanted]), tag))
-    w = Window.partitionBy(ordered.BUCKET, "c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sel = sel.withColumn("cum", F.sum("n").over(w)).withColumn("ks", F.element_at(keys, tag))
-    hit = sel.where(F.exists("ks", lambda k: (k >= F.col("cum") - F.col("n")) & (k < F.col("cum"))))
-    rows = hit.select("c", ordered.BUCKET, "v", "n", "cum").collect()
-    # global rank range of each collected row
-    offset_of = {}
-    for ci, parts in per_col.items():
-        acc = 0
-        for bk, cnt in sorted(parts):
-            offset_of[(ci, bk)] = acc
-            acc += cnt
-    at: dict[int, list] = {}
-    for r in rows:
-        start = offset_of[(r["c"], r[ordered.BUCKET])] + r["cum"] - r["n"]
-        at.setdefault(r["c"], []).append((start, start + r["n"], r["v"]))
+    """Exact linear-interpolated quantiles by multi-pass selection.
+
+    A sketch of fixed size per column brackets every wanted rank: the error of its quantiles is bounded, so
+    the value at the rank lies between two of them.  While more than ``CANDIDATES`` values can lie inside a
+    bracket, a pass counts what lies below and on its ends and sketches its inside, which leaves a few
+    hundredths of it (at 10^12 rows: two such passes).  The last pass counts the distinct values inside
+    the brackets and the rows between them, all columns in one aggregate; nothing else is shuffled, kept
+    or collected, and the driver gets at most ``CANDIDATES`` values or so per rank."""
+    out: dict = {}
+    for at in range(0, len(cols), SKETCHES):
+        out |= _selected(df, cols[at:at + SKETCHES], probs)
+    return out
 
-    def value(ci, k):
-        for a, z, v in at.get(ci, []):
-            if a <= k < z:
-                return v
-        raise RuntimeError("rank not located")
 
-    out = {}
+def _selected(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list | None]:
+    xs = [F.nanvl(col(c).cast("double"), F.lit(None)) for c in cols]
+    grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
+    r = df.agg(*[a for i, x in enumerate(xs) for a in (F.count(x).alias(f"n{i}"), F.percentile_approx(x, grid, SKETCH).alias(f"q{i}"))]).first()
+    wanted: dict[tuple, tuple] = {}            # (column, rank) -> its bracket
+    for i in range(len(cols)):
+        for rank in _ranks(r[f"n{i}"], probs):
+            wanted[i, rank] = _bracket(r[f"q{i}"], rank, r[f"n{i}"])
+    values: dict[tuple, float] = {}
+    sizes = {i: r[f"n{i}"] for i in range(len(cols))}
+    inside = {k: sizes[k[0]] for k in wanted}
+    while wide := [k for k in wanted if k not in values and _left(inside[k]) > CANDIDATES]:
+        for at in range(0, len(wide), SKETCHES):
+            _narrow(df, xs, wide[at:at + SKETCHES], wanted, inside, values, grid)
+    values |= _counted(df, xs, {k: b for k, b in wanted.items() if k not in values})
+    out: dict = {}
     for i, c in enumerate(cols):
-        if i not in plan:
-            out[c] = None
-            continue
+        n = sizes[i]
         res = []
-        for lo, hi, frac in plan[i]:
-            a, z = value(i, lo), value(i, hi)
-            res.append(a if frac == 0 or a == z else a + (z - a) * frac)
-        out[c] = res
+        for p in probs if n else ():
+            h = (n - 1) * p
+            lo = math.floor(h)
+            a, z = values[i, lo], values[i, min(lo + 1, n - 1)]
+            res.append(a if h == lo or a == z else a + (z - a) * (h - lo))
+        out[c] = res if n else None
     return out
+
+
+def _ranks(n: int, probs: list[float]) -> set[int]:
+    """Ranks (from 0) that the quantiles of ``n`` values need."""
+    low = {math.floor((n - 1) * p) for p in probs} if n else set()
+    return low | {min(k + 1, n - 1) for k in low}
+
+
+def _left(n: int) -> float:
+    """At most so many of ``n`` sketched values lie strictly inside a bracket."""
+    return n * (2 / GRID + 4 / SKETCH) + 2
+
+
+def _bracket(quantiles: list, rank: int, n: int) -> tuple[float, float]:
+    """Two quantiles of a sketch of ``n`` values between which the value at ``rank`` lies."""
+    lo = math.floor((rank / n - 2 / SKETCH) * GRID)
+    hi = math.ceil(((rank + 1) / n + 2 / SKETCH) * GRID)
+    return quantiles[max(0, lo)], quantiles[min(GRID, hi)]
+
+
+def _narrow(df, xs, keys, wanted, inside, values, grid) -> None:
+    """One pass over brackets with too much inside: either the rank lies on an end, or a bracket of the inside takes its place."""
+    aggs = []
+    for j, k in enumerate(keys):
+        x, (lo, hi) = xs[k[0]], wanted[k]
+        aggs += [F.count_if(x < lo).alias(f"b{j}"), F.count_if(x == lo).alias(f"l{j}"), F.count_if((x > lo) & (x < hi)).alias(f"m{j}"),
+                 F.percentile_approx(F.when((x > lo) & (x < hi), x), grid, SKETCH).alias(f"q{j}")]
+    r = df.agg(*aggs).first()
+    for j, k in enumerate(keys):
+        lo, hi = wanted[k]
+        rank = k[1] - r[f"b{j}"]
+        if rank < r[f"l{j}"]:
+            values[k] = lo
+        elif rank - r[f"l{j}"] >= r[f"m{j}"]:
+            values[k] = hi
+        else:
+            inside[k] = r[f"m{j}"]
+            wanted[k] = _bracket(r[f"q{j}"], rank - r[f"l{j}"], r[f"m{j}"])
+
+
+def _counted(df, xs, wanted: dict) -> dict[tuple, float]:
+    """The value at every wanted rank: distinct values inside the brackets, and rows between brackets, are counted."""
+    if not wanted:
+        return {}
+    cells, brackets = [], {}
+    for i in {k[0] for k in wanted}:
+        merged: list = []
+        for lo, hi in sorted(b for k, b in wanted.items() if k[0] == i):
+            if merged and lo <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], hi)
+            else:
+                merged.append([lo, hi])
+        brackets[i] = merged
+        x = xs[i]
+        part, value = F.lit(2 * len(merged)), F.lit(None).cast("double")
+        for j in range(len(merged) - 1, -1, -1):
+            lo, hi = merged[j]
+            part = F.when(x < lo, 2 * j).when(x <= hi, 2 * j + 1).otherwise(part)
+            value = F.when((x >= lo) & (x <= hi), x).otherwise(value)
+        cells.append(F.struct(F.lit(i).alias("c"), F.when(x.isNotNull(), part).alias("part"), value.alias("v")))
+    long = df.select(F.explode(F.array(*cells)).alias("k")).select("k.*").where("part IS NOT NULL")
+    rows = long.groupBy("c", "part", "v").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = {}
+    for i in brackets:
+        mine = sorted((r["part"], r["v"] if r["v"] is not None else 0.0, r["n"]) for r in rows if r["c"] == i)
+        ranks, at = sorted(k[1] for k in wanted if k[0] == i), 0
+        for _, v, n in mine:
+            while ranks and ranks[0] < at + n:
+                found[i, ranks.pop(0)] = v
+            at += n
+    return found

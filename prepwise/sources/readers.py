@@ -39,16 +39,14 @@ def _csv(spark, path, sep, encoding, infer, multi_line):
 def read(spark: SparkSession, path: str, fmt: str | None = None, encoding: str | None = None,
          infer_schema: bool = False, multi_line: bool = False, json_layout: str = "auto") -> DataFrame:
     """Read by extension.  ``multi_line`` lets quoted CSV cells hold line breaks, at the price of one task
-    per file.  ``json_layout``: ``lines``, ``array`` (one document per file) or ``auto``, which looks at
-    the first character of the data."""
+    per file.  ``json_layout``: ``lines``, ``document`` (one array or object per file) or ``auto``, which looks
+    at every file (see ``json_layouts``) and may mix both."""
     ext = (fmt or os.path.splitext(path.rstrip("/"))[1].lstrip(".")).lower()
     try:
         if ext == "parquet":
             return spark.read.parquet(path)                                             # S4
         if ext == "json":
-            layout = json_layout if json_layout != "auto" else _json_layout(spark, path, encoding)
-            r = spark.read.option("multiLine", layout == "array")                        # S3
-            return (r.option("encoding", charset(encoding)) if encoding else r).json(path)
+            return _json(spark, path, encoding, json_layout)                             # S3
         if ext == "tsv":
             df = _csv(spark, path, "\t", encoding, infer_schema, multi_line)                         # S2
         else:
@@ -60,11 +58,61 @@ def read(spark: SparkSession, path: str, fmt: str | None = None, encoding: str |
                            for c in strings})                                            # S7
 
 
-def _json_layout(spark, path, encoding) -> str:
-    """``array`` if the first non-blank character is ``[``, else ``lines``."""
+JSON_LAYOUTS = ("auto", "lines", "document", "array")        # "array" is the older name of "document"
+
+
+def json_layouts(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """``(file, layout)``: ``lines`` if the first line that is not blank is a whole value and no array, else
+    ``document``.  One text scan; a row per file leaves each task."""
     text = spark.read.option("encoding", charset(encoding or "UTF-8")).text(path)
-    first = text.where(F.trim(F.regexp_replace("value", "^\\x{feff}", "")) != "").first()
-    return "array" if first and first[0].lstrip("\ufeff \t").startswith("[") else "lines"
+    line = F.trim(F.regexp_replace("value", "^\\x{feff}", ""))
+    line = F.regexp_replace(line, "^\\s+", "")
+    rows = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("at"), line.alias("line")).where("line <> ''")
+    first = rows.groupBy("file").agg(F.min_by("line", F.struct("block", "at")).alias("line"))
+    whole = F.get_json_object("line", "$").isNotNull() & ~F.col("line").startswith("[")
+    return first.select("file", F.when(whole, "lines").otherwise("document").alias("layout"))
+
+
+def _json(spark, path, encoding, layout) -> DataFrame:
+    """Records of JSON files; files of both layouts are read each their way, with one schema for all."""
+    if layout not in JSON_LAYOUTS:
+        raise ValueError(f"unknown JSON layout {layout!r}")
+
+    def reader(lines: bool, schema=None):
+        r = spark.read.option("multiLine", not lines)
+        r = r.option("encoding", charset(encoding)) if encoding else r
+        return r.schema(schema) if schema else r
+
+    if layout != "auto":
+        return reader(layout == "lines").json(path)
+    found = json_layouts(spark, path, encoding)
+    counts = {r["layout"]: r["n"] for r in found.groupBy("layout").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return reader("document" not in counts).json(path)
+    # paths only: Spark's own listing holds as many on the driver
+    files = {kind: [r["file"] for r in found.where(F.col("layout") == kind).select("file").collect()] for kind in counts}
+    schemas = {kind: reader(kind == "lines").json(files[kind]).schema for kind in counts}
+    schema = _merged(*schemas.values())
+    return reader(True, schema).json(files["lines"]).unionByName(reader(False, schema).json(files["document"]))
+
+
+def _merged(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both: fields of either, wider numbers, else text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            fields[f.name] = _merged(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        return T.StructType([T.StructField(n, fields[n]) for n in sorted(fields)])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_merged(a.elementType, b.elementType))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
