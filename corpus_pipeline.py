@@ -29,8 +29,8 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def encode(spark, docs, sf_dir):
-    """Piece ids and further segmentations of every text."""
-    return pieces.encode_documents(docs)
+    """Piece ids and further segmentations of every text; smaller bounds than alone, since the workers are not new."""
+    return pieces.encode_documents(docs, cache_units=150_000, chunk_chars=500_000, solve_units=2048)
 
 
 STAGES = [

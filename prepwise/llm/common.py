@@ -28,6 +28,19 @@ def residue(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def give_back() -> None:
+    """Return to the system what earlier stages left unused in this (reused) Python worker."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)            # glibc only
+    if trim:
+        trim(0)
+
+
 class Scratch:
     """Tables and files of one operator run in the shared folder of ``spark.checkpoint.dir``.
 

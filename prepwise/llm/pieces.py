@@ -28,15 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
 #: Pieces with scores this low are barred in effect; they do not set the cost of unknown characters.
 BARRED = -1e8
 MARK = "▁"
-_CACHE_UNITS = 400_000
+#: Units kept, characters encoded and units solved at a time; less needs less memory and more time.
+CACHE_UNITS, CHUNK_CHARS, SOLVE_UNITS = 400_000, 2_000_000, 8192
 _LONG_UNIT = 24
-_SOLVE_UNITS = 8192
-_CHUNK_CHARS = 2_000_000
 SCHEMA = ("doc_id long, n_pieces int, score double, ids array<int>, nbest array<struct<score: double, n_pieces: int, "
           "changes: array<struct<at: int, gone: int, ids: array<int>>>>>, round_trip boolean")
 _CHANGE = pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -211,8 +212,9 @@ def _hash(codes: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts; units already solved are kept while the task runs."""
 
-    def __init__(self, vocabulary: Vocabulary, best: int = BEST):
+    def __init__(self, vocabulary: Vocabulary, best: int = BEST, cache_units: int = CACHE_UNITS, solve_units: int = SOLVE_UNITS):
         self.vocabulary, self.best, self.lattices = vocabulary, best, Lattices(vocabulary)
+        self.cache_units, self.solve_units = cache_units, solve_units
         # characters of line and tab white space that no piece holds are units of their own
         loose = "".join(c for c in "\n\r\t\x0b\x0c" if not any(c in p for p in vocabulary.ids))
         self.unit = re.compile(f"{MARK}*[^{MARK}{loose}]+|{MARK}+" + (f"|[{loose}]" if loose else ""))
@@ -238,8 +240,8 @@ class Encoder:
             if size > _LONG_UNIT:
                 single += same
                 continue
-            for at in range(0, len(same), _SOLVE_UNITS):
-                part = same[at:at + _SOLVE_UNITS]
+            for at in range(0, len(same), self.solve_units):
+                part = same[at:at + self.solve_units]
                 known, ids, counts, best, gap = self.lattices.solve(part)
                 single += [u for u, k in zip(part, known) if not k]
                 self._keep([u for u, k in zip(part, known) if k], ids[known][np.arange(ids.shape[1]) < counts[known][:, None]], counts[known], best[known], gap[known])
@@ -278,7 +280,7 @@ class Encoder:
 
     def encode_all(self, texts):
         """``(ids, score, nbest)`` per text; nbest holds the further segmentations as changes of the best one."""
-        if len(self.units) > _CACHE_UNITS:
+        if len(self.units) > self.cache_units:
             self.clear()
         split = [self.unit.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         self.learn(dict.fromkeys(u for units in split for u in units))
@@ -322,18 +324,21 @@ def apply_changes(ids, changes) -> list[int]:
     return [int(x) for x in [*out, *ids[at:]]]
 
 
-def encode_documents(docs: DataFrame, model_path: str = MODEL, best: int = BEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``SCHEMA`` per row of ``docs``; ``round_trip`` tells whether decoding gives the text back."""
+def encode_documents(docs: DataFrame, model_path: str = MODEL, best: int = BEST, id_col: str = "doc_id", text_col: str = "text",
+                     cache_units: int = CACHE_UNITS, chunk_chars: int = CHUNK_CHARS, solve_units: int = SOLVE_UNITS) -> DataFrame:
+    """One row of ``SCHEMA`` per row of ``docs``; ``round_trip`` tells whether decoding gives the text back.
+    The three bounds trade memory for time and change no result."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(model_path))        # the model's pieces: bounded, plain data
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         vocabulary = Vocabulary(*shared.value)
-        encoder = Encoder(vocabulary, best)
+        encoder = Encoder(vocabulary, best, cache_units, solve_units)
         for batch in batches:
             row, texts = 0, batch.column(1)
             while row < batch.num_rows:
                 begin, chars, held = row, 0, []
-                while row < batch.num_rows and chars < _CHUNK_CHARS:
+                while row < batch.num_rows and chars < chunk_chars:
                     held.append(texts[row].as_py() or "")
                     chars += len(held[-1])
                     row += 1
