@@ -36,7 +36,7 @@ BEST = 3
 BARRED = -1e8
 MARK = "▁"
 #: Units kept, characters encoded and units solved at a time; less needs less memory and more time.
-CACHE_UNITS, CHUNK_CHARS, SOLVE_UNITS = 400_000, 2_000_000, 8192
+_CACHE_UNITS, _CHUNK_CHARS, _SOLVE_UNITS = 400_000, 2_000_000, 8192
 _LONG_UNIT = 24
 SCHEMA = ("doc_id long, n_pieces int, score double, ids array<int>, nbest array<struct<score: double, n_pieces: int, "
           "changes: array<struct<at: int, gone: int, ids: array<int>>>>>, round_trip boolean")
@@ -212,9 +212,9 @@ def _hash(codes: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts; units already solved are kept while the task runs."""
 
-    def __init__(self, vocabulary: Vocabulary, best: int = BEST, cache_units: int = CACHE_UNITS, solve_units: int = SOLVE_UNITS):
+    def __init__(self, vocabulary: Vocabulary, best: int = BEST, cache_units: int | None = None, solve_units: int | None = None):
         self.vocabulary, self.best, self.lattices = vocabulary, best, Lattices(vocabulary)
-        self.cache_units, self.solve_units = cache_units, solve_units
+        self.cache_units, self.solve_units = cache_units or _CACHE_UNITS, solve_units or _SOLVE_UNITS
         # characters of line and tab white space that no piece holds are units of their own
         loose = "".join(c for c in "\n\r\t\x0b\x0c" if not any(c in p for p in vocabulary.ids))
         self.unit = re.compile(f"{MARK}*[^{MARK}{loose}]+|{MARK}+" + (f"|[{loose}]" if loose else ""))
@@ -325,7 +325,7 @@ def apply_changes(ids, changes) -> list[int]:
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL, best: int = BEST, id_col: str = "doc_id", text_col: str = "text",
-                     cache_units: int = CACHE_UNITS, chunk_chars: int = CHUNK_CHARS, solve_units: int = SOLVE_UNITS) -> DataFrame:
+                     cache_units: int = _CACHE_UNITS, chunk_chars: int = _CHUNK_CHARS, solve_units: int = _SOLVE_UNITS) -> DataFrame:
     """One row of ``SCHEMA`` per row of ``docs``; ``round_trip`` tells whether decoding gives the text back.
     The three bounds trade memory for time and change no result."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(model_path))        # the model's pieces: bounded, plain data
