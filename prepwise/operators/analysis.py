@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from prepwise.context import ROW_ID, Role
 from prepwise.operators.base import Step
-from prepwise.plans import ordered, stats
+from prepwise.plans import ordered, shared, stats
+from prepwise.plans.hot import lookup
 from prepwise.plans.stats import col
 
 CORR_SCHEMA = "col_a string, col_b string, r double"
@@ -34,7 +35,8 @@ def spearman_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     All columns are ranked together in long form: one value-count table
     ``(column, value) → n``, one set of range buckets, running sums inside
     buckets plus per-bucket offsets (a table with one row per bucket and
-    column), then one join back on ``(column, value)`` and one regroup by row."""
+    column), then one look-up by ``(column, value)`` that deals hot values out
+    and one regroup by row."""
     k = len(cols)
     complete = df.dropna(subset=cols).select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     complete = complete.withColumn("__rid", F.monotonically_increasing_id())
@@ -50,8 +52,9 @@ def spearman_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
         Window.partitionBy("c").orderBy(ordered.BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("off"))
     ranks = local.join(F.broadcast(off), [ordered.BUCKET, "c"]).select(
-        "c", "v", (F.col("off") + F.col("cum") - (F.col("n") - 1) / 2.0).alias("rank"))
-    wide = long.join(ranks, ["c", "v"]).groupBy("__rid").agg(*[
+        "c", "v", "n", (F.col("off") + F.col("cum") - (F.col("n") - 1) / 2.0).alias("rank"))
+    ranked = lookup(long, shared.save(ranks, "ranks"), ["c", "v"], ["rank"], "n", spread=F.xxhash64("__rid", "c"))
+    wide = ranked.groupBy("__rid").agg(*[
         F.max(F.when(F.col("c") == i, F.col("rank"))).alias(c) for i, c in enumerate(cols)])
     return pearson_pairs(wide, cols)
 

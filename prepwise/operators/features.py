@@ -11,7 +11,8 @@ from pyspark.sql import functions as F, types as T
 
 from prepwise.context import ROW_ID, Role
 from prepwise.operators.base import Step
-from prepwise.plans import ordered, stats
+from prepwise.plans import ordered, shared, stats
+from prepwise.plans.hot import lookup
 from prepwise.plans.stats import col
 
 
@@ -401,12 +402,17 @@ class CategoricalEncoder(Step):
 
 def label_by_join(df, c, fill=None):
     """Large domains: codes = global row number of the sorted distinct values
-    (range buckets), joined back on the value.  The join is planned by AQE
-    (broadcast only if the code table turns out small)."""
-    codes = df.select(col(c).cast("string").alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    codes = ordered.with_row_number(codes, ["__v"], "__code").select("__v", (F.col("__code") - 1).alias("__code"))
-    out = df.join(codes, col(c).cast("string") == F.col("__v"), "left")
+    (range buckets), looked up by the digest of the value; hot values are dealt out."""
+    codes = df.select(col(c).cast("string").alias("__v")).where(F.col("__v").isNotNull()).groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
+    codes = ordered.with_row_number(codes, ["__v"], "__code")
+    codes = shared.save(codes.select(_text_digest(F.col("__v")).alias("__d"), "__n", (F.col("__code") - 1).alias("__code")), "codes")
+    out = lookup(df.withColumn("__d", _text_digest(col(c).cast("string"))), codes, ["__d"], ["__code"], "__n")
     code = F.col("__code").cast("int")
     if fill is not None:
         code = F.coalesce(code, F.lit(fill))
-    return out.withColumn(c, code).drop("__v", "__code")
+    return out.withColumn(c, code).drop("__d", "__code")
+
+
+def _text_digest(x):
+    """SHA-256 of a text: a key of fixed size that stands for it."""
+    return F.unhex(F.sha2(x.cast("binary"), 256))

@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from prepwise.context import ROW_ID
+from prepwise.context import ROW_ID, Role
 from prepwise.functions import text as tx
 from prepwise.functions import vocab
 from prepwise.operators.base import Step
+from prepwise.plans import shared
+from prepwise.plans.hot import lookup
 from prepwise.plans.stats import col, distinct_and_top
 
 
@@ -69,13 +71,45 @@ def _keys(df: DataFrame, subset) -> list[str]:
     return users
 
 
+_DIGEST = ["__d0", "__d1"]
+
+
+def _digested(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with two 64-bit hashes of its key; equal keys have equal ones, nulls included."""
+    cells = [*[col(k) for k in keys], F.array(*[col(k).isNull() for k in keys])]
+    return df.withColumns({d: F.xxhash64(F.lit(i), *cells) for i, d in enumerate(_DIGEST)})
+
+
+def duplicate_digests(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``(digest, n, lo, hi)`` of the digests that several rows share: their number, least and largest row id.
+    Primitive buffers, so a hash aggregate; 16 bytes of a key are shuffled."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    if ROW_ID in df.columns:
+        aggs += [F.min(ROW_ID).alias("__lo"), F.max(ROW_ID).alias("__hi")]
+    return _digested(df, keys).groupBy(*_DIGEST).agg(*aggs).where(F.col("__n") > 1)
+
+
+def _collide(df: DataFrame, keys: list[str], digests: DataFrame) -> bool:
+    """Whether a shared digest stands for different keys: the byte check, on rows with shared digests only;
+    partial aggregation leaves one row per key and task."""
+    rows = lookup(_digested(df, keys), digests, _DIGEST, ["__n"], "__n").where(F.col("__n").isNotNull())
+    distinct = rows.groupBy(*_DIGEST, *[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__m"))
+    return not distinct.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").isEmpty()
+
+
+def _hashable(df: DataFrame, keys: list[str]) -> bool:
+    return not any(w in df.schema[k].dataType.simpleString() for k in keys for w in ("map<", "variant"))
+
+
 class DuplicateHandler(Step):
     """mark / remove (every copy) / keep_first / keep_last.
 
-    All variants are aggregations on the key with partial (map-side)
-    aggregation, so a key holding a third of the table is collapsed per task
-    before the shuffle.  ``mark`` joins the duplicated keys back; AQE splits a
-    skewed join partition."""
+    Key digests are counted first, with the least and largest row id of each (a hash aggregate of a few
+    longs per key).  Only digests that several rows share matter further: they are checked byte by byte,
+    looked up per row (hot ones through a broadcast of bounded size, so a key holding a third of the
+    table is no task's burden), and the row id decides.  Rows are not shuffled where few digests are
+    shared.  An order other than the row id, colliding digests or keys that cannot be hashed take the
+    plain aggregation on the key."""
     name = "duplicate_handler"
     heavy = True
 
@@ -90,30 +124,46 @@ class DuplicateHandler(Step):
 
     def _transform(self, df, ctx, state):
         keys = _keys(df, self.params.subset)
-        others = [c for c in df.columns if c not in keys]
         action = self.params.action
+        order = [o for o in ctx.order_by if o in df.columns] or [ROW_ID]
+        by_id = action in ("mark", "remove") or order == [ROW_ID] and ROW_ID in df.columns
+        out = self._by_digest(df, keys, action) if by_id and keys and _hashable(df, keys) else None
+        if out is None:
+            out = self._by_key(df, keys, action, order)
+        if action == "mark":
+            return out, ctx.with_(roles={**ctx.roles, "_is_duplicate": Role.BOOLEAN})
+        return out, ctx.note(self.name, None, f"duplicates: {action}")
+
+    @staticmethod
+    def _by_digest(df, keys, action):
+        digests = shared.save(duplicate_digests(df, keys), "digests")
+        if _collide(df, keys, digests):
+            return None
+        value = {"mark": "__n", "remove": "__n", "keep_first": "__lo", "keep_last": "__hi"}[action]
+        rows = lookup(_digested(df, keys), digests, _DIGEST, [value], "__n")
+        names = [col(c) for c in df.columns]
+        if action == "mark":
+            return rows.select(*names, F.col(value).isNotNull().alias("_is_duplicate"))
+        kept = F.col(value).isNull()
+        return rows.where(kept if action == "remove" else kept | (F.col(value) == F.col(ROW_ID))).select(*names)
+
+    @staticmethod
+    def _by_key(df, keys, action, order):
         if action == "mark":
             dups = (df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
                     .where(F.col("__n") > 1).select(*[col(k).alias(f"__k{i}") for i, k in enumerate(keys)]))
             cond = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
             out = df.join(dups.withColumn("__dup", F.lit(True)), cond, "left")
-            out = out.withColumn("_is_duplicate", F.coalesce(F.col("__dup"), F.lit(False)))
-            out = out.select(*[col(c) for c in df.columns], "_is_duplicate")
-            roles = dict(ctx.roles)
-            from prepwise.context import Role
-            roles["_is_duplicate"] = Role.BOOLEAN
-            return out, ctx.with_(roles=roles)
+            return out.select(*[col(c) for c in df.columns], F.coalesce(F.col("__dup"), F.lit(False)).alias("_is_duplicate"))
+        others = [c for c in df.columns if c not in keys]
         rest = F.struct(*[col(c).alias(c) for c in others]) if others else F.struct(F.lit(0).alias("__z"))
         if action == "remove":
             g = df.groupBy(*[col(k).alias(k) for k in keys]).agg(
                 F.count(F.lit(1)).alias("__n"), F.any_value(rest).alias("__r")).where(F.col("__n") == 1)
         else:
-            order = [o for o in ctx.order_by if o in df.columns] or [ROW_ID]
-            okey = F.struct(*[col(o) for o in order])
             pick = F.min_by if action == "keep_first" else F.max_by
-            g = df.groupBy(*[col(k).alias(k) for k in keys]).agg(pick(rest, okey).alias("__r"))
-        out = g.select(*[col(k) for k in keys], *[F.col("__r")[c].alias(c) for c in others])
-        return out.select(*[col(c) for c in df.columns]), ctx.note(self.name, None, f"duplicates: {action}")
+            g = df.groupBy(*[col(k).alias(k) for k in keys]).agg(pick(rest, F.struct(*[col(o) for o in order])).alias("__r"))
+        return g.select(*[col(k) for k in keys], *[F.col("__r")[c].alias(c) for c in others]).select(*[col(c) for c in df.columns])
 
 
 class ConstantRemover(Step):

@@ -828,6 +828,15 @@ def q_name_clean(spark, d):
 
 
 # ============================================================ rarer branches
+@register("encode_label_large", """SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY 'part ' || CAST(l_partkey AS VARCHAR)) - 1 AS INTEGER) AS part
+    FROM lineitem""")
+def q_encode_label_large(spark, d):
+    """More categories than a literal map takes: codes are looked up."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("part "), F.col("l_partkey")).alias("part"))
+    ctx = ctx_for(li, {"part": Role.CATEGORICAL}, ids=["l_orderkey", "l_linenumber"])
+    return CategoricalEncoder(method="label", small_domain=10).fit_transform(li, ctx)[0]
+
+
 @register("date_spellings", """SELECT o_orderkey, CASE o_orderkey % 20
     WHEN 5 THEN strftime(o_orderdate, '2024-%m-%d') WHEN 13 THEN strftime(o_orderdate, '2024-%m-%d')
     WHEN 10 THEN strftime(o_orderdate, '%Y-%m-01') WHEN 12 THEN strftime(o_orderdate, '%Y-%m-01')
