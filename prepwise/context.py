@@ -12,6 +12,7 @@ from typing import Any, Mapping
 from pyspark.sql import DataFrame, types as T
 
 ROW_ID = "_row_id"
+BEFORE = "_before"          # the cells of a row before a step, carried along while the step is logged
 
 
 class Role(str, Enum):

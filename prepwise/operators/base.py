@@ -50,6 +50,25 @@ class Step:
             ctx = ctx.note(self.name, column, reason)
         return (df.withColumns(exprs) if exprs else df), ctx
 
+    # --- cell log of steps that are not row-local -----------------------
+    logs_cells: ClassVar[bool] = False      # changes cells or rows in ways that only its result shows
+
+    def _logged(self, after: DataFrame, before: list[str], state: dict) -> dict[str, Column]:
+        """What stands in the result for each column of the input that the log follows."""
+        from prepwise.plans.stats import col
+        return {c: col(c) for c in before if c in after.columns}
+
+    def _failed_only(self) -> bool:
+        """Log only cells that were lost."""
+        return False
+
+    def _recodes(self) -> bool:
+        """Every cell gets another meaning, also where a code happens to equal the old number."""
+        return False
+
+    def _removes_rows(self, state: dict) -> bool:
+        return False
+
     def _notes(self, state: dict):
         """``(column, reason)`` of the events that the step writes."""
         return ()

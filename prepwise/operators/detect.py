@@ -58,6 +58,8 @@ def type_stats(df: DataFrame, cols: list[str], formats=dt.DETECT_FORMATS) -> dic
 class TypeDetector(Step):
     name = "type_detector"
 
+    logs_cells = True
+
     @dataclass
     class Params:
         auto_convert: bool = True
@@ -122,6 +124,12 @@ class TypeDetector(Step):
                 convert[c] = {"to": "boolean"}
         return {"roles": roles, "convert": convert if p.auto_convert else {}, "skew": skew}
 
+    def _logged(self, after, before, state):
+        return {c: e for c, e in super()._logged(after, before, state).items() if c in state["convert"]}
+
+    def _failed_only(self):
+        return True                                              # D9–D11: cells that the conversion loses
+
     def _transform(self, df, ctx, state):
         exprs = {}
         for c, conv in state["convert"].items():

@@ -202,6 +202,8 @@ class Binning(Step):
     heavy = True
     default_on = False
 
+    logs_cells = True
+
     @dataclass
     class Params:
         method: str = "equal_width"       # equal_width | equal_freq | kmeans
@@ -242,6 +244,12 @@ class Binning(Step):
                     stopped.append(c)
         return {"columns": out, "stopped": stopped}
 
+    def _logged(self, after, before, state):
+        return {c: col(f"{c}_bin") for c in state["columns"] if c in before}
+
+    def _recodes(self):
+        return True
+
     def _transform(self, df, ctx, state):
         p = self.params
         for c, st in state["columns"].items():
@@ -324,6 +332,8 @@ class CategoricalEncoder(Step):
     heavy = True
     default_on = False
 
+    logs_cells = True
+
     @dataclass
     class Params:
         method: str = "auto"              # auto | onehot | label | ordinal
@@ -367,6 +377,19 @@ class CategoricalEncoder(Step):
             out[c] = {"method": method, "domain": domains.get(c)}
         return {"columns": out, "skipped": skipped}
 
+    def _logged(self, after, before, state):
+        out = {}
+        for c, st in state["columns"].items():
+            if st["method"] == "onehot":                          # the column that is set; none for the dropped first value
+                set_ = [F.when(col(f"{c}_{v}"), F.lit(f"{c}_{v}")) for v in st["domain"] if f"{c}_{v}" in after.columns]
+                out[c] = F.coalesce(*set_) if set_ else F.lit(None).cast("string")
+            else:
+                out[c] = col(c)
+        return out
+
+    def _recodes(self):
+        return True
+
     def _transform(self, df, ctx, state):
         p = self.params
         for c, n in state.get("skipped", {}).items():

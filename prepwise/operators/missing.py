@@ -18,6 +18,7 @@ STRATEGIES = ("auto", "mean", "median", "mode", "drop_rows", "drop_cols", "ffill
 class MissingHandler(Step):
     name = "missing_handler"
     heavy = True
+    logs_cells = True
 
     @dataclass
     class Params:
@@ -51,12 +52,15 @@ class MissingHandler(Step):
         cur = df
         cols = [c for c in df.columns if c != ROW_ID]
         total, nulls = stats.null_counts(cur, cols)
-        plan, means, medians = [], {}, {}
+        plan, means, medians, modes = [], {}, {}, {}
+
+        def strategy(x):
+            return p.column_overrides.get(x) or (self._auto(ctx, x, nulls[x] / total) if p.strategy == "auto" else p.strategy)
+
         for i, c in enumerate(cols):
             if nulls[c] == 0 or total == 0:
                 continue
-            ratio = nulls[c] / total
-            strat = p.column_overrides.get(c) or (self._auto(ctx, c, ratio) if p.strategy == "auto" else p.strategy)
+            strat = strategy(c)
             dtype = cur.schema[c].dataType
             numeric = isinstance(dtype, T.NumericType)
             action = {"column": c, "strategy": strat, "missing": nulls[c], "rows": total}
@@ -75,18 +79,20 @@ class MissingHandler(Step):
                 if action["value"] is None:                       # no value to fill with: the column stays as it is
                     continue
             elif strat == "mode":
-                v = stats.typed_mode(cur, c)
+                if c not in modes:                                # all columns that this table can still ask for, in one job
+                    modes = stats.typed_modes(cur, [x for x in cols[i:] if nulls[x] and x in cur.columns and strategy(x) == "mode"])
+                v = modes[c]
                 if v is None:
                     if not isinstance(dtype, T.StringType):
                         continue
                     v = MISSING_TEXT
-                action["value"] = v.isoformat() if hasattr(v, "isoformat") else v
+                action["value"] = v                               # as text, cast to the column's type when it is filled in
             elif strat == "interpolate" and not numeric:
                 continue
             plan.append(action)
             if strat == "drop_rows":
                 cur = cur.where(col(c).isNotNull())
-                means, medians = {}, {}
+                means, medians, modes = {}, {}, {}
                 rest = cols[i + 1:]
                 if rest:
                     total, nulls2 = stats.null_counts(cur, rest)
@@ -95,6 +101,13 @@ class MissingHandler(Step):
                 cur = cur.drop(c)
         return {"plan": plan}
 
+    def _logged(self, after, before, state):
+        filled = {a["column"] for a in state["plan"]}
+        return {c: e for c, e in super()._logged(after, before, state).items() if c in filled}
+
+    def _removes_rows(self, state):
+        return any(a["strategy"] == "drop_rows" for a in state["plan"])
+
     def _transform(self, df, ctx, state):
         order = [o for o in ctx.order_by if o in df.columns] or [ROW_ID]
         pending: list = []          # consecutive ordered fills of one kind run as one job
@@ -126,9 +139,7 @@ class MissingHandler(Step):
             elif s in ("mean", "median", "mode"):
                 v = a["value"]
                 t = df.schema[c].dataType
-                lit = F.lit(v)
-                if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-                    lit = F.lit(v).cast(t)
+                lit = F.lit(v).cast(t) if s == "mode" else F.lit(v)
                 df = df.withColumn(c, F.coalesce(col(c), lit))
         df = flush(df)
         return df, ctx

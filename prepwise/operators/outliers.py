@@ -15,6 +15,8 @@ from prepwise.plans.stats import col
 class OutlierDetector(Step):
     name = "outlier_detector"
 
+    logs_cells = True
+
     @dataclass
     class Params:
         method: str = "iqr"          # iqr | zscore | isolation_forest
@@ -113,6 +115,13 @@ class OutlierDetector(Step):
                 out[c] = F.when(flags[c], F.least(F.greatest(x, F.lit(limits[0])), F.lit(limits[1]))).otherwise(x)
         return out
 
+    def _logged(self, after, before, state):
+        capped = state["columns"] if self.params.action == "cap" else ()
+        return {c: e for c, e in super()._logged(after, before, state).items() if c in capped}
+
+    def _removes_rows(self, state):
+        return self.params.action == "remove"
+
     def _transform(self, df, ctx, state):
         p = self.params
         cols = state["columns"]

@@ -6,11 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from prepwise.context import ROW_ID, Role
+from prepwise.context import BEFORE, ROW_ID, Role
 from prepwise.functions import text as tx
 from prepwise.functions import vocab
 from prepwise.operators.base import Step
-from prepwise.plans import shared
+from prepwise.plans import ordered, shared
 from prepwise.plans.hot import lookup
 from prepwise.plans.stats import col, distinct_and_top
 
@@ -63,7 +63,7 @@ class ValueReplacer(Step):
 
 
 def _keys(df: DataFrame, subset) -> list[str]:
-    users = [c for c in df.columns if c != ROW_ID]
+    users = [c for c in df.columns if c not in (ROW_ID, BEFORE)]
     if subset:
         s = [c for c in subset if c in users]
         if s:
@@ -97,6 +97,15 @@ def _collide(df: DataFrame, keys: list[str], digests: DataFrame) -> bool:
     return not distinct.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").isEmpty()
 
 
+def _ranked_digests(df: DataFrame, keys: list[str], digests: DataFrame, order: list[str]) -> DataFrame:
+    """The digests with the row ids of their first and last rows along ``order``; only rows with shared digests are ranked."""
+    rows = lookup(_digested(df, keys), digests, _DIGEST, ["__n"], "__n").where(F.col("__n").isNotNull())
+    ranked = ordered.with_row_number(rows.select(*_DIGEST, *[col(o) for o in dict.fromkeys([*order, ROW_ID])]), order, "__rn")
+    ends = ranked.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__n"), F.min("__rn").alias("__first"), F.max("__rn").alias("__last"))
+    ids = lambda at, name: ranked.select(F.col("__rn").alias(at), F.col(ROW_ID).alias(name))     # noqa: E731
+    return ends.join(ids("__first", "__lo"), "__first").join(ids("__last", "__hi"), "__last").select(*_DIGEST, "__n", "__lo", "__hi")
+
+
 def _hashable(df: DataFrame, keys: list[str]) -> bool:
     return not any(w in df.schema[k].dataType.simpleString() for k in keys for w in ("map<", "variant"))
 
@@ -108,10 +117,11 @@ class DuplicateHandler(Step):
     longs per key).  Only digests that several rows share matter further: they are checked byte by byte,
     looked up per row (hot ones through a broadcast of bounded size, so a key holding a third of the
     table is no task's burden), and the row id decides.  Rows are not shuffled where few digests are
-    shared.  An order other than the row id, colliding digests or keys that cannot be hashed take the
-    plain aggregation on the key."""
+    shared.  Another order than the row id ranks those rows first.  Colliding digests or keys that cannot
+    be hashed take the plain aggregation on the key."""
     name = "duplicate_handler"
     heavy = True
+    logs_cells = True
 
     @dataclass
     class Params:
@@ -126,19 +136,27 @@ class DuplicateHandler(Step):
         keys = _keys(df, self.params.subset)
         action = self.params.action
         order = [o for o in ctx.order_by if o in df.columns] or [ROW_ID]
-        by_id = action in ("mark", "remove") or order == [ROW_ID] and ROW_ID in df.columns
-        out = self._by_digest(df, keys, action) if by_id and keys and _hashable(df, keys) else None
+        by_id = action in ("mark", "remove") or ROW_ID in df.columns
+        out = self._by_digest(df, keys, action, order) if by_id and keys and _hashable(df, keys) else None
         if out is None:
             out = self._by_key(df, keys, action, order)
         if action == "mark":
             return out, ctx.with_(roles={**ctx.roles, "_is_duplicate": Role.BOOLEAN})
         return out, ctx.note(self.name, None, f"duplicates: {action}")
 
+    def _logged(self, after, before, state):
+        return {}
+
+    def _removes_rows(self, state):
+        return self.params.action != "mark"
+
     @staticmethod
-    def _by_digest(df, keys, action):
+    def _by_digest(df, keys, action, order):
         digests = shared.save(duplicate_digests(df, keys), "digests")
         if _collide(df, keys, digests):
             return None
+        if action.startswith("keep") and order != [ROW_ID]:
+            digests = shared.save(_ranked_digests(df, keys, digests, order), "digests")
         value = {"mark": "__n", "remove": "__n", "keep_first": "__lo", "keep_last": "__hi"}[action]
         rows = lookup(_digested(df, keys), digests, _DIGEST, [value], "__n")
         names = [col(c) for c in df.columns]

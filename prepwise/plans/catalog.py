@@ -750,6 +750,46 @@ def q_changes_per_step(spark, d):
     return changelog.changes_per_step(fp.cell_log())
 
 
+def _step_log(df, ctx, step, config, **on):
+    """The cell log of a pipeline that runs one step."""
+    from prepwise.plans.chain import REGISTRY, CleaningPipeline
+    pipe = CleaningPipeline({c.name: c.name == step for c in REGISTRY}, {step: config}, log_cells=True)
+    return pipe.fit(df, ctx).cell_log().withColumnRenamed("column", "column_name")
+
+
+@register("fill_log", f"""SELECT 'missing_handler' AS step, 'value' AS column_name, event_id AS row_id, NULL::VARCHAR AS original, round(filled, 6) AS new
+    FROM (SELECT event_id, value, last_value(value IGNORE NULLS) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS filled FROM {G})
+    WHERE value IS NULL AND filled IS NOT NULL""")
+def q_fill_log(spark, d):
+    e, ctx = _gaps(spark, d)
+    log = _step_log(e, ctx, "missing_handler", {"strategy": "ffill"})
+    return log.select("step", "column_name", "row_id", "original", r6(F.col("new").cast("double")).alias("new"))
+
+
+@register("convert_log", f"""SELECT 'type_detector' AS step, 'o_totalprice' AS column_name, o_orderkey AS row_id, o_totalprice AS original, NULL::VARCHAR AS new
+    FROM {V.ORDERS_BAD_NUMBERS_SQL} WHERE o_totalprice IS NOT NULL
+    AND CASE WHEN regexp_matches(o_totalprice, {lit(nb.NUMBER_RE)}) THEN try_cast(o_totalprice AS DOUBLE) END IS NULL""")
+def q_convert_log(spark, d):
+    o = V.with_id(V.orders_bad_numbers(spark, d), "o_orderkey")
+    return _step_log(o, ctx_for(o), "type_detector", {}).select("step", "column_name", "row_id", "original", "new")
+
+
+@register("removed_log", """SELECT 'duplicate_handler' AS step, NULL::VARCHAR AS column_name, o_orderkey AS row_id, 'row removed' AS reason
+    FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn > 1""")
+def q_removed_log(spark, d):
+    o = V.with_id(table(spark, d, "orders"), "o_orderkey")
+    log = _step_log(o, ctx_for(o), "duplicate_handler", {"action": "keep_first", "subset": ["o_custkey"]})
+    return log.select("step", "column_name", "row_id", "reason")
+
+
+@register("encode_log", """SELECT 'categorical_encoder' AS step, 'o_orderpriority' AS column_name, o_orderkey AS row_id, o_orderpriority AS original,
+    CASE WHEN o_orderpriority > (SELECT min(o_orderpriority) FROM orders) THEN 'o_orderpriority_' || o_orderpriority END AS new FROM orders""")
+def q_encode_log(spark, d):
+    o, ctx = _orders_cat(spark, d)
+    o = V.with_id(o, "o_orderkey")
+    return _step_log(o, ctx, "categorical_encoder", {"method": "onehot"}).select("step", "column_name", "row_id", "original", "new")
+
+
 @register("preview_page", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
     strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
     FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100""")

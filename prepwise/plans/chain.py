@@ -16,8 +16,7 @@ from prepwise.operators.outliers import OutlierDetector
 from prepwise.operators.text_steps import ColumnNameCleaner, EncodingNormalizer, TextStandardizer
 from prepwise.operators.values import ConstantRemover, DuplicateHandler, ValueReplacer
 from prepwise.operators.base import Step
-from prepwise.plans import changelog
-from prepwise.session import ensure_checkpoint_dir
+from prepwise.plans import changelog, shared
 
 REGISTRY = [
     EncodingNormalizer, ColumnNameCleaner, TypeDetector, IdColumnDetector, TextStandardizer,
@@ -61,7 +60,7 @@ class CleaningPipeline:
         self.log_cells = log_cells
 
     def _cut_after(self, i: int) -> bool:
-        """Checkpoint after step i?  "auto": after a step whose transform runs
+        """Write a table after step i?  "auto": after a step whose transform runs
         Python (Arrow UDFs) or shuffles, when a later step still has to fit —
         later fits then read the materialised rows instead of recomputing them."""
         step = self.steps[i]
@@ -72,17 +71,22 @@ class CleaningPipeline:
 
     def fit(self, df: DataFrame, ctx: Context | None = None) -> "FittedPipeline":
         ctx = ctx or Context.from_schema(df)
+        written = shared.written()
         fitted, logs = [], []
         for i, step in enumerate(self.steps):
             f = step.fit(df, ctx)
-            if self.log_cells and f.step.row_local and ROW_ID in df.columns:
-                logs.append(changelog.cell_diff(df, step.name, f.exprs(df, ctx)))
-            df, ctx = f.transform(df, ctx)
+            log = self.log_cells and ROW_ID in df.columns and not df.isStreaming
+            if log and step.logs_cells:
+                df, ctx, changes = changelog.logged_transform(f, df, ctx)
+                logs.append(changes)
+            else:
+                if log and step.row_local:
+                    logs.append(changelog.cell_diff(df, step.name, f.exprs(df, ctx)))
+                df, ctx = f.transform(df, ctx)
             if self._cut_after(i) and not df.isStreaming:
-                ensure_checkpoint_dir(df.sparkSession)
-                df = df.checkpoint(eager=True)     # reliable: written to spark.checkpoint.dir
+                df = shared.save(df, "cut")        # Parquet in spark.checkpoint.dir: later fits read only the columns they need
             fitted.append(f)
-        return FittedPipeline(fitted, df, ctx, logs)
+        return FittedPipeline(fitted, df, ctx, logs, tables=shared.written() - written)
 
     def run(self, df: DataFrame, ctx: Context | None = None) -> tuple[DataFrame, Context]:
         fp = self.fit(df, ctx)
@@ -105,6 +109,12 @@ class FittedPipeline:
     context: Context
     logs: list = field(default_factory=list)
     meta: dict = field(default_factory=dict)
+    tables: set = field(default_factory=set)
+
+    def release(self) -> None:
+        """Delete the tables that the run wrote to the shared folder.  ``result`` and the logs read them, so write or
+        collect those first; the fitted steps stay usable.  What is not released goes when the process ends."""
+        shared.release(self.tables)
 
     def transform(self, df: DataFrame, ctx: Context | None = None) -> tuple[DataFrame, Context]:
         """Apply the fitted parameters to new data (no refit)."""

@@ -1,13 +1,14 @@
-"""Change log (R10–R14): cell diffs of row-local steps, per-step counts,
+"""Change log (R10–R14): cell diffs of every step, removed rows, per-step counts,
 column state and a machine-readable report."""
 from __future__ import annotations
 
 import datetime as _dt
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from prepwise.context import ROW_ID
+from prepwise.context import BEFORE, ROW_ID
+from prepwise.plans.stats import col
 
 LOG_SCHEMA = "step string, column string, row_id long, original string, new string, reason string"
 
@@ -27,6 +28,47 @@ def cell_diff(before: DataFrame, step_name: str, exprs: dict, reason: str = "")
                         F.lit(reason or step_name).alias("reason"))
 
 
+def logged_transform(fitted, df: DataFrame, ctx):
+    """``(result, context, log)`` of a step whose changes only its result shows.
+
+    Every row carries its old cells as one struct through the step's windows, joins and aggregations, and the
+    log is exploded from the result: no join for changed cells.  Rows that the step removes are events
+    without a column, found by an anti-join of row ids."""
+    step, users = fitted.step, [c for c in df.columns if c != ROW_ID]
+    carried = df.withColumn(BEFORE, F.struct(*[col(c).alias(c) for c in users]))
+    after, ctx = fitted.transform(carried, ctx)
+    cells = []
+    for c, new in step._logged(after, users, fitted.state).items():
+        old = F.col(BEFORE).getField(c)
+        new_kind = after.select(new.alias("x")).schema["x"].dataType
+        if step._failed_only():
+            differs = old.isNotNull() & new.isNull()
+        elif step._recodes():
+            differs = old.isNotNull() | new.isNotNull()
+        else:
+            differs = _differs(old, df.schema[c].dataType, new, new_kind)
+        cells.append(F.struct(F.lit(c).alias("column"), old.cast("string").alias("original"), new.cast("string").alias("new"), differs.alias("differs")))
+    log = df.sparkSession.createDataFrame([], LOG_SCHEMA)
+    if cells:
+        long = after.select(F.col(ROW_ID).alias("row_id"), F.explode(F.array(*cells)).alias("t")).select("row_id", "t.*").where("differs")
+        log = log.unionByName(long.select(F.lit(step.name).alias("step"), "column", "row_id", "original", "new", F.lit(step.name).alias("reason")))
+    if step._removes_rows(fitted.state):
+        gone = df.select(F.col(ROW_ID).alias("row_id")).join(after.select(F.col(ROW_ID).alias("row_id")), "row_id", "left_anti")
+        log = log.unionByName(gone.select(F.lit(step.name).alias("step"), F.lit(None).cast("string").alias("column"), "row_id",
+                                          F.lit(None).cast("string").alias("original"), F.lit(None).cast("string").alias("new"),
+                                          F.lit("row removed").alias("reason")))
+    return after.drop(BEFORE), ctx, log
+
+
+def _differs(old, old_kind, new, new_kind):
+    """Whether a cell changed: numbers compare as numbers, and a cell that became another kind of value has changed."""
+    if old_kind == new_kind:
+        return ~old.eqNullSafe(new)
+    if isinstance(old_kind, T.NumericType) and isinstance(new_kind, T.NumericType):
+        return ~old.cast(new_kind).eqNullSafe(new)
+    return old.isNotNull() | new.isNotNull()
+
+
 def changes_per_step(log: DataFrame) -> DataFrame:
     return log.groupBy("step").agg(F.count(F.lit(1)).alias("changes"))                # R11
 

@@ -32,21 +32,25 @@ def _delete(path: str) -> None:
     p.getFileSystem(conf).delete(p, True)
 
 
-def release(before: set | None = None) -> None:
-    """Delete the tables written since ``before`` (all by default); frames that read them cannot be used any more."""
-    for path in [p for p in _open if not before or p not in before]:
+def written() -> set[str]:
+    """Folders of the tables that exist."""
+    return set(_open)
+
+
+def release(paths: set[str]) -> None:
+    """Delete tables; frames that read them cannot be used any more."""
+    for path in paths & set(_open):
         _delete(path)
 
 
 @contextmanager
 def scope():
     """Tables written inside are deleted at the end; write or collect every result before."""
-    before = set(_open)
+    before = written()
     try:
         yield
     finally:
-        for path in [p for p in _open if p not in before]:
-            _delete(path)
+        release(written() - before)
 
 
 @atexit.register

@@ -110,6 +110,33 @@ def typed_mode(df: DataFrame, c: str):
     return r[0]["v"] if r else None
 
 
+def typed_modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
+    """Most frequent non-null value of every column as text, the smallest in its type's order on ties;
+    one job: values of all columns are counted together, with their order as a number beside the text."""
+    if not cols:
+        return {}
+    cells = []
+    for i, c in enumerate(cols):
+        x, kind = col(c), df.schema[c].dataType
+        whole = decimal = F.lit(None)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            x = x + F.lit(0).cast(kind)                             # one zero
+            decimal = x
+        elif isinstance(kind, T.DecimalType):
+            decimal = x.cast("double")
+        elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+            whole = x.cast("long")
+        elif isinstance(kind, T.TimestampType):
+            whole = F.unix_micros(x)
+        cells.append(F.struct(F.lit(i).alias("c"), whole.cast("long").alias("w"), decimal.cast("double").alias("d"), x.cast("string").alias("v")))
+    long = df.select(F.explode(F.array(*cells)).alias("t")).select("t.*").where("v IS NOT NULL")
+    counts = long.groupBy("c", "w", "d", "v").agg(F.count(F.lit(1)).alias("n"))
+    first = Window.partitionBy("c").orderBy(F.desc("n"), "w", "d", "v")         # a partial limit per task precedes the shuffle
+    rows = counts.withColumn("rk", F.row_number().over(first)).where("rk = 1").collect()
+    found = {cols[r["c"]]: r["v"] for r in rows}
+    return {c: found.get(c) for c in cols}
+
+
 def is_numeric_type(dt) -> bool:
     return isinstance(dt, T.NumericType)
 
