@@ -1,16 +1,17 @@
 """Isolation forest (Liu, Ting & Zhou 2008) built and scored on Spark.
 
-* sampling: one hash of the row key picks a pool of about 3·trees·sample_size
-  complete rows, and each tree takes the ``sample_size`` pool rows with the
-  smallest hash(row key, tree).  The key is the order columns of the context,
-  so the sample is the same under any partitioning exactly if these columns
-  are data (a row id made by the scan is not);
+* sampling: every tree draws its own rows, independently of the others: the ``sample_size`` complete rows
+  with the smallest hash(row key, tree).  A row passes on only hashes below a limit that leaves a tree a
+  few more rows than it needs (raised until every tree has them), and a limit per tree and task precedes
+  the shuffle.  The key is the order columns of the context, so the sample is the same under any
+  partitioning exactly if these columns are data (a row id made by the scan is not);
 * growing: ``groupBy(tree).applyInPandas`` — one bounded group per tree;
 * the forest (≤ trees × (2·sample_size − 1) nodes) is collected once and
   shipped to the scoring UDF as a literal closure — its size is bounded by the
   parameters, not by the data;
 * scoring: an Arrow ``pandas_udf`` over the numeric columns;
-* threshold: the ``contamination`` quantile of the scores.
+* threshold: the ``contamination`` quantile of the scores.  The fit writes the rows with their scores once;
+  the threshold and the flags of the fitted table are read from there, so Python runs once per row.
 """
 from __future__ import annotations
 
@@ -19,11 +20,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
-from prepwise.plans import stats
+from prepwise.plans import shared, stats
 from prepwise.plans.stats import col
 
+SCORE = "__if_score"
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size long"
 
 
@@ -41,7 +43,7 @@ def _c(n: int) -> float:
 
 def _grow(pdf: pd.DataFrame, n_features: int, sample_size: int, seed: int) -> pd.DataFrame:
     tree = int(pdf["tree"].iloc[0])
-    pdf = pdf.sort_values("h").head(sample_size)
+    pdf = pdf.sort_values("h", kind="stable").head(sample_size)
     X = np.vstack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, n_features))
     rng = np.random.default_rng(seed * 1_000_003 + tree)
     limit = int(math.ceil(math.log2(max(len(X), 2))))
@@ -72,35 +74,41 @@ def _grow(pdf: pd.DataFrame, n_features: int, sample_size: int, seed: int) -> pd
     return pd.DataFrame(rows, columns=["tree", "node", "feature", "split", "left", "right", "size"])
 
 
-def fit_forest(df, cols, ctx, n_trees, sample_size, contamination, seed) -> dict:
+def fit_forest(df, cols, ctx, n_trees, sample_size, contamination, seed) -> tuple:
+    """The forest with its threshold, and ``df`` with the column ``SCORE`` as a written table."""
     complete = df.where(_complete(cols))
     n = complete.count()
     if n < 10:
-        return {"trees": [], "threshold": None, "psi": 0}
+        return {"trees": [], "threshold": None, "psi": 0}, None
     psi = min(sample_size, n)
     order = [o for o in ctx.order_by if o in df.columns]
     keycol = F.struct(*[col(o) for o in order]) if order else F.struct(*[col(c) for c in cols])
-    # One hash per row picks a pool of ~3·trees·psi rows; only pool rows are
-    # exploded per tree, so the per-row cost does not grow with the tree count.
-    pool_rate = min(1.0, 3.0 * n_trees * psi / n)
-    tree_rate = min(1.0, 2.0 * psi / max(1.0, pool_rate * n))
-    x = F.array(*[col(c).cast("double") for c in cols])
-    h0 = F.abs(F.xxhash64(keycol, F.lit(seed)) % 1_000_000_007) / 1_000_000_007.0
-    picked = (complete.where(h0 < F.lit(pool_rate)).select(keycol.alias("k"), x.alias("x"))
-              .select("k", "x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-              .withColumn("h", F.abs(F.xxhash64("k", "tree", F.lit(seed + 1)) % 1_000_000_007) / 1_000_000_007.0)
-              .where(F.col("h") < F.lit(tree_rate))
-              .select("tree", "h", "x"))
+    picked = _samples(complete, keycol, F.array(*[col(c).cast("double") for c in cols]), n, n_trees, psi, seed)
     nf, ps, sd = len(cols), psi, seed
     nodes = picked.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, nf, ps, sd), NODE_SCHEMA).collect()
     trees: dict[int, list] = {}
     for r in sorted(nodes, key=lambda r: (r["tree"], r["node"])):
         trees.setdefault(r["tree"], []).append((r["feature"], r["split"], r["left"], r["right"], r["size"]))
     forest = {"trees": [trees[t] for t in sorted(trees)], "psi": psi, "threshold": None}
-    scored = complete.select(score_column(forest, cols).alias("s"))      # Python runs once: quantiles keep the counts
-    q = stats.quantiles(scored, ["s"], [contamination])
-    forest["threshold"] = q["s"][0] if q.get("s") else None
-    return forest
+    scored = shared.save(df.withColumn(SCORE, score_column(forest, cols)), "scores")
+    q = stats.quantiles(scored, [SCORE], [contamination])
+    forest["threshold"] = q[SCORE][0] if q.get(SCORE) else None
+    return forest, scored
+
+
+def _samples(rows, key, x, n: int, n_trees: int, psi: int, seed: int):
+    """``(tree, h, x)``: for every tree the ``psi`` rows of least hash, as a written table."""
+    h0 = rows.select(F.xxhash64(key, F.lit(seed)).alias("h0"), x.alias("x"))
+    want = psi + 6 * math.sqrt(psi) + 20
+    while True:
+        limit = F.lit(min(2 ** 63 - 1, -2 ** 63 + int(min(1.0, want / n) * 2 ** 64)))
+        draws = [F.when(h <= limit, F.struct(F.lit(t).alias("tree"), h.alias("h"))) for t in range(n_trees) for h in [F.xxhash64("h0", F.lit(t))]]
+        drawn = h0.select("x", F.explode(F.array_compact(F.array(*draws))).alias("d")).select("d.tree", "d.h", "x")
+        place = F.row_number().over(Window.partitionBy("tree").orderBy("h", "x"))
+        table = shared.save(drawn.withColumn("place", place).where(F.col("place") <= psi).drop("place"), "samples")
+        if want >= n or table.count() == n_trees * psi:
+            return table
+        want *= 4
 
 
 def _stack(trees: list) -> dict:
@@ -155,7 +163,8 @@ def score_column(forest: dict, cols):
     return F.when(complete, score(F.when(complete, arr_col).otherwise(F.array_repeat(F.lit(0.0), len(cols)))))
 
 
-def forest_flag(forest: dict, cols):
+def forest_flag(forest: dict, cols, score=None):
+    """Rows below the threshold; ``score`` is a column that holds the scores already."""
     if not forest["trees"] or forest["threshold"] is None:
         return F.lit(False)
-    return F.coalesce(score_column(forest, cols) < F.lit(forest["threshold"]), F.lit(False))
+    return F.coalesce((score_column(forest, cols) if score is None else score) < F.lit(forest["threshold"]), F.lit(False))

@@ -65,9 +65,18 @@ class OutlierDetector(Step):
         state = {"columns": cols, "fences": fences}
         if p.method == "isolation_forest":
             from prepwise.operators.forest import fit_forest
-            state["forest"] = fit_forest(df, cols, ctx, p.n_trees, p.sample_size, p.if_contamination, p.seed)
+            state["forest"], scored = fit_forest(df, cols, ctx, p.n_trees, p.sample_size, p.if_contamination, p.seed)
+            self._scored = (df, scored)
         return state
 
+    def _with_flag(self, df, state):
+        """``df`` and its forest flag: from the scores that the fit wrote where ``df`` is the fitted table."""
+        from prepwise.operators.forest import SCORE, forest_flag
+        fitted, scored = getattr(self, "_scored", (None, None))
+        if df is fitted and scored is not None:
+            return scored, forest_flag(state["forest"], state["columns"], col(SCORE))
+        return df, forest_flag(state["forest"], state["columns"])
+
     def flags(self, state):
         p = self.params
         out = {}
@@ -96,14 +105,14 @@ class OutlierDetector(Step):
             return f["mean"] - p.zscore_threshold * f["sd"], f["mean"] + p.zscore_threshold * f["sd"]    # O7 (sample std)
         return (f["lo"], f["hi"]) if "lo" in f else None                                                # O6
 
-    def _exprs(self, df, ctx, state):
+    def _exprs(self, df, ctx, state, row_flag=None):
         """Capped cells (the only cells this step changes), also for the cell log."""
         p = self.params
         if p.action != "cap" or not state["columns"]:
             return {}
         if p.method == "isolation_forest":
-            from prepwise.operators.forest import forest_flag
-            row_flag = forest_flag(state["forest"], state["columns"])
+            if row_flag is None:
+                row_flag = self._with_flag(df, state)[1]
             flags = {c: row_flag for c in state["columns"]}
         else:
             flags = self.flags(state)
@@ -132,14 +141,15 @@ class OutlierDetector(Step):
             told = f" outside [{f['lo']:.6g}, {f['hi']:.6g}]" if "lo" in f else (
                 f" beyond {p.zscore_threshold:g} deviations of {f['sd_pop']:.6g} around {f['mean']:.6g}" if "sd_pop" in f else "")
             ctx = ctx.note(self.name, c, f"{p.method}: {p.action}{told}")
+        names, row_flag = [col(c) for c in df.columns], None
+        if p.method == "isolation_forest":
+            df, row_flag = self._with_flag(df, state)
         if p.action == "cap":
-            return df.withColumns(self._exprs(df, ctx, state)), ctx
+            return df.withColumns(self._exprs(df, ctx, state, row_flag)).select(*names), ctx
         if p.method == "isolation_forest":
-            from prepwise.operators.forest import forest_flag
-            row_flag = forest_flag(state["forest"], cols)
             if p.action == "flag":                                               # O5
                 roles = {**ctx.roles, "_if_outlier": Role.BOOLEAN}
-                return df.withColumn("_if_outlier", row_flag), ctx.with_(roles=roles)
+                return df.select(*names, row_flag.alias("_if_outlier")), ctx.with_(roles=roles)
             flags = {c: row_flag for c in cols}
         else:
             flags = self.flags(state)
@@ -148,4 +158,4 @@ class OutlierDetector(Step):
             roles = {**ctx.roles, **{f"{c}_outlier": Role.BOOLEAN for c in cols}}
             return out, ctx.with_(roles=roles)
         any_flag = reduce(lambda a, b: a | b, flags.values())                        # O8
-        return df.where(~any_flag), ctx
+        return df.where(~any_flag).select(*names), ctx

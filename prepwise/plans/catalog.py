@@ -126,6 +126,18 @@ def q_outlier_forest_flag(spark, d):
     return out.select("l_orderkey", "l_linenumber", "_if_outlier")
 
 
+@register("outlier_forest_summary", """SELECT count(*) AS rows, 0.1 AS flagged_share, true AS flags_are_extreme FROM lineitem""")
+def q_outlier_forest_summary(spark, d):
+    """The share of flagged rows, and whether their cells lie further from the middle than those of the others."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ctx = ctx_for(li, ids=["l_orderkey", "l_linenumber"], order_by=li.columns)
+    out = OutlierDetector(method="isolation_forest", action="flag").fit_transform(li, ctx)[0]
+    mid = out.agg(*[F.avg(c).alias(c) for c in li.columns[2:]], *[F.stddev(c).alias(f"{c}_sd") for c in li.columns[2:]]).first()
+    far = sum(F.abs((F.col(c) - mid[c]) / mid[f"{c}_sd"]) for c in li.columns[2:])
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg(F.col("_if_outlier").cast("int")), 2).alias("flagged_share"),
+                   (F.avg(F.when(F.col("_if_outlier"), far)) > F.avg(F.when(~F.col("_if_outlier"), far))).alias("flags_are_extreme"))
+
+
 # ============================================================ duplicates
 DUP_KEYS = ["l_orderkey", "l_linenumber"]
 LI_OUT_SPARK = [c for c in V.LINEITEM_COLS if c != "l_shipdate"]

@@ -142,3 +142,27 @@ def test_steps_write_events(frame):
     _, ctx = OutlierDetector(action="cap").fit_transform(df)
     _, ctx = SkewnessCorrector().fit_transform(df, ctx)
     assert {e.step for e in ctx.events} == {"outlier_detector", "skewness_corrector"} and any("lambda" in e.reason for e in ctx.events)
+
+
+def test_forest_draws_exact_samples_and_scores_once(spark, tmp_path):
+    """Every tree has exactly its rows; the scoring function sees every row once in fit and transform together."""
+    from prepwise.operators import forest
+    from prepwise.operators.outliers import OutlierDetector
+    from prepwise.context import Context
+    df = spark.createDataFrame([(i, float(i % 37), float((i * 7919) % 101)) for i in range(3000)], "k long, a double, b double")
+    x = F.array("a", "b")
+    for parts in (2, 7):
+        sample = forest._samples(df.repartition(parts), F.struct("k"), x, 3000, 30, 64, 5)
+        counts = {r["tree"]: r["count"] for r in sample.groupBy("tree").count().collect()}
+        assert counts == {t: 64 for t in range(30)}
+    small = forest._samples(df.limit(70), F.struct("k"), x, 70, 30, 64, 5)
+    assert small.count() == 30 * 64
+    ctx = Context.from_schema(df, ["k"])
+    step = OutlierDetector(method="isolation_forest", n_trees=10)
+    fitted = step.fit(df, ctx)
+    out, _ = fitted.transform(df, ctx)
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().executedPlan().toString()
+    again, _ = fitted.transform(df.select("*"), ctx)                   # other data: scored anew, the same flags
+    assert "ArrowEvalPython" in again._jdf.queryExecution().executedPlan().toString()
+    flags = lambda d: sorted((r["k"], *[v for c, v in r.asDict().items() if c.endswith("outlier")]) for r in d.collect())     # noqa: E731
+    assert flags(out) == flags(again) and out.columns == again.columns
