@@ -126,7 +126,7 @@ def q_outlier_forest_flag(spark, d):
     return out.select("l_orderkey", "l_linenumber", "_if_outlier")
 
 
-@register("outlier_forest_summary", """SELECT count(*) AS rows, 0.1 AS flagged_share, true AS flags_are_extreme FROM lineitem""")
+@register("outlier_forest_summary", """SELECT count(*) AS rows, 0.05 AS flagged_share, true AS flags_are_extreme FROM lineitem""")
 def q_outlier_forest_summary(spark, d):
     """The share of flagged rows, and whether their cells lie further from the middle than those of the others."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -1020,3 +1020,6 @@ def q_clean_events(spark, d):
     e, ctx = prepare(table(spark, d, "events"), order_by=["event_id"])
     fp = CleaningPipeline().fit(e, ctx)
     return nodrop(fp.result)
+
+
+from prepwise.plans import catalog_runs  # noqa: E402,F401 — registers its queries here
