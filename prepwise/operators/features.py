@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -86,53 +87,89 @@ def yeojohnson_expr(x, lam):
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def search_lambda(df, cols, kind, offsets, lo=-4.0, hi=4.0, points=17, refine_points=9, tolerance=1e-4) -> dict:
-    """Maximum-likelihood λ; each round is one aggregate for all columns and all candidate λ
-    (variance via Spark's stable var_pop).
+MAX_LAMBDA = 1000.0
+_SMALL = 0.02
 
-    The grid around the best λ is narrowed until its step is below ``tolerance`` and widened
-    while the best one lies on its edge; the vertex of the parabola through the last three
-    points then is exact to about the square of the step."""
+
+def _moment(z, k: int):
+    """The integral of ``t**k * exp(z t)`` over 0..1, for k of 0, 1 or 2; a series where the closed form cancels."""
+    e = F.exp(z)
+    closed = (F.expm1(z) / z, (e * (z - 1) + 1) / (z * z), (e * (z * z - 2 * z + 2) - 2) / (z * z * z))[k]
+    series = F.lit(0.0)
+    for j in range(6, -1, -1):
+        series = series * z + F.lit(1.0 / (math.factorial(j) * (j + k + 1)))
+    return F.when(F.abs(z) < _SMALL, series).otherwise(closed)
+
+
+def _derivatives(x, kind, lam: float, centre: float):
+    """The transformed value and its first and second derivative by λ.  Where all values lie on one side, they
+    are scaled by their mean logarithm ``centre``, which moves no optimum and keeps the variance free of cancellation."""
+    if kind == "box_cox":
+        length = F.log(x) - F.lit(centre)
+        z = length * F.lit(lam)
+        return [length * _moment(z, 0), length * length * _moment(z, 1), length * length * length * _moment(z, 2)]
+    length, up = F.log1p(F.abs(x)) - F.lit(centre), x >= 0
+    z = F.when(up, length * F.lit(lam)).otherwise(length * F.lit(2.0 - lam))
+    sign = F.when(up, 1.0).otherwise(-1.0)
+    return [sign * length * _moment(z, 0), length * length * _moment(z, 1), sign * length * length * length * _moment(z, 2)]
+
+
+def search_lambda(df, cols, kind, offsets, tolerance=1e-9, max_passes=60) -> dict:
+    """Maximum-likelihood λ by Newton's method on the likelihood's derivative, kept inside the bracket that its
+    signs give; a pass is one aggregate for all columns.  A column without variance gets 1, one whose
+    likelihood still rises at ``MAX_LAMBDA`` gets None."""
     if not cols:
         return {}
-    df = df.select(*[col(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)   # scanned every round
+    df = df.select(*[col(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)   # scanned every pass
     try:
         xs = {c: col(c).cast("double") + F.lit(offsets.get(c, 0.0)) for c in cols}
         base = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
                       *[F.sum(F.log(xs[c]) if kind == "box_cox" else F.signum(xs[c]) * F.log1p(F.abs(xs[c])))
-                        .alias(f"sl{i}") for i, c in enumerate(cols)]).first()
-        grids = {c: np.linspace(lo, hi, points) for c in cols}
-        best = {}
-        while grids:
-            aggs = {}
-            for i, c in enumerate(cols):
-                for j, lam in enumerate(grids.get(c, [])):
-                    y = boxcox_expr(xs[c], float(lam)) if kind == "box_cox" else yeojohnson_expr(xs[c], float(lam))
-                    aggs[i, j] = F.var_pop(y).alias(f"v{i}_{j}")
-            r = df.agg(*aggs.values()).first()
-            for i, c in enumerate(cols):
-                if c not in grids:
+                        .alias(f"sl{i}") for i, c in enumerate(cols)],
+                      *[F.count_if(xs[c] >= 0).alias(f"up{i}") for i, c in enumerate(cols)]).first()
+        # one side only: centred, so the sum of the (signed) logarithms is zero
+        sums, centre = {}, {}
+        for i, c in enumerate(cols):
+            n, one_side = base[f"n{i}"], kind == "box_cox" or base[f"up{i}"] in (0, base[f"n{i}"])
+            centre[c] = abs(base[f"sl{i}"] / n) * (-1 if kind == "box_cox" and base[f"sl{i}"] < 0 else 1) if n and one_side else 0.0
+            sums[c] = 0.0 if one_side else base[f"sl{i}"]
+        at = {c: 0.5 for c in cols}
+        good = dict(at)                                        # the last λ with finite moments
+        low, high = {c: -math.inf for c in cols}, {c: math.inf for c in cols}
+        best: dict = {}
+        for _ in range(max_passes):
+            live = [c for c in cols if c not in best]
+            if not live:
+                break
+            aggs = []
+            for i, c in enumerate(live):
+                y, y1, y2 = _derivatives(xs[c], kind, at[c], centre[c])
+                aggs += [F.var_pop(y).alias(f"v{i}"), F.covar_pop(y, y1).alias(f"a{i}"), F.var_pop(y1).alias(f"b{i}"), F.covar_pop(y, y2).alias(f"c{i}")]
+            r = df.agg(*aggs).first()
+            for i, c in enumerate(live):
+                k = cols.index(c)
+                v, a, b_, c_ = (r[f"{x}{i}"] for x in "vabc")
+                if v == 0 or v is None:
+                    best[c] = 1.0                              # no variance: nothing to correct
                     continue
-                g, n, sl = grids[c], base[f"n{i}"], base[f"sl{i}"]
-                v = [r[f"v{i}_{j}"] for j in range(len(g))]
-                llf = np.array([-math.inf if not x or x <= 0 or not math.isfinite(x) else (lam - 1) * sl - n / 2 * math.log(x)
-                                for lam, x in zip(g, v)])
-                k, step = int(np.argmax(llf)), float(g[1] - g[0])
-                if not np.isfinite(llf[k]):
-                    best[c] = 1.0                                  # no variance at any λ: nothing to correct
-                    del grids[c]
-                elif k in (0, len(g) - 1):                         # optimum on the edge: move the grid there
-                    grids[c] = np.linspace(g[k] - (hi - lo) / 2, g[k] + (hi - lo) / 2, points) if abs(g[k]) < 1e3 else None
-                    if grids[c] is None:
-                        best[c] = float(g[k])
-                        del grids[c]
-                elif step <= tolerance:
-                    a, b_, d = llf[k - 1:k + 2]
-                    best[c] = float(g[k] + (0.5 * step * (a - d) / (a - 2 * b_ + d) if a - 2 * b_ + d < 0 else 0.0))
-                    del grids[c]
-                else:
-                    grids[c] = np.linspace(g[k - 1], g[k + 1], refine_points)
-        return best
+                if not all(map(math.isfinite, (v, a, b_, c_))):
+                    at[c] = (at[c] + good[c]) / 2 if at[c] != good[c] else at[c] / 2
+                    continue
+                good[c] = at[c]
+                n = base[f"n{k}"]
+                slope = sums[c] - n * a / v
+                bend = -n * ((b_ + c_) / v - 2 * (a / v) ** 2)
+                low[c], high[c] = (max(low[c], at[c]), high[c]) if slope > 0 else (low[c], min(high[c], at[c]))
+                step = -slope / bend if bend < 0 else math.copysign(1.0, slope)
+                new = at[c] + max(-2.0 - abs(at[c]), min(2.0 + abs(at[c]), step))
+                if not low[c] <= new <= high[c]:
+                    new = (low[c] + high[c]) / 2
+                if abs(new - at[c]) <= tolerance * (1 + abs(at[c])):
+                    best[c] = float(new)
+                elif abs(new) > MAX_LAMBDA:
+                    best[c] = None
+                at[c] = new
+        return {c: best.get(c) for c in cols}
     finally:
         df.unpersist()
 
@@ -166,11 +203,11 @@ class SkewnessCorrector(Step):
             out = {c: {"offset": offsets[c]} for c in chosen}                             # F5
         elif p.method == "box_cox":
             lam = search_lambda(df, chosen, "box_cox", offsets)                            # F6
-            out = {c: {"offset": offsets[c], "lambda": lam[c]} for c in chosen}
+            out = {c: {"offset": offsets[c], "lambda": lam[c]} for c in chosen if lam[c] is not None}
         else:
             lam = search_lambda(df, chosen, "yeo_johnson", {})                             # F7
-            out = {c: {"offset": 0.0, "lambda": lam[c]} for c in chosen}
-        return {"columns": out, "skew": {c: mom[c]["skew"] for c in chosen}}
+            out = {c: {"offset": 0.0, "lambda": lam[c]} for c in chosen if lam[c] is not None}
+        return {"columns": out, "unbounded": [c for c in chosen if c not in out], "skew": {c: mom[c]["skew"] for c in chosen}}
 
     def _exprs(self, df, ctx, state):
         out = {}
@@ -187,6 +224,8 @@ class SkewnessCorrector(Step):
     def _notes(self, state):
         for c, p in state["columns"].items():
             yield c, f"{self.params.method}: " + ", ".join(f"{k} {v:.6g}" for k, v in p.items())
+        for c in state.get("unbounded", ()):
+            yield c, f"{self.params.method}: left as it is, the likelihood has no optimum up to {MAX_LAMBDA:g}"
 
 
 def _edges_code(x, inner_edges, right_closed=True):
@@ -283,46 +322,76 @@ def equal_freq_codes(df, c, new, q, n, order_by):
     return ranked.unionByName(nulls.withColumn(new, F.lit(None).cast("int")))
 
 
+CELLS = 4096          # cells of the sorted value counts that a k-means pass knows the sums of
+
+
 def kmeans_edges(df, c, k, m, fill, max_iter) -> tuple[list, bool]:
-    """1-D Lloyd iterations from uniform start centres; one aggregate per pass over the value counts.
-    Nulls count as the fill value (median or mean).  Returns the inner edges and whether the
-    centres settled."""
+    """1-D Lloyd iterations from uniform start centres.  Nulls count as the fill value (median or mean).
+    Returns the inner edges and whether the centres settled."""
     x = col(c).cast("double")
     fv = stats.quantiles(df, [c], [0.5])[c][0] if fill == "median" else m["mean"]
     uniform = np.linspace(m["min"], m["max"], k + 1)
-    centers = list((uniform[1:] + uniform[:-1]) * 0.5)
-    # scanned by every pass: one row per distinct value, kept in memory and on disk
-    counts = df.groupBy(F.coalesce(x, F.lit(fv)).alias("__v")).agg(F.count(F.lit(1)).alias("__n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        r = counts.agg(F.sum("__n"), F.sum(F.col("__v") * F.col("__n")), F.sum(F.col("__v") * F.col("__v") * F.col("__n"))).first()
-        var = max(0.0, r[2] / r[0] - (r[1] / r[0]) ** 2)
-        centers, settled = _lloyd(counts, centers, k, var, max_iter)
-    finally:
-        counts.unpersist()
+    counts = df.groupBy(F.coalesce(x, F.lit(fv)).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    centers, settled = _lloyd(_SortedCounts(counts), list((uniform[1:] + uniform[:-1]) * 0.5), k, max_iter)
     return [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)], settled
 
 
-def _lloyd(df, centers, k, var, max_iter):
-    v, n = F.col("__v"), F.col("__n")
+class _SortedCounts:
+    """Value counts written in value order, and the sums of ``CELLS`` runs of about as many values.
+
+    The sums up to any value are those of the whole cells below it, known on the driver, and of the one
+    cell that holds it, read from the written table by its value range, so a pass reads a few thousandths
+    of the table, however large."""
+
+    def __init__(self, counts):
+        self.table = ordered.bucketize(counts, ["__v"])
+        self.rows = self.table.count()
+        places = self.table.join(ordered.offsets(self.table), ordered.BUCKET)
+        cell = F.floor((F.col("_off") + F.col(ordered.PLACE)) * F.lit(CELLS) / F.lit(max(1, self.rows))).cast("long")
+        v, n = F.col("__v"), F.col("__n")
+        cells = places.groupBy(cell.alias("cell")).agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.sum(n).alias("n"), F.sum(v * n).alias("s"), F.sum(v * v * n).alias("q"))
+        got = sorted(cells.collect(), key=lambda r: r["lo"])                 # at most CELLS rows
+        self.lo, self.hi = np.array([r["lo"] for r in got]), np.array([r["hi"] for r in got])
+        self.n = np.concatenate([[0], np.cumsum([r["n"] for r in got])])
+        self.s = np.concatenate([[0.0], np.cumsum([r["s"] for r in got])])
+        self.var = max(0.0, sum(r["q"] for r in got) / self.n[-1] - (self.s[-1] / self.n[-1]) ** 2)
+
+    def up_to(self, edges: list) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and sums of the values up to every edge."""
+        whole = np.searchsorted(self.hi, edges, side="right")               # cells that end at or below the edge
+        n, s = self.n[whole].astype(float), self.s[whole].copy()
+        cut = [j for j, w in enumerate(whole) if w < len(self.lo) and self.lo[w] <= edges[j]]
+        if cut:
+            v = F.col("__v")
+            inside = [v.between(F.lit(float(self.lo[whole[j]])), F.lit(float(edges[j]))) for j in cut]
+            part = self.table.where(reduce(lambda a, b: a | b, inside))
+            r = part.agg(*[a for i, near in enumerate(inside) for a in (
+                F.sum(F.when(near, F.col("__n"))).alias(f"n{i}"), F.sum(F.when(near, v * F.col("__n"))).alias(f"s{i}"))]).first()
+            for i, j in enumerate(cut):
+                n[j] += r[f"n{i}"]
+                s[j] += r[f"s{i}"]
+        return n, s
+
+
+def _lloyd(counts, centers, k, max_iter):
     for _ in range(max_iter):
         mids = [(centers[i] + centers[i + 1]) / 2 for i in range(k - 1)]
-        code = _edges_code(v, mids, right_closed=True)
-        rows = df.groupBy(code.alias("k")).agg(F.sum(v * n).alias("s"), F.sum(n).alias("n")).collect()       # k rows
-        sums = {r["k"]: (r["s"], r["n"]) for r in rows if r["k"] is not None and r["n"]}
-        empty = [i for i in range(k) if i not in sums]
-        new = [sums[i][0] / sums[i][1] if i in sums else centers[i] for i in range(k)]
+        n, s = counts.up_to(mids)
+        n, s = np.diff([0, *n, counts.n[-1]]), np.diff([0.0, *s, counts.s[-1]])
+        empty = [i for i in range(k) if not n[i]]
+        new = [s[i] / n[i] if n[i] else centers[i] for i in range(k)]
         if empty:
             # like scikit-learn: an empty cluster moves to the point farthest
             # from its own centre (a bounded top-k, not a collect)
-            cen = F.element_at(F.array(*[F.lit(float(c)) for c in centers]), code + 1)
-            far = (df.select(v.alias("v"), F.abs(v - cen).alias("d")).where(F.col("v").isNotNull())
-                   .orderBy(F.desc("d")).limit(len(empty)).collect())
+            v = F.col("__v")
+            cen = F.element_at(F.array(*[F.lit(float(c)) for c in centers]), _edges_code(v, mids) + 1)
+            far = counts.table.select(v.alias("v"), F.abs(v - cen).alias("d")).orderBy(F.desc("d")).limit(len(empty)).collect()
             for i, r in zip(empty, far):
                 new[i] = r["v"]
         new.sort()
         shift = sum((a - b) ** 2 for a, b in zip(new, centers))
-        centers = new
-        if shift <= 1e-4 * var and not empty:          # scikit-learn's tolerance rule
+        centers = [float(x) for x in new]
+        if shift <= 1e-4 * counts.var and not empty:       # scikit-learn's tolerance rule
             return centers, True
     return centers, False
 

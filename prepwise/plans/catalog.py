@@ -565,12 +565,30 @@ def q_skew_log(spark, d):
     return _skew(spark, d, "log")
 
 
-@register("skew_boxcox")
+def _lambda_sql(kind):
+    """λ by halving an interval on the sign of the likelihood's derivative, then the transformed values."""
+    if kind == "box_cox":
+        x = "(value + CASE WHEN (SELECT min(value) FROM events) <= 0 THEN abs((SELECT min(value) FROM events)) + 1 ELSE 0 END)"
+        sign, length, power = "1", f"ln{x}", "m"
+    else:
+        sign, length, power = "CASE WHEN value >= 0 THEN 1 ELSE -1 END", "ln(1 + abs(value))", "CASE WHEN g > 0 THEN m ELSE 2 - m END"
+    y, y1 = "g * (exp(p * l) - 1) / p", "(exp(p * l) * (p * l - 1) + 1) / (p * p)"
+    return f"""WITH RECURSIVE x AS MATERIALIZED (SELECT {sign} AS g, {length} AS l FROM events WHERE value IS NOT NULL),
+    it AS (SELECT 0 AS i, -4.0::DOUBLE AS lo, 4.1::DOUBLE AS hi UNION ALL
+           SELECT i + 1, CASE WHEN slope > 0 THEN m ELSE lo END, CASE WHEN slope > 0 THEN hi ELSE m END
+           FROM (SELECT i, lo, hi, m, sum(g * l) - count(*) * covar_pop({y}, {y1}) / var_pop({y}) AS slope
+                 FROM (SELECT i, lo, hi, m, g, l, {power} AS p FROM (SELECT i, lo, hi, (lo + hi) / 2 AS m FROM it), x) GROUP BY i, lo, hi, m) WHERE i < 44),
+    best AS (SELECT (lo + hi) / 2 AS m FROM it ORDER BY i DESC LIMIT 1)
+    SELECT event_id, round({y}, 6) AS value FROM (SELECT event_id, g, l, {power} AS p
+        FROM (SELECT event_id, {sign} AS g, {length} AS l FROM events), best)"""
+
+
+@register("skew_boxcox", _lambda_sql("box_cox"))
 def q_skew_boxcox(spark, d):
     return _skew(spark, d, "box_cox")
 
 
-@register("skew_yeojohnson")
+@register("skew_yeojohnson", _lambda_sql("yeo_johnson"))
 def q_skew_yeojohnson(spark, d):
     return _skew(spark, d, "yeo_johnson")
 
@@ -599,7 +617,21 @@ def q_bin_freq(spark, d):
     return _bins(spark, d, "equal_freq")
 
 
-@register("bin_kmeans")
+def _code_sql(x, op):
+    return " + ".join(f"CAST({x} {op} (c[{j}] + c[{j + 1}]) / 2 AS INTEGER)" for j in range(1, 5))
+
+
+# Lloyd's iteration step by step: centres as a list, until they move by less than the tolerance
+@register("bin_kmeans", f"""WITH RECURSIVE x AS MATERIALIZED (SELECT coalesce(value, (SELECT quantile_cont(value, 0.5) FROM events)) AS v FROM events),
+    z AS (SELECT var_pop(v) AS var FROM x),
+    it AS (SELECT 0 AS i, list_transform(range(5), lambda j: lo + (hi - lo) * (j + 0.5) / 5) AS c, false AS done
+           FROM (SELECT min(value) AS lo, max(value) AS hi FROM events)
+           UNION ALL
+           SELECT i + 1, new, list_sum(list_transform(range(1, 6), lambda j: pow(new[j] - c[j], 2))) <= 1e-4 * var
+           FROM (SELECT i, c, list(a ORDER BY k) AS new FROM (SELECT i, c, {_code_sql("v", ">")} AS k, avg(v) AS a FROM it, x WHERE NOT done GROUP BY ALL)
+                 GROUP BY i, c), z WHERE i < 300)
+    SELECT event_id, CASE WHEN value IS NOT NULL THEN {_code_sql("value", ">=")} END AS value_bin
+    FROM events, (SELECT c FROM it ORDER BY i DESC LIMIT 1)""")
 def q_bin_kmeans(spark, d):
     return _bins(spark, d, "kmeans")
 

@@ -40,7 +40,7 @@ def bucketize(df: DataFrame, order: list[str], n_buckets: int | None = None, tot
     return table.withColumn(BUCKET, F.shiftright(PLACE, 33).cast("int")).withColumn(PLACE, F.col(PLACE).bitwiseAND(_LOW))
 
 
-def _offsets(b: DataFrame) -> DataFrame:
+def offsets(b: DataFrame) -> DataFrame:
     """Rows before every bucket: one int and one long per bucket, so broadcast."""
     counts = b.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +78,7 @@ def with_row_number(df: DataFrame, order: list[str], name: str = "_rn", n_bucket
                     total: int | None = None) -> DataFrame:
     """Global 1-based row number along ``order``: offset of the bucket + place inside it."""
     b = bucketize(df, order, n_buckets, total)
-    out = b.join(_offsets(b), BUCKET).withColumn(name, F.col("_off") + F.col(PLACE) + 1)
+    out = b.join(offsets(b), BUCKET).withColumn(name, F.col("_off") + F.col(PLACE) + 1)
     return out.select(*[_c(c) for c in df.columns], name)
 
 
@@ -86,7 +86,7 @@ def interpolate(df: DataFrame, cols: list[str], order: list[str], n_buckets: int
     """Linear interpolation by row position; leading nulls stay, trailing
     nulls take the last value."""
     b = bucketize(df, order, n_buckets)
-    b = b.join(_offsets(b), BUCKET).withColumn("_pos", F.col("_off") + F.col(PLACE)).drop("_off")
+    b = b.join(offsets(b), BUCKET).withColumn("_pos", F.col("_off") + F.col(PLACE)).drop("_off")
     b = b.withColumns({f"_o{i}": F.when(_c(c).isNotNull(), F.struct(F.col("_pos").alias("p"), _c(c).cast("double").alias("v")))
                        for i, c in enumerate(cols)})
     seen = {i: F.when(F.col(f"_o{i}").isNotNull(), F.col(PLACE)) for i in range(len(cols))}

@@ -166,3 +166,51 @@ def test_forest_draws_exact_samples_and_scores_once(spark, tmp_path):
     assert "ArrowEvalPython" in again._jdf.queryExecution().executedPlan().toString()
     flags = lambda d: sorted((r["k"], *[v for c, v in r.asDict().items() if c.endswith("outlier")]) for r in d.collect())     # noqa: E731
     assert flags(out) == flags(again) and out.columns == again.columns
+
+
+@pytest.mark.parametrize("kind", ["box_cox", "yeo_johnson"])
+def test_lambda_matches_a_fine_search(spark, kind):
+    """All kinds of columns at once: no neighbour is likelier."""
+    from prepwise.operators.features import search_lambda
+    rng = np.random.default_rng(8)
+    data = {"log": rng.lognormal(size=1500), "half": (rng.normal(5, 1, 1500) ** 2), "tall": 1e6 + rng.gamma(2, 1e5, 1500), "tiny": rng.lognormal(size=1500) * 1e-8,
+            "flat": np.full(1500, 3.0)}
+    if kind == "yeo_johnson":
+        data["both"] = rng.normal(size=1500) ** 3
+    df = spark.createDataFrame(list(zip(*[map(float, v) for v in data.values()])), ", ".join(f"`{c}` double" for c in data))
+    got = search_lambda(df, list(data), kind, {})
+
+    def llf(x, p):                                      # one-sided values scaled by their mean logarithm: the same optimum without cancellation
+        g, l = (np.ones(len(x)), np.log(x)) if kind == "box_cox" else (np.where(x >= 0, 1, -1), np.log1p(np.abs(x)))
+        l = l - (l.mean() if (g > 0).all() else 0)
+        q = np.where(g > 0, p, 2 - p)
+        return (p - 1) * (g * l).sum() - len(x) / 2 * np.log((g * np.expm1(q * l) / q).var())
+
+    for c, x in data.items():
+        if c == "flat":
+            assert got[c] == 1.0
+            continue
+        if (kind, c) == ("yeo_johnson", "tiny"):         # 1 + x is 1 to nine places: the optimum lies beyond any useful exponent
+            assert got[c] is None
+            continue
+        assert all(llf(x, got[c]) >= llf(x, got[c] + d) - 1e-9 for d in (-1e-3, 1e-3, -0.1, 0.1)), c
+
+
+def test_kmeans_by_prefix_sums_equals_plain_iterations(spark, monkeypatch):
+    from prepwise.operators import features
+    monkeypatch.setattr(features, "CELLS", 7)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(0, 1, 700), rng.normal(9, 2, 200), np.full(100, 4.25)])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(4)
+    m = {"min": float(x.min()), "max": float(x.max()), "mean": float(x.mean())}
+    edges, settled = features.kmeans_edges(df, "v", 4, m, "mean", 300)
+    c = np.linspace(x.min(), x.max(), 5)
+    c = (c[1:] + c[:-1]) / 2
+    while True:
+        code = np.searchsorted((c[1:] + c[:-1]) / 2, x, side="left")
+        new = np.array([x[code == k].mean() for k in range(4)])
+        done = ((new - c) ** 2).sum() <= 1e-4 * x.var()
+        c = new
+        if done:
+            break
+    assert settled and edges == pytest.approx(list((c[1:] + c[:-1]) / 2), rel=1e-9)
