@@ -1045,7 +1045,10 @@ def q_step_snapshots(spark, d):
 
 
 # ============================================================ the whole default run
-@register("clean_events")
+@register("clean_events", """WITH e AS (SELECT * REPLACE (round_even(value * 100, 0) / 100 AS value) FROM events),
+    q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM e)
+    SELECT event_id, strftime(ts, '%Y-%m-%d') AS ts, user_id, event_type, value, props,
+           value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1) AS value_outlier FROM e, q""")
 def q_clean_events(spark, d):
     from prepwise.plans.chain import CleaningPipeline
     from prepwise.sources.readers import prepare
@@ -1054,4 +1057,36 @@ def q_clean_events(spark, d):
     return nodrop(fp.result)
 
 
+# events in a bad state: odd names, padded and full-width text, units, percentages, gaps, a constant, doubled rows
+DIRTY_EVENTS_SQL = """(SELECT event_id, ts, event_type AS kind, CAST(CAST(trunc(abs(value)) AS BIGINT) % 50 AS DOUBLE) AS weight, (event_id % 90 + 5) / 100.0 AS share,
+    CASE WHEN event_id % 11 > 0 THEN value END AS value FROM events WHERE event_id % 97 > 0)"""
+
+
+def _dirty_events(spark, d):
+    e = table(spark, d, "events")
+    k = F.col("event_id")
+    e = e.select(k.alias("event  id"), F.date_format("ts", "yyyy/MM/dd HH:mm").alias("ts"),
+                 F.concat(F.lit("\u3000 "), F.regexp_replace("event_type", "i", "\uff49"), F.lit(" ")).alias(" kind"),
+                 F.concat((F.abs("value").cast("long") % 50).cast("string"), F.when(k % 3 == 0, " kg").otherwise("kg")).alias("weight"),
+                 F.concat((k % 90 + 5).cast("string"), F.lit("%")).alias("share"), F.when(k % 11 > 0, F.col("value")).alias("value"), F.lit("same").alias("const"))
+    return e.unionByName(e.where("`event  id` % 97 = 0"))
+
+
+def _fence_sql(c):
+    return f"coalesce({c} < q_{c}[1] - 1.5 * (q_{c}[2] - q_{c}[1]) OR {c} > q_{c}[2] + 1.5 * (q_{c}[2] - q_{c}[1]), false)"
+
+
+@register("clean_dirty_events", f"""SELECT event_id, strftime(ts, '%Y-%m-%d') AS ts, kind, weight AS "weight(kg)", round(share, 2) AS share,
+    round(coalesce(value, mid), 6) AS value, {_fence_sql("weight")} AS "weight(kg)_outlier", {_fence_sql("share")} AS share_outlier, {_fence_sql("value")} AS value_outlier
+    FROM {DIRTY_EVENTS_SQL}, (SELECT quantile_cont(weight, [0.25, 0.75]) AS q_weight, quantile_cont(share, [0.25, 0.75]) AS q_share,
+        quantile_cont(value, [0.25, 0.75]) AS q_value, quantile_cont(value, 0.5) AS mid FROM {DIRTY_EVENTS_SQL})""")
+def q_clean_dirty_events(spark, d):
+    """The whole default run where nearly every step has work."""
+    from prepwise.plans.chain import CleaningPipeline
+    from prepwise.sources.readers import prepare
+    e, ctx = prepare(_dirty_events(spark, d))
+    out = nodrop(CleaningPipeline(step_configs={"datetime_standardizer": {"current_year": 2024}}).fit(e, ctx).result)
+    return out.withColumns({"share": F.round("share", 2), "value": r6(F.col("value"))})
+
+
 from prepwise.plans import catalog_runs  # noqa: E402,F401 — registers its queries here
