@@ -4,13 +4,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from prepwise.context import BEFORE, ROW_ID, Role
 from prepwise.functions import text as tx
 from prepwise.functions import vocab
 from prepwise.operators.base import Step
-from prepwise.plans import ordered, shared
+from prepwise.plans import shared
 from prepwise.plans.hot import lookup
 from prepwise.plans.stats import col, distinct_and_top
 
@@ -89,21 +89,18 @@ def duplicate_digests(df: DataFrame, keys: list[str]) -> DataFrame:
     return _digested(df, keys).groupBy(*_DIGEST).agg(*aggs).where(F.col("__n") > 1)
 
 
-def _collide(df: DataFrame, keys: list[str], digests: DataFrame) -> bool:
-    """Whether a shared digest stands for different keys: the byte check, on rows with shared digests only;
-    partial aggregation leaves one row per key and task."""
-    rows = lookup(_digested(df, keys), digests, _DIGEST, ["__n"], "__n").where(F.col("__n").isNotNull())
-    distinct = rows.groupBy(*_DIGEST, *[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__m"))
-    return not distinct.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").isEmpty()
+def _suspects(df: DataFrame, keys: list[str], digests: DataFrame, total: int) -> DataFrame:
+    """The rows whose digest others share."""
+    return lookup(_digested(df, keys), digests, _DIGEST, ["__n"], "__n", total=total).where(F.col("__n").isNotNull())
 
 
-def _ranked_digests(df: DataFrame, keys: list[str], digests: DataFrame, order: list[str]) -> DataFrame:
-    """The digests with the row ids of their first and last rows along ``order``; only rows with shared digests are ranked."""
-    rows = lookup(_digested(df, keys), digests, _DIGEST, ["__n"], "__n").where(F.col("__n").isNotNull())
-    ranked = ordered.with_row_number(rows.select(*_DIGEST, *[col(o) for o in dict.fromkeys([*order, ROW_ID])]), order, "__rn")
-    ends = ranked.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__n"), F.min("__rn").alias("__first"), F.max("__rn").alias("__last"))
-    ids = lambda at, name: ranked.select(F.col("__rn").alias(at), F.col(ROW_ID).alias(name))     # noqa: E731
-    return ends.join(ids("__first", "__lo"), "__first").join(ids("__last", "__hi"), "__last").select(*_DIGEST, "__n", "__lo", "__hi")
+def _per_digest(rows: DataFrame, keys: list[str], end: Column | None = None, pick=F.min) -> DataFrame:
+    """``(digest, kinds, n, end)``: how many different keys a digest stands for (the byte check), its rows and
+    the least (or greatest) ``end``; partial aggregation leaves one row per key and task."""
+    ends = [pick(end).alias("__end")] if end is not None else []
+    per_key = rows.groupBy(*_DIGEST, *[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__m"), *ends)
+    again = [pick("__end").alias("__end")] if end is not None else []
+    return per_key.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__kinds"), F.sum("__m").alias("__n"), *again)
 
 
 def _hashable(df: DataFrame, keys: list[str]) -> bool:
@@ -117,7 +114,7 @@ class DuplicateHandler(Step):
     longs per key).  Only digests that several rows share matter further: they are checked byte by byte,
     looked up per row (hot ones through a broadcast of bounded size, so a key holding a third of the
     table is no task's burden), and the row id decides.  Rows are not shuffled where few digests are
-    shared.  Another order than the row id ranks those rows first.  Colliding digests or keys that cannot
+    shared.  Another order than the row id is compared on those rows only.  Colliding digests or keys that cannot
     be hashed take the plain aggregation on the key."""
     name = "duplicate_handler"
     heavy = True
@@ -152,14 +149,24 @@ class DuplicateHandler(Step):
 
     @staticmethod
     def _by_digest(df, keys, action, order):
+        names = [col(c) for c in df.columns]
         digests = shared.save(duplicate_digests(df, keys), "digests")
-        if _collide(df, keys, digests):
-            return None
-        if action.startswith("keep") and order != [ROW_ID]:
-            digests = shared.save(_ranked_digests(df, keys, digests, order), "digests")
+        total = digests.agg(F.sum("__n")).first()[0]
+        if total is None:                                        # no two rows share a digest
+            return df.select(*names, F.lit(False).alias("_is_duplicate")) if action == "mark" else df
+        rows = _suspects(df, keys, digests, total)
         value = {"mark": "__n", "remove": "__n", "keep_first": "__lo", "keep_last": "__hi"}[action]
-        rows = lookup(_digested(df, keys), digests, _DIGEST, [value], "__n")
-        names = [col(c) for c in df.columns]
+        if value != "__n" and order != [ROW_ID]:
+            # the first (last) row along another order: the end of its order columns, with the row id
+            ends = F.struct(*[col(o) for o in dict.fromkeys([*order, ROW_ID])])
+            ranked = _per_digest(rows, keys, ends, F.max if action == "keep_last" else F.min)
+            digests = shared.save(ranked.select(*_DIGEST, "__kinds", "__n", F.col("__end").getField(ROW_ID).alias(value)), "digests")
+            kinds = digests.agg(F.max("__kinds")).first()[0]
+        else:
+            kinds = _per_digest(rows, keys).agg(F.max("__kinds")).first()[0]
+        if kinds > 1:
+            return None
+        rows = lookup(_digested(df, keys), digests, _DIGEST, [value], "__n", total=total)
         if action == "mark":
             return rows.select(*names, F.col(value).isNotNull().alias("_is_duplicate"))
         kept = F.col(value).isNull()

@@ -14,15 +14,17 @@ def _spread(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in names])
 
 
-def lookup(df: DataFrame, table: DataFrame, keys: list[str], values: list[str], rows: str, spread: Column | None = None) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, keys: list[str], values: list[str], rows: str, spread: Column | None = None,
+           total: int | None = None) -> DataFrame:
     """``df`` with the ``values`` of ``table`` for its ``keys`` (null where there is none).
 
     ``table`` has one row per key (fixed-size columns) and counts in ``rows`` how many rows of ``df``
-    hold it.  Keys above a fixed part of an even partition are fewer than ``PARTS`` per partition,
+    hold it (``total`` together).  Keys above a fixed part of an even partition are fewer than ``PARTS`` per partition,
     whatever the data, and are broadcast; their rows take no part in the shuffle join that finds the
     others, where they are dealt out evenly.  So no task gets more of a key than that part."""
     parts = PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = table.agg(F.sum(rows)).first()[0] or 0
+    if total is None:
+        total = table.agg(F.sum(rows)).first()[0] or 0
     limit = max(1, total // parts)
     named = lambda tag: [F.col(f"`{v}`").alias(f"__{tag}{i}") for i, v in enumerate(values)]     # noqa: E731
     zero = F.least(F.col(rows), F.lit(0)).cast("long").alias("__none")                  # not a constant to the optimizer, so a key of the join

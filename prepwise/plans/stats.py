@@ -6,8 +6,9 @@ counting passes select among the values inside the brackets.  NaN is never a val
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Window, functions as F, types as T
 
 APPROX_ACCURACY = 1_000_000
 
@@ -252,10 +253,11 @@ def _narrow(df, xs, keys, wanted, inside, values, grid) -> None:
 
 
 def _counted(df, xs, wanted: dict) -> dict[tuple, float]:
-    """The value at every wanted rank: distinct values inside the brackets, and rows between brackets, are counted."""
+    """The value at every wanted rank, in one scan: distinct values inside the brackets are counted, and rows
+    below each bracket observed as they pass; only cells inside a bracket are shuffled."""
     if not wanted:
         return {}
-    cells, brackets = [], {}
+    cells, below, brackets = [], [], {}
     for i in {k[0] for k in wanted}:
         merged: list = []
         for lo, hi in sorted(b for k, b in wanted.items() if k[0] == i):
@@ -263,21 +265,20 @@ def _counted(df, xs, wanted: dict) -> dict[tuple, float]:
                 merged[-1][1] = max(merged[-1][1], hi)
             else:
                 merged.append([lo, hi])
-        brackets[i] = merged
-        x = xs[i]
-        part, value = F.lit(2 * len(merged)), F.lit(None).cast("double")
-        for j in range(len(merged) - 1, -1, -1):
-            lo, hi = merged[j]
-            part = F.when(x < lo, 2 * j).when(x <= hi, 2 * j + 1).otherwise(part)
-            value = F.when((x >= lo) & (x <= hi), x).otherwise(value)
-        cells.append(F.struct(F.lit(i).alias("c"), F.when(x.isNotNull(), part).alias("part"), value.alias("v")))
-    long = df.select(F.explode(F.array(*cells)).alias("k")).select("k.*").where("part IS NOT NULL")
-    rows = long.groupBy("c", "part", "v").agg(F.count(F.lit(1)).alias("n")).collect()
+        brackets[i], x = merged, xs[i]
+        inside = reduce(lambda a, b: a | b, [x.between(F.lit(lo), F.lit(hi)) for lo, hi in merged])
+        cells.append(F.when(inside, F.struct(F.lit(i).alias("c"), x.alias("v"))))
+        below += [F.count_if(x < F.lit(lo)).alias(f"b{i}_{j}") for j, (lo, _) in enumerate(merged)]
+    seen = Observation()
+    long = df.observe(seen, *below).select(F.explode(F.array_compact(F.array(*cells))).alias("k")).select("k.c", "k.v")
+    rows = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).collect()
     found = {}
-    for i in brackets:
-        mine = sorted((r["part"], r["v"] if r["v"] is not None else 0.0, r["n"]) for r in rows if r["c"] == i)
-        ranks, at = sorted(k[1] for k in wanted if k[0] == i), 0
-        for _, v, n in mine:
+    for i, merged in brackets.items():
+        mine = sorted((r["v"], r["n"]) for r in rows if r["c"] == i)
+        ranks, at, j = sorted(k[1] for k in wanted if k[0] == i), 0, -1
+        for v, n in mine:
+            while j + 1 < len(merged) and v >= merged[j + 1][0]:
+                j, at = j + 1, seen.get[f"b{i}_{j + 1}"]
             while ranks and ranks[0] < at + n:
                 found[i, ranks.pop(0)] = v
             at += n
