@@ -35,7 +35,7 @@ GENERAL_SHAPES = [
     ("([0-9]{1,2})" + ORD + WS + "+(" + MONTH + ")$", 0, 2, 1, 0),
 ]
 CTIME = "(" + MONTH + ")" + WS + "+([0-9]{1,2})" + WS + "+" + TIME + WS + "+([0-9]{4})$"
-LONGEST_DATE = 64          # no spelling is longer; prose is not matched against the shapes
+LONGEST_DATE = 256         # blank runs collapsed, only a fraction of second of some 200 digits is longer; prose is not matched against the shapes
 
 # Candidate single formats for role detection (one hit rate each).
 DETECT_FORMATS = [
@@ -130,6 +130,7 @@ def _stamp(s: Column, pattern: str, y: int, m: int, d: int, h: int, current_year
 def try_parse(c: Column, current_year: int) -> Column:
     """The first general spelling that fits; parts that are missing are those of January 1 of the
     current year; month first where a date of numbers can be read both ways."""
+    c = F.when(F.length(c) <= LONGEST_DATE, c).otherwise(F.regexp_replace(c, WS + "{2,}", " "))
     shapes = [("(?i)^" + WEEKDAY + p, *rest) for p, *rest in GENERAL_SHAPES]
     shapes.append(("(?i)^" + WEEKDAY + CTIME, 8, 1, 2, 3))
     out = F.when(F.lit(False), F.lit(None).cast("timestamp"))

@@ -214,3 +214,9 @@ def test_kmeans_by_prefix_sums_equals_plain_iterations(spark, monkeypatch):
         if done:
             break
     assert settled and edges == pytest.approx(list((c[1:] + c[:-1]) / 2), rel=1e-9)
+
+
+def test_long_blank_runs_inside_a_date(spark):
+    df = spark.createDataFrame([("March" + " " * 300 + "5,  2021",), ("x" * 400,), ("2021-03-05" + " " * 500,)], "t string")
+    got = [r[0] for r in df.select(dates.parse_date_text(F.col("t"), 2024).cast("date").cast("string")).collect()]
+    assert got == ["2021-03-05", None, "2021-03-05"]
