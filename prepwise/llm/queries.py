@@ -123,15 +123,20 @@ SELECT page_id, host, path, rule,
                  ELSE CASE WHEN strict_hits >= 1 OR soft_hits >= 2 THEN 'block' ELSE 'allow' END END AS verdict,
        strict_hits, soft_hits FROM h""",
     "op6_warc_audit": r"""
-WITH r AS (SELECT page_id, coalesce(html, '') AS body, page_id // 4096 AS archive,
-                  'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
-                  || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
-                  || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages),
-     o AS (SELECT *, strlen(record)::BIGINT AS length, sha256(record) AS digest FROM r)
-SELECT page_id, archive, row_number() OVER w AS ordinal, (sum(length) OVER w - length)::BIGINT AS start, length, digest,
-       CASE page_id % 97 WHEN 7 THEN 'missing' WHEN 3 THEN CASE WHEN body[1] = '~' THEN 'ok' WHEN body = '' THEN 'resized' ELSE 'altered' END
-            WHEN 5 THEN CASE WHEN body = '' THEN 'ok' ELSE 'resized' END ELSE 'ok' END AS status
-FROM o WINDOW w AS (PARTITION BY archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING)""",
+WITH r AS (SELECT page_id, page_id // 4096 AS archive, coalesce(url, '') AS url, coalesce(html, '') AS body FROM pages),
+     d AS (SELECT page_id, archive, url, CASE page_id % 97 WHEN 3 THEN '~' || substr(body, 2) WHEN 5 THEN left(body, greatest(length(body) - 1, 0)) ELSE body END AS body
+           FROM r WHERE page_id % 97 <> 7),
+     both_ AS (SELECT 1 AS side, * FROM r UNION ALL SELECT 2, * FROM d),
+     w AS (SELECT side, page_id, archive, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+                  || chr(13) || chr(10) || 'Content-Length: ' || strlen(body) || chr(13) || chr(10) || chr(13) || chr(10)
+                  || body || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM both_),
+     h AS (SELECT side, page_id, archive, strlen(record)::BIGINT AS length, sha256(record) AS digest FROM w),
+     o AS (SELECT *, row_number() OVER v AS ordinal, (sum(length) OVER v - length)::BIGINT AS start
+           FROM h WINDOW v AS (PARTITION BY side, archive ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING))
+SELECT a.page_id, a.archive, a.ordinal, a.start, a.length, a.digest,
+       CASE WHEN b.page_id IS NULL THEN 'missing' WHEN a.length <> b.length THEN 'resized' WHEN a.digest <> b.digest THEN 'altered'
+            WHEN a.start <> b.start OR a.ordinal <> b.ordinal THEN 'moved' ELSE 'ok' END AS status
+FROM o a LEFT JOIN o b ON b.side = 2 AND b.page_id = a.page_id WHERE a.side = 1""",
     "op9_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),

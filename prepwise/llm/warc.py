@@ -2,13 +2,15 @@
 
 Pages become WARC records in archives; a record's place is its byte range in the archive.
 Leaves are ranges of ``RANGE_BYTES`` of offsets: a leaf hashes the ordered ``(ordinal, offset,
-length, digest)`` of the records that start in it, an inner node the ordered hashes of
-``FAN`` children, up to one root per archive.  Two replicas are compared root by root, and only
-below nodes that differ are the next level's nodes, and at last the records, compared.
+page id, length, digest)`` of the records that start in it, an inner node the ordered hashes of
+``FAN`` children, up to one root per archive.  Every replica's tree is built of its own places.
+Two replicas are compared root by root, and only below nodes that differ are the next level's
+nodes, and at last the records, compared.  There records are matched by page id; one with the same
+bytes at another place is ``moved``, as all are that follow a lost, longer or extra record.
 
 Defined results: null url or html counts as empty; null page ids go to archives of their own
-(dealt by content); repeated rows are records of their own, told apart by their ordinal;
-a record that only one side has is ``missing`` or ``extra``; empty tables give an empty result."""
+(dealt by content); repeated rows are records of their own, the k-th of a page matched with the k-th;
+a record that only one side has is ``missing`` or ``extra`` (with the replica's place); empty tables give an empty result."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,7 +37,8 @@ def archive_of(page_id: Column, record: Column) -> Column:
 
 
 def manifest(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(archive, ordinal, page_id, offset, length, digest)``: the records of the archives in order.
+    """``(archive, ordinal, page_id, tie, offset, length, digest)``: the records of the archives in order; ``tie``
+    counts the records of one page.
 
     Only lengths and digests are ordered, never record bodies; an archive holds
     ``ARCHIVE_RECORDS`` ids."""
@@ -45,13 +48,14 @@ def manifest(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
         F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
     order = Window.partitionBy("archive").orderBy("page_id", "digest")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.select("archive", F.row_number().over(order).cast("long").alias("ordinal"), "page_id",
+    same = Window.partitionBy("archive", "page_id").orderBy("digest")
+    return rows.select("archive", F.row_number().over(order).cast("long").alias("ordinal"), "page_id", F.row_number().over(same).alias("tie"),
                        F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "digest")
 
 
 def range_nodes(records: DataFrame) -> DataFrame:
-    """Leaves ``(archive, node, hash)`` of records ``(archive, ordinal, offset, length, digest)``."""
-    part = F.concat_ws(":", "ordinal", "offset", "length", "digest")
+    """Leaves ``(archive, node, hash)`` of records of a manifest."""
+    part = F.concat_ws(":", "ordinal", "offset", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "length", "digest")
     rows = records.select("archive", F.floor(F.col("offset") / RANGE_BYTES).alias("node"), F.struct("ordinal", part.alias("part")).alias("row"))
     return _hashed(rows)
 
@@ -76,13 +80,8 @@ def tree(scratch: Scratch, records: DataFrame, height: int) -> list[DataFrame]:
     return levels
 
 
-def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
-    """``(archive, ordinal, status)`` of the records that differ.
-
-    Both sides are ``(archive, ordinal, offset, length, digest)``, the replica's records under the
-    places that the primary's manifest gives them."""
-    scratch = Scratch(primary.sparkSession, "fixity")
-    a, b = scratch.save(primary), scratch.save(replica)
+def differing_ranges(scratch: Scratch, a: DataFrame, b: DataFrame) -> DataFrame:
+    """``(archive, node)`` of the leaves that differ, found from the roots down."""
     end = max([0, *(r[0] or 0 for r in (x.agg(F.max("offset")).first() for x in (a, b)))])
     height, ranges = 0, end // RANGE_BYTES + 1
     while ranges > 1:
@@ -96,13 +95,25 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
             x, y = (t.withColumn("up", F.floor(F.col("node") / FAN)).join(up, ["archive", "up"], "left_semi").drop("up") for t in (x, y))
         both = x.join(y.withColumnRenamed("hash", "other"), ["archive", "node"], "full_outer")
         bad = scratch.save(both.where("not (hash <=> other)").select("archive", "node"))
-    in_range = [t.withColumn("node", F.floor(F.col("offset") / RANGE_BYTES)).join(bad, ["archive", "node"], "left_semi").drop("node") for t in (a, b)]
-    x, y = in_range[0].select("archive", "ordinal", "offset", "length", "digest"), in_range[1].select(
-        "archive", "ordinal", F.col("length").alias("other_length"), F.col("digest").alias("other"))
-    both = x.join(y, ["archive", "ordinal"], "full_outer")
-    status = F.when(F.col("other").isNull(), "missing").when(F.col("digest").isNull(), "extra").when(
-        F.col("length") != F.col("other_length"), "resized").when(F.col("digest") != F.col("other"), "altered")
-    return both.withColumn("status", status).where("status is not null").select("archive", "ordinal", "status")
+    return bad
+
+
+def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
+    """The records of two manifests that differ: ``(archive, ordinal, page_id, offset, length, digest, status)``
+    with the primary's place and digest, of ``extra`` records the replica's."""
+    scratch = Scratch(primary.sparkSession, "fixity")
+    a, b = scratch.save(primary), scratch.save(replica)
+    bad = differing_ranges(scratch, a, b)
+    x, y = (t.withColumn("node", F.floor(F.col("offset") / RANGE_BYTES)).join(bad, ["archive", "node"], "left_semi").select(
+        "archive", "page_id", "tie", F.struct("ordinal", "offset", "length", "digest").alias(name)) for t, name in ((a, "own"), (b, "other")))
+    y = y.select(*[F.col(c).alias(f"y_{c}") for c in ("archive", "page_id", "tie")], "other")
+    same = (F.col("archive") == F.col("y_archive")) & F.col("page_id").eqNullSafe(F.col("y_page_id")) & (F.col("tie") == F.col("y_tie"))
+    status = F.when(F.col("other").isNull(), "missing").when(F.col("own").isNull(), "extra").when(
+        F.col("own.length") != F.col("other.length"), "resized").when(F.col("own.digest") != F.col("other.digest"), "altered").when(
+        (F.col("own.offset") != F.col("other.offset")) | (F.col("own.ordinal") != F.col("other.ordinal")), "moved")
+    both = x.join(y, same, "full_outer").withColumn("status", status).where("status is not null").withColumn("at", F.coalesce("own", "other"))
+    return both.select(F.coalesce("archive", "y_archive").alias("archive"), "at.ordinal", F.when(F.col("own").isNull(), F.col("y_page_id")).otherwise(F.col("page_id")).alias("page_id"),
+                       "at.offset", "at.length", "at.digest", "status")
 
 
 def damaged_copy(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", every: int = 97) -> DataFrame:
@@ -115,16 +126,10 @@ def damaged_copy(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
 
 def audit_pages(pages: DataFrame, replica: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """``(page_id, archive, ordinal, start, length, digest, status)`` per record of ``pages``."""
+    """``(page_id, archive, ordinal, start, length, digest, status)`` per record of ``pages`` and per extra record of ``replica``."""
     scratch = Scratch(pages.sparkSession, "archives")
     first = scratch.save(manifest(pages, id_col))
-    # the replica's records take the places that the manifest gives to their ids
-    order = Window.partitionBy("archive", "page_id").orderBy("ordinal")
-    place = first.select("archive", "page_id", "ordinal", "offset", F.row_number().over(order).alias("tie"))
-    second = manifest(replica, id_col).withColumn("tie", F.row_number().over(order)).select("archive", "page_id", "tie", "length", "digest", F.col("ordinal").alias("own"))
-    placed = second.join(place.withColumnRenamed("page_id", "id"), (second.archive == place.archive) & F.col("page_id").eqNullSafe(F.col("id")) & (
-        second.tie == place.tie), "left").select(
-        second.archive, F.coalesce("ordinal", -F.col("own")).alias("ordinal"), F.coalesce("offset", F.lit(0).cast("long")).alias("offset"), "length", "digest")
-    found = audit(first.select("archive", "ordinal", "offset", "length", "digest"), placed)
-    return first.join(found, ["archive", "ordinal"], "left").select(
-        "page_id", "archive", "ordinal", F.col("offset").alias("start"), "length", "digest", F.coalesce("status", F.lit("ok")).alias("status"))
+    found = scratch.save(audit(first, manifest(replica, id_col)))
+    known = first.join(found.where("status <> 'extra'").select("archive", "ordinal", "status"), ["archive", "ordinal"], "left")
+    rows = known.withColumn("status", F.coalesce("status", F.lit("ok"))).unionByName(found.where("status = 'extra'"), allowMissingColumns=True)
+    return rows.select("page_id", "archive", "ordinal", F.col("offset").alias("start"), "length", "digest", "status")

@@ -28,13 +28,38 @@ def test_equal_replicas_have_equal_roots(spark):
 
 
 def test_damage_is_located(spark):
+    """Lost, resized, altered and extra records by name; what follows a change of length has moved, what precedes it has not."""
     df, rows = pages(spark, 6000)
     hurt = df.where("page_id not in (17, 4999)").withColumn("html", F.when(F.col("page_id") == 100, F.lit("")).when(
-        F.col("page_id").isin(250, 5000), F.concat(F.lit("!"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+        F.col("page_id").isin(5, 250, 5000), F.concat(F.lit("!"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
     hurt = hurt.union(df.limit(1).select(F.lit(5_000_000).cast("long"), "url", "html"))
     got = {r["page_id"]: r["status"] for r in warc.audit_pages(df, hurt).collect()}
-    assert len(got) == len(rows)
-    assert {i: s for i, s in got.items() if s != "ok"} == {17: "missing", 4999: "missing", 100: "resized", 250: "altered", 5000: "altered"}
+    named = {17: "missing", 4999: "missing", 100: "resized", 5: "altered", 250: "altered", 5000: "altered", 5_000_000: "extra"}
+    moved = {i: "moved" for i in range(6000) if 17 < i < 4096 or i > 4999}
+    assert {i: s for i, s in got.items() if s != "ok"} == moved | named
+    assert len(got) == len(rows) + 1
+
+
+def test_equal_archives_read_no_record(spark):
+    """Only ranges of the archive with the damage come down to records, and only from the damage on."""
+    from prepwise.llm.common import Scratch
+    df, _ = pages(spark, 9000)
+    a, b = warc.manifest(df), warc.manifest(df.where("page_id <> 6000"))
+    bad = warc.differing_ranges(Scratch(spark, "test"), a, b)
+    place = a.where("page_id = 6000").first()
+    got = [(r["archive"], r["node"]) for r in bad.collect()]
+    assert {x for x, _ in got} == {1} and min(n for _, n in got) == place["offset"] // warc.RANGE_BYTES
+    same = warc.differing_ranges(Scratch(spark, "test"), a, warc.manifest(df.repartition(3)))
+    assert same.count() == 0
+
+
+def test_repeated_pages_and_extra_copies(spark):
+    rows = [(1, "u", "a"), *[(2, "u", "b")] * 500, (3, "u", "c")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    fewer = spark.createDataFrame(rows[:1] + rows[3:], SCHEMA)
+    count = lambda x: {r["status"]: r["count"] for r in x.groupBy("status").count().collect()}      # noqa: E731
+    assert count(warc.audit_pages(df, fewer)) == {"ok": 499, "missing": 2, "moved": 1}
+    assert count(warc.audit_pages(fewer, df)) == {"ok": 499, "extra": 2, "moved": 1}
 
 
 def test_extra_records_are_named(spark):
