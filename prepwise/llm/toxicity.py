@@ -4,8 +4,8 @@ Features are the distinct n-grams (``ORDERS`` code points, lower-cased, white sp
 one blank, a blank at both ends), hashed to ``2**BITS`` slots.  The ratio of slot ``j`` is
 ``log((p_j + A) / |p|) - log((q_j + A) / |q|)`` with ``p`` and ``q`` the numbers of toxic and
 other training documents that hold it; these counts cover every training document.  A logistic
-regression on the ratios of a document's slots (L2, classes weighted alike) is fitted on at
-most ``FIT_ROWS`` training documents of each class, chosen by a hash of their id; that
+regression on the ratios of a document's slots (L2, classes weighted alike) is fitted on
+about ``FIT_ROWS`` training documents of each class, chosen by a hash of their id; that
 bound is the only sample.  One task fits it; the driver gets the weights (``2**BITS`` at most).
 
 Defined results: null text counts as empty (scored by the intercept); a null id counts as
