@@ -11,6 +11,7 @@ from prepwise.functions import text as tx
 from prepwise.functions import vocab
 from prepwise.operators.base import Step
 from prepwise.plans.stats import col
+from prepwise.session import bound_batches
 
 
 class EncodingNormalizer(Step):
@@ -50,6 +51,8 @@ class EncodingNormalizer(Step):
         return c
 
     def _exprs(self, df, ctx, state):
+        if self.heavy:
+            bound_batches(df.sparkSession)
         return {c: self.expr(col(c)) for c in ctx.strings(df)}
 
 
@@ -103,6 +106,8 @@ class TextStandardizer(Step):
         return c
 
     def _exprs(self, df, ctx, state):
+        if self.heavy:
+            bound_batches(df.sparkSession)
         return {c: self.expr(col(c)) for c in ctx.text(df)}
 
 

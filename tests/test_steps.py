@@ -156,3 +156,30 @@ def test_edge_sizes(frame, rows):
         out.collect()
     p = profile(df)
     assert p.count() == 2
+
+
+def test_long_texts_go_to_python_in_small_batches(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from prepwise.context import Context, Role
+    from prepwise.operators.text_steps import EncodingNormalizer, TextStandardizer
+    from prepwise.session import BATCH_BYTES, bound_batches
+
+    @F.pandas_udf("long")
+    def batch(s: pd.Series) -> pd.Series:
+        return pd.Series([int(s.str.len().sum())] * len(s))
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(3000, numPartitions=1).select("id", F.repeat(F.lit("é b'c "), 1000).alias("text"))
+    try:
+        for step in (TextStandardizer(remove_accents=False, case="title"), EncodingNormalizer()):
+            spark.conf.unset(key)
+            out = step.fit_transform(texts, Context.from_schema(texts).with_(roles={"text": Role.TEXT}))[0]
+            assert out.select(F.max(batch("text"))).first()[0] < 2 * BATCH_BYTES
+            assert out.select("text").distinct().count() == 1
+        spark.conf.set(key, "1000")
+        bound_batches(spark)
+        assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.unset(key)
