@@ -112,38 +112,42 @@ def _samples(rows, key, x, n: int, n_trees: int, psi: int, seed: int):
 
 
 def _stack(trees: list) -> dict:
-    """Pad the trees into (trees × nodes) arrays for vectorised traversal."""
+    """Pad the trees into (trees × nodes) arrays for vectorised traversal; ``step`` holds the left and
+    right child of node ``i`` at ``2 i`` and ``2 i + 1``, a leaf being its own left child on any value."""
     width = max(len(t) for t in trees)
     T = len(trees)
-    feat = np.full((T, width), -1, dtype=np.int64)
-    split = np.zeros((T, width))
-    left = np.zeros((T, width), dtype=np.int64)
-    right = np.zeros((T, width), dtype=np.int64)
-    leafc = np.zeros((T, width))
+    feat = np.zeros((T, width), dtype=np.intp)
+    split = np.full((T, width), np.nan)                  # no value is below or above: a leaf stays
+    step = np.zeros((T, 2 * width), dtype=np.intp)
+    length = np.zeros((T, width))                        # of the path that ends in a leaf
+    depths = np.zeros(T, dtype=np.int64)
     for i, t in enumerate(trees):
-        for j, (f, sp, l, r, size) in enumerate(t):
-            feat[i, j], split[i, j], left[i, j], right[i, j] = f, sp, max(l, 0), max(r, 0)
-            leafc[i, j] = _c(int(size))
-    return {"feat": feat, "split": split, "left": left, "right": right, "leafc": leafc}
+        todo = [(0, 0)]
+        while todo:
+            j, depth = todo.pop()
+            f, sp, left, right, size = t[j]
+            if f < 0:
+                step[i, 2 * j], step[i, 2 * j + 1], length[i, j] = j, j, depth + _c(int(size))
+                depths[i] = max(depths[i], depth)
+                continue
+            feat[i, j], split[i, j], step[i, 2 * j], step[i, 2 * j + 1] = f, sp, left, right
+            todo += [(left, depth + 1), (right, depth + 1)]
+    return {"feat": feat, "split": split, "step": step, "length": length, "depths": depths}
 
 
 def mean_path_length(X: np.ndarray, arr: dict) -> np.ndarray:
-    """Average path length of every row over all trees at once."""
+    """Average path length of every row over all trees, a tree at a time: its nodes and the rows stay in the cache."""
     n, T = len(X), arr["feat"].shape[0]
-    tidx = np.broadcast_to(np.arange(T), (n, T))
-    node = np.zeros((n, T), dtype=np.int64)
-    depth = np.zeros((n, T))
-    f = arr["feat"][tidx, node]
-    active = f >= 0
-    while active.any():
-        xv = np.take_along_axis(X, np.where(active, f, 0), axis=1)
-        go_left = xv < arr["split"][tidx, node]
-        nxt = np.where(go_left, arr["left"][tidx, node], arr["right"][tidx, node])
-        node = np.where(active, nxt, node)
-        depth += active
-        f = arr["feat"][tidx, node]
-        active = f >= 0
-    return (depth + arr["leafc"][tidx, node]).mean(axis=1)
+    total = np.empty((T, n))
+    cells, first = np.ascontiguousarray(X, dtype=np.float64).ravel(), np.arange(n) * X.shape[1]
+    for i in range(T):
+        feat, split, step = arr["feat"][i], arr["split"][i], arr["step"][i]
+        node = np.zeros(n, dtype=np.intp)
+        for _ in range(arr["depths"][i]):
+            goes_right = ~(cells.take(first + feat.take(node)) < split.take(node))
+            node = step.take(2 * node + goes_right)
+        total[i] = arr["length"][i].take(node)
+    return np.ascontiguousarray(total.T).mean(axis=1)
 
 
 def score_column(forest: dict, cols):
@@ -151,16 +155,12 @@ def score_column(forest: dict, cols):
     norm = _c(psi)
 
     @F.pandas_udf(T.DoubleType())
-    def score(x: pd.Series) -> pd.Series:
-        if len(x) == 0:
-            return pd.Series([], dtype="float64")
-        X = np.vstack(x.to_numpy())
+    def score(x: pd.DataFrame) -> pd.Series:
         # sklearn's score_samples sign: higher = more normal
-        return pd.Series(-(2.0 ** (-mean_path_length(X, arr) / norm)))
+        return pd.Series(-(2.0 ** (-mean_path_length(x.to_numpy(dtype=np.float64), arr) / norm)))
 
-    arr_col = F.array(*[col(c).cast("double") for c in cols])
-    complete = _complete(cols)
-    return F.when(complete, score(F.when(complete, arr_col).otherwise(F.array_repeat(F.lit(0.0), len(cols)))))
+    cells = F.struct(*[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(cols)])
+    return F.when(_complete(cols), score(cells))
 
 
 def forest_flag(forest: dict, cols, score=None):
