@@ -109,8 +109,17 @@ def _year(c: Column, current_year: int) -> Column:
     return F.when(F.length(c) <= 2, near).otherwise(y)
 
 
+_GAP = "\x01"              # between the groups of a match: no shape takes it
+
+
 def _stamp(s: Column, pattern: str, y: int, m: int, d: int, h: int, current_year: int) -> Column:
-    g = lambda i: F.regexp_extract(s, pattern, i)
+    """The time that a matching cell names; the pattern runs once, for all its groups together."""
+    last = max(y, m, d, h + 4 if h else 0)
+    groups = F.split(F.regexp_replace(s, pattern, "".join(f"${i}{_GAP}" for i in range(1, last + 1))), _GAP)
+    return F.transform(F.array(groups), lambda found: _of_groups(lambda i: found[i - 1], pattern, y, m, d, h, current_year))[0]
+
+
+def _of_groups(g, pattern: str, y: int, m: int, d: int, h: int, current_year: int) -> Column:
     year = _year(g(y), current_year) if y else F.lit(current_year)
     month = _month(g(m))
     day = _number(g(d)) if d else F.lit(1)
@@ -143,10 +152,11 @@ def parse_date_text(c: Column, current_year: int, general: bool = True) -> Colum
     """T4–T9 on a string column: Chinese spellings (searched anywhere),
     compact digits, then the general format list."""
     s = F.trim(F.regexp_replace(c, "^" + WS + "+|" + WS + "+$", ""))
-    ymd = F.when(s.rlike(CN_YMD), _ymd(F.regexp_extract(s, CN_YMD, 1), F.regexp_extract(s, CN_YMD, 2),
+    cn = s.contains("月")      # in all Chinese spellings: the searches stay off other cells
+    ymd = F.when(cn & s.rlike(CN_YMD), _ymd(F.regexp_extract(s, CN_YMD, 1), F.regexp_extract(s, CN_YMD, 2),
                                           F.regexp_extract(s, CN_YMD, 3)))
-    ym = F.when(s.rlike(CN_YM), _ymd(F.regexp_extract(s, CN_YM, 1), F.regexp_extract(s, CN_YM, 2), F.lit("1")))
-    md = F.when(s.rlike(CN_MD), _ymd(F.lit(str(current_year)), F.regexp_extract(s, CN_MD, 1),
+    ym = F.when(cn & s.rlike(CN_YM), _ymd(F.regexp_extract(s, CN_YM, 1), F.regexp_extract(s, CN_YM, 2), F.lit("1")))
+    md = F.when(cn & s.rlike(CN_MD), _ymd(F.lit(str(current_year)), F.regexp_extract(s, CN_MD, 1),
                                      F.regexp_extract(s, CN_MD, 2)))
     compact8 = F.when(s.rlike("^[0-9]{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
     compact14 = F.when(s.rlike("^[0-9]{14}$"), F.try_to_timestamp(s, F.lit("yyyyMMddHHmmss")))
@@ -159,7 +169,7 @@ def parse_date_text(c: Column, current_year: int, general: bool = True) -> Colum
 def looks_like_date(c: Column, current_year: int) -> tuple[Column, Column]:
     """(Chinese-pattern hit count, any-parse hit) per cell, for content detection."""
     s = c.cast("string")
-    cn = (s.rlike(CN_YMD).cast("int") + s.rlike(CN_YM).cast("int") + s.rlike(CN_MD).cast("int"))
+    cn = F.when(s.contains("月"), s.rlike(CN_YMD).cast("int") + s.rlike(CN_YM).cast("int") + s.rlike(CN_MD).cast("int")).when(s.isNotNull(), 0)
     parsed = parse_date_text(s, current_year).isNotNull().cast("int")
     return cn, parsed
 

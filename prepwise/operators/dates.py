@@ -53,11 +53,16 @@ class DatetimeStandardizer(Step):
         targets = by_name + by_role + by_content
         if not targets:
             return {"columns": []}
-        r = df.agg(*[F.count(self._parse(df, c)).alias(f"p{i}") for i, c in enumerate(targets)],
-                   *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(targets)]).first()
+        # the search by content has parsed its columns, if in the same way
+        known = {c: (got[c]["ok"], 1) for c in by_content} if p.use_dateutil else {}
+        ask = [c for c in targets if c not in known]
+        if ask:
+            r = df.agg(*[F.count(self._parse(df, c)).alias(f"p{i}") for i, c in enumerate(ask)],
+                       *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(ask)]).first()
+            known |= {c: (r[f"p{i}"], r[f"n{i}"]) for i, c in enumerate(ask)}
         keep = []
-        for i, c in enumerate(targets):
-            parsed, nonnull = r[f"p{i}"], r[f"n{i}"]
+        for c in targets:
+            parsed, nonnull = known[c]
             if parsed == 0:                                               # T10
                 continue
             if c in by_name and c not in by_role and nonnull and parsed / nonnull < p.name_min_ratio \

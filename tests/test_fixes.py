@@ -220,3 +220,19 @@ def test_long_blank_runs_inside_a_date(spark):
     df = spark.createDataFrame([("March" + " " * 300 + "5,  2021",), ("x" * 400,), ("2021-03-05" + " " * 500,)], "t string")
     got = [r[0] for r in df.select(dates.parse_date_text(F.col("t"), 2024).cast("date").cast("string")).collect()]
     assert got == ["2021-03-05", None, "2021-03-05"]
+
+
+def test_columns_found_by_content_are_parsed_once_in_the_fit(spark, monkeypatch):
+    from prepwise.context import Context
+    from prepwise.functions import dates as dt
+    from prepwise.operators.dates import DatetimeStandardizer
+
+    asked, parse = [], DatetimeStandardizer._parse
+    monkeypatch.setattr(DatetimeStandardizer, "_parse", lambda self, df, c: asked.append(c) or parse(self, df, c))
+    df = spark.createDataFrame([("2024年3月5日", "3月 x", "2024/03/05"), ("Mar 5, 2024 7:08 PM", "no", None), (None, "月", "?")], "memo string, note string, day string")
+    fitted = DatetimeStandardizer(current_year=2024, detect_by_name=False).fit(df, Context.from_schema(df))
+    assert fitted.state == {"columns": ["memo", "day"]} and asked == []
+    stamps = df.select(dt.parse_date_text(df.memo, 2024).cast("string")).collect()
+    assert [r[0] for r in stamps] == ["2024-03-05 00:00:00", "2024-03-05 19:08:00", None]
+    plan = df.select(dt.try_parse(df.memo, 2024))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(" not in plan                       # groups are not matched one by one
