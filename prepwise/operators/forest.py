@@ -102,8 +102,10 @@ def _samples(rows, key, x, n: int, n_trees: int, psi: int, seed: int):
     want = psi + 6 * math.sqrt(psi) + 20
     while True:
         limit = F.lit(min(2 ** 63 - 1, -2 ** 63 + int(min(1.0, want / n) * 2 ** 64)))
-        draws = [F.when(h <= limit, F.struct(F.lit(t).alias("tree"), h.alias("h"))) for t in range(n_trees) for h in [F.xxhash64("h0", F.lit(t))]]
-        drawn = h0.select("x", F.explode(F.array_compact(F.array(*draws))).alias("d")).select("d.tree", "d.h", "x")
+        hashes = [F.xxhash64("h0", F.lit(t)) for t in range(n_trees)]
+        draws = F.array_compact(F.array(*[F.when(h <= limit, F.struct(F.lit(t).alias("tree"), h.alias("h"))) for t, h in enumerate(hashes)]))
+        any_tree = F.least(*hashes, hashes[0]) <= limit                # few rows: only they list their trees
+        drawn = h0.select("x", F.explode(F.when(any_tree, draws)).alias("d")).select("d.tree", "d.h", "x")
         place = F.row_number().over(Window.partitionBy("tree").orderBy("h", "x"))
         table = shared.save(drawn.withColumn("place", place).where(F.col("place") <= psi).drop("place"), "samples")
         if want >= n or table.count() == n_trees * psi:

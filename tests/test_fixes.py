@@ -236,3 +236,26 @@ def test_columns_found_by_content_are_parsed_once_in_the_fit(spark, monkeypatch)
     assert [r[0] for r in stamps] == ["2024-03-05 00:00:00", "2024-03-05 19:08:00", None]
     plan = df.select(dt.try_parse(df.memo, 2024))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract(" not in plan                       # groups are not matched one by one
+
+
+def test_tree_paths_are_walked_as_by_hand():
+    import numpy as np
+
+    from prepwise.operators import forest
+
+    rng = np.random.default_rng(3)
+    deep = [(0, 0.0, 1, 2, 9), (-1, 0.0, -1, -1, 3), (1, 0.5, 3, 4, 6), (-1, 0.0, -1, -1, 1), (0, 2.0, 5, 6, 5), (-1, 0.0, -1, -1, 2), (-1, 0.0, -1, -1, 3)]
+    trees = [deep, [(-1, 0.0, -1, -1, 4)], [(1, 0.0, 1, 2, 5), (-1, 0.0, -1, -1, 1), (-1, 0.0, -1, -1, 4)]]
+    X = rng.normal(size=(200, 2)).round(1) * 2
+    X[0, 0], X[1, 1], X[2, 0] = np.nan, np.inf, -np.inf
+
+    def path(tree, x):
+        j = depth = 0
+        while tree[j][0] >= 0:
+            j, depth = (tree[j][2] if x[tree[j][0]] < tree[j][1] else tree[j][3]), depth + 1
+        return depth + forest._c(tree[j][4])
+
+    arr = forest._stack(trees)
+    assert arr["depths"].tolist() == [3, 0, 1]                 # no tree is walked further than it reaches
+    want = np.array([[path(t, x) for t in trees] for x in X]).mean(axis=1)
+    assert (forest.mean_path_length(X, arr) == want).all()
