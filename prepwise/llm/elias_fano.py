@@ -3,6 +3,9 @@ from __future__ import annotations
 
 import numpy as np
 
+_FIVES, _THREES, _FIFTEENS, _EACH, _TOPS = (np.uint64(x * 0x0101010101010101) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
+#: Place of each set bit in each byte.
+_PLACES = np.array([([k for k in range(8) if byte >> k & 1] + [0] * 8)[:8] for byte in range(256)], np.int64).ravel()
 _ONE, _SIX, _MASK6 = np.uint64(1), np.uint64(6), np.uint64(63)
 
 
@@ -30,14 +33,14 @@ def _unpack(words: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
 
 def _select_in_word(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Place of the ``rank``-th set bit (from 0) of each word."""
-    place, rank = np.zeros(len(words), np.uint64), rank.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        part = (words >> place) & np.uint64((1 << width) - 1)
-        ones = np.bitwise_count(part).astype(np.int64)
-        over = rank >= ones
-        rank = np.where(over, rank - ones, rank)
-        place = np.where(over, place + np.uint64(width), place)
-    return place.astype(np.int64)
+    rank = rank.astype(np.uint64)
+    # set bits of each byte and those before it, then the byte, then the place in it
+    sums = words - ((words >> np.uint64(1)) & _FIVES)
+    sums = (sums & _THREES) + ((sums >> np.uint64(2)) & _THREES)
+    sums = ((sums + (sums >> np.uint64(4))) & _FIFTEENS) * _EACH
+    place = np.minimum(np.bitwise_count(((rank * _EACH | _TOPS) - sums) & _TOPS), 7).astype(np.uint64) << np.uint64(3)
+    inside = np.minimum(rank - ((sums << np.uint64(8)) >> place & np.uint64(255)), np.uint64(7))
+    return place.astype(np.int64) + _PLACES[((words >> place & np.uint64(255)) << np.uint64(3) | inside).astype(np.int64)]
 
 
 class EliasFano:
@@ -94,15 +97,13 @@ class EliasFano:
         last = np.minimum(self._zero(top) - top, self.n)          # elements with this upper part: [first, last)
         first = np.minimum(first, last)
         want = values & np.uint64((1 << self.width) - 1)
-        low, high = first, last
-        while True:
-            open_ = low < high
-            if not open_.any():
-                break
-            middle = (low + high) >> 1
-            less = _unpack(self.low, np.where(open_, middle, 0), self.width) < want
-            low = np.where(open_ & less, middle + 1, low)
-            high = np.where(open_ & ~less, middle, high)
+        low, high = first.copy(), last.copy()
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            middle = (low[open_] + high[open_]) >> 1
+            less = _unpack(self.low, middle, self.width) < want[open_]
+            low[open_[less]], high[open_[~less]] = middle[less] + 1, middle[~less]
+            open_ = open_[low[open_] < high[open_]]
         held = low < last
         held[held] = _unpack(self.low, low[held], self.width) == want[held]
         return np.where(held, low, -1)

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,39 @@ def test_better_than_base_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = ngram_lm.score_documents(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert r[0] > r[1]
+
+
+@pytest.mark.parametrize("shard_bytes", [300, 1 << 30])
+def test_shards_grow_with_the_text(spark, shard_bytes):
+    rows = corpus()
+    plain = Plain([t for _, t in rows], 3, 1)
+    state = ngram_lm.fit(spark.createDataFrame(rows, SCHEMA).repartition(3), shard_bytes=shard_bytes)
+    model = ngram_lm.Model(*state)
+    size = sum(len((t or "").encode()) for _, t in rows)
+    assert model.shards == 1 + size // shard_bytes
+    # ranges of longer contexts are even, whatever their first word
+    assert np.diff(model.starts(2)).max() <= 1 + model.nodes[0][-1] // model.shards
+    got = ngram_lm.score_texts(model, [t for _, t in rows])
+    for (_, text), *have in zip(rows, *got):
+        want = plain.score(text)
+        assert (have[0], have[1]) == want[:2] and have[2] == pytest.approx(want[2], abs=1e-6)
+        assert have[3] == pytest.approx(want[3], abs=2e-4 * have[0])
+
+
+def test_counter_gives_out_sums_by_range():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 50, 400).astype(np.uint64) << np.uint64(40)
+    low = (keys >> np.uint64(38)).astype(np.uint16)
+    cuts = np.array([7 << 40, 7 << 40, 30 << 40], np.uint64)
+    for part in (None, low):
+        counter = ngram_lm.Counter(cuts)
+        assert list(counter.add(keys[:150], None if part is None else part[:150])) == []
+        list(counter.add(keys[150:], None if part is None else part[150:]))
+        table = pa.Table.from_batches(counter.rest())
+        found = {}
+        for i in range(table.num_rows):
+            s, k, n, x = ngram_lm.received(pa.concat_tables([table.slice(i, 1)] * 2))
+            assert s == (0 if k[0] < 7 << 40 else 2 if k[0] < 30 << 40 else 3) and (np.diff(k.astype(np.int64)) > 0).all()
+            assert x is None if part is None else (x == k >> np.uint64(38)).all()
+            found |= dict(zip(k.tolist(), n.tolist()))
+        assert found == {k: 2 * n for k, n in Counter(keys.tolist()).items()}
