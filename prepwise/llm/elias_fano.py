@@ -93,9 +93,15 @@ class EliasFano:
         if not self.n or not len(values):
             return np.full(len(values), -1, np.int64)
         top = (values >> np.uint64(self.width)).astype(np.int64)
-        first = np.where(top > 0, self._zero(np.maximum(top - 1, 0)) - np.maximum(top - 1, 0), 0)
-        last = np.minimum(self._zero(top) - top, self.n)          # elements with this upper part: [first, last)
-        first = np.minimum(first, last)
+        # elements with this upper part, [first, last): the ones between two zeros, most often of one word
+        start = np.where(top > 0, self._zero(np.maximum(top - 1, 0)) + 1, 0)
+        first = np.minimum(start - top, self.n)
+        word, shift = start >> 6, (start & 63).astype(np.uint64)
+        zeros = ~(self.high[np.minimum(word, len(self.high) - 1)] >> shift)
+        run = np.bitwise_count((zeros & (~zeros + _ONE)) - _ONE).astype(np.int64)
+        last = np.where(word < len(self.high), first + run, first)
+        over = np.flatnonzero((word < len(self.high)) & (run + (start & 63) >= 64))
+        last[over] = np.minimum(self._zero(top[over]) - top[over], self.n)
         want = values & np.uint64((1 << self.width) - 1)
         low, high = first.copy(), last.copy()
         open_ = np.flatnonzero(low < high)

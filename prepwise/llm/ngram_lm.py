@@ -222,8 +222,13 @@ def hash_cuts(shards: int) -> np.ndarray:
 
 def _sorted_children(model: Model, level: int, nodes: np.ndarray, words: np.ndarray):
     """``children`` for keys in any order, each distinct key asked once."""
-    distinct, where = distinct_of(model.keys(nodes, words))
-    found = model.children(level, *model.parts(distinct))
+    keys = model.keys(nodes, words)
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.empty(0, bool)
+    where = np.empty(len(keys), np.int64)
+    where[order] = np.cumsum(new) - 1
+    found = model.children(level, *model.parts(keys[new]))
     return tuple(x[where] for x in found)
 
 

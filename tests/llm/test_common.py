@@ -54,3 +54,13 @@ def test_hashed_words(texts):
     assert counts.tolist() == [len(w) for w in want]
     flat = [w for ws in want for w in ws]
     assert len({*zip(flat, h.tolist())}) == len(set(flat)) == len(set(h.tolist()))
+
+
+def test_elias_fano_finds_across_words():
+    rng = np.random.default_rng(2)
+    for values in (np.arange(500), np.arange(64) + 3, np.arange(300) * 2, np.unique(rng.integers(0, 2**40, 900)), np.concatenate((np.arange(200) + 7, [10**6, 10**9]))):
+        asked = np.concatenate((values, values + 1, rng.integers(0, int(values[-1]) * 3, 200), [0])).astype(np.uint64)
+        place = {int(x): i for i, x in enumerate(values)}
+        seq = EliasFano.encode(values)
+        assert seq.find(asked).tolist() == [place.get(int(x), -1) for x in asked]
+        assert (seq.access(np.arange(len(values))) == values).all()
