@@ -103,7 +103,8 @@ def near_pairs(nodes: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS)
     held = placed.select(F.col("node").alias("b"), F.col("fp").alias("fb"), "cell")
     close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= bits
     once = ~F.col("own") | (F.col("fa") < F.col("fb"))
-    return probes.join(held, (probes.cell == held.cell) & close & once).select("a", "b")
+    # Spark sizes the exploded probes like the nodes and would broadcast them: both sides are shuffled
+    return probes.join(held.hint("merge"), (probes.cell == held.cell) & close & once).select("a", "b")
 
 
 def _groups(docs: DataFrame, words: int, bits: int, segments: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:

@@ -43,6 +43,18 @@ def test_pairs_match_all_pairs_comparison(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_exploded_probes_are_not_broadcast(spark):
+    # every node has 73 probes, which Spark sizes like the node itself
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        nodes = spark.range(1000).select(F.col("id").alias("node"), F.xxhash64("id").alias("fp"))
+        plan = simhash.near_pairs(nodes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_and_edge_cases(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(400))) for i in range(20)]
