@@ -44,7 +44,8 @@ def directory(entries: DataFrame, bucket_rows: int = BUCKET_ROWS, max_depth: int
     prefix = F.expr(f"shiftright(slot, {max_depth} - depth)")
     loads = levels.groupBy("depth", prefix.alias("prefix")).agg(F.sum("count").alias("load"))
     fits = loads.where((F.col("load") <= bucket_rows) | (F.col("depth") == max_depth))
-    at = levels.select("slot", "depth", prefix.alias("prefix")).join(fits, ["depth", "prefix"])
+    # fewer than 2**(max_depth + 1) prefixes; Spark sizes the exploded levels lower and would broadcast those
+    at = levels.select("slot", "depth", prefix.alias("prefix")).join(F.broadcast(fits), ["depth", "prefix"])
     leaf = at.groupBy("slot").agg(F.min("depth").alias("depth"), F.min_by("load", "depth").alias("load"))
     return leaf.select("slot", "depth", "load", F.expr(f"shiftright(slot, {max_depth} - depth) + shiftleft(1, depth)").alias("bucket"))
 

@@ -27,6 +27,17 @@ def test_collisions_are_chained_and_told_apart_by_bytes(spark):
     assert weak == exact_groups(ROWS)
 
 
+def test_exploded_levels_are_not_broadcast(spark):
+    # every slot has max_depth + 1 levels, which Spark sizes like the slot itself
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        plan = exact.directory(spark.range(1000).select(F.xxhash64("id").alias("h")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Inner, BuildRight" in plan and "BuildLeft" not in plan
+
+
 def test_overfull_buckets_split_and_hot_keys_overflow(spark):
     rng = random.Random(1)
     rows = [(i, f"text {rng.randrange(400)}" if i % 3 else "hot copy") for i in range(1500)]
